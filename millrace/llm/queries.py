@@ -20,6 +20,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import summary
+
+    return summary(table(spark, sf_dir, "documents"))
+
+
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import scores
+
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return scores(table(spark, sf_dir, "documents"), good)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .byte_bpe import encode_documents
 
@@ -29,7 +42,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import radix_groups
 
-    return radix_groups(table(spark, sf_dir, "documents"))
+    return radix_groups(table(spark, sf_dir, "documents")).drop("rounds")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +57,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import join_components
+
+    return join_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import read_archives, write_archives
 
@@ -52,5 +71,33 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(manifest, folder, ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op4_byte_bpe, op5_exact_dedup, op6_best_fit_packing, op7_quality_rules, op9_warc)}
-ORACLES: dict[str, str] = {}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.selectExpr("doc_id", "n_lines", "n_equal", "n_near", "coalesce(text, '') as kept_text")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_license_scan, op3_lm_score, op4_byte_bpe, op5_exact_dedup, op6_best_fit_packing,
+        op7_quality_rules, op8_ngram_join, op9_warc, op10_line_dedup,
+    )
+}
+
+_EXACT = r"""
+with n as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+g as (select t, max(doc_id) as keep_id, count(*) as group_size from n group by t)
+select n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id as kept, sha256(n.t) as text_sha256
+from n join g on n.t = g.t
+"""
+
+
+def _oracles() -> dict[str, str]:
+    from .line_dedup import ORACLE
+
+    return {"op5_exact_dedup": _EXACT, "op10_line_dedup": ORACLE}
+
+
+ORACLES = _oracles()

@@ -203,6 +203,20 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, evidence double, score double, predicted int")
 
 
+def clean_rows(docs: DataFrame, lexicon: Lexicon, least: float = 0.5) -> DataFrame:
+    """The rows of docs, all columns, whose score is below ``least``."""
+    words, beginnings = lexicon.words, lexicon.beginnings
+    text_at = docs.columns.index("text")
+
+    def run(iterator):
+        lex = Lexicon(words, beginnings)
+        found = lex.scanner()
+        for part, texts in batches(iterator, text_at=text_at):
+            yield part.filter(pa.array([not t or probability(evidence(t, lex, found)) < least for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
