@@ -32,15 +32,11 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "line_no", F.expr(NORMAL).alias("norm")).withColumn("m", F.expr("if(norm = '', 0, length(norm) - length(replace(norm, ' ', '')) + 1)"))
 
 
-def halves() -> F.Column:
-    """Keys of the first and last halves that a near line must share: first halves of m and of m - 1 words, and last ones."""
-    return F.expr("""
-        array_distinct(array(
-            struct('p' as half, xxhash64(1, m div 2, substring_index(norm, ' ', int(m div 2))) as key),
-            struct('p' as half, xxhash64(1, (m - 1) div 2, substring_index(norm, ' ', int((m - 1) div 2))) as key),
-            struct('s' as half, xxhash64(2, m - m div 2, substring_index(norm, ' ', -int(m - m div 2))) as key),
-            struct('s' as half, xxhash64(2, (m - 1) - (m - 1) div 2, substring_index(norm, ' ', -int((m - 1) - (m - 1) div 2))) as key)))
-    """)
+def halves(side: str) -> F.Column:
+    """Keys of the halves that a near line must share, of m and of m - 1 words: first halves (p) or last ones (s)."""
+    if side == "p":
+        return F.expr("array_distinct(array(xxhash64(1, m div 2, substring_index(norm, ' ', int(m div 2))), xxhash64(1, (m - 1) div 2, substring_index(norm, ' ', int((m - 1) div 2)))))")
+    return F.expr("array_distinct(array(xxhash64(2, m - m div 2, substring_index(norm, ' ', -int(m - m div 2))), xxhash64(2, (m - 1) - (m - 1) div 2, substring_index(norm, ' ', -int((m - 1) - (m - 1) div 2)))))")
 
 
 WITHOUT = "array_join(concat(slice({w}, 1, {i}), slice({w}, {i} + 2, size({w}))), ' ')"
@@ -49,14 +45,15 @@ WITHOUT = "array_join(concat(slice({w}, 1, {i}), slice({w}, {i} + 2, size({w})))
 def drops(docs: DataFrame, min_words: int = 6) -> DataFrame:
     """Lines that go: doc_id, line_no, near (false: an equal line is earlier)."""
     scratch = Scratch(docs.sparkSession)
-    keyed = lines_of(docs).where(F.col("m") >= min_words).select("doc_id", "line_no", F.xxhash64("norm").alias("h"), F.crc32("norm").alias("c"), halves().alias("halves"))
-    distinct = keyed.groupBy("h", "c").agg(F.min(F.struct("doc_id", "line_no")).alias("at"), F.count(F.lit(1)).alias("rows"), F.first("halves").alias("halves"))
-    distinct = scratch.save(distinct.select("h", "c", "at", "rows", "halves"), "distinct")
-    repeated = distinct.where("rows > 1").select("h", "c", "at")
-    places = lines_of(docs).where(F.col("m") >= min_words).select("doc_id", "line_no", F.xxhash64("norm").alias("h"), F.crc32("norm").alias("c"))
-    equal = places.join(maybe_broadcast(repeated), ["h", "c"]).where("not (at.doc_id <=> doc_id and at.line_no = line_no)").select("doc_id", "line_no", F.lit(False).alias("near"))
-
-    halved = distinct.select(F.col("at.doc_id").alias("doc_id"), F.col("at.line_no").alias("line_no"), F.explode("halves").alias("e")).select("doc_id", "line_no", "e.half", "e.key")
+    keyed = lines_of(docs).where(F.col("m") >= min_words)
+    keyed = scratch.save(keyed.select("doc_id", "line_no", F.xxhash64("norm").alias("h"), F.crc32("norm").alias("c"), halves("p").alias("p"), halves("s").alias("s")), "keyed")
+    distinct = keyed.groupBy("h", "c").agg(F.min(F.struct("doc_id", "line_no", "p", "s")).alias("at"), F.count(F.lit(1)).alias("rows"))
+    distinct = scratch.save(distinct, "distinct")
+    repeated = scratch.save(distinct.where("rows > 1").select("h", "c", F.struct("at.doc_id", "at.line_no").alias("at")), "repeated")
+    equal = keyed.select("doc_id", "line_no", "h", "c").join(maybe_broadcast(repeated), ["h", "c"]).where("not (at.doc_id <=> doc_id and at.line_no = line_no)").select("doc_id", "line_no", F.lit(False).alias("near"))
+
+    sides = [distinct.select("at.doc_id", "at.line_no", F.lit(side).alias("half"), F.explode(f"at.{side}").alias("key")) for side in "ps"]
+    halved = sides[0].unionByName(sides[1])
     shared = halved.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("key")
     wanted = (
         halved.join(shared, "key").groupBy("doc_id", "line_no").agg(F.max(F.expr("half = 'p'")).alias("p"), F.max(F.expr("half = 's'")).alias("s"))
@@ -66,12 +63,13 @@ def drops(docs: DataFrame, min_words: int = 6) -> DataFrame:
     found = docs.select("doc_id", "text").alias("d").join(maybe_broadcast(wanted).alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
     found = found.select("d.doc_id", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
     found = found.select("doc_id", "w.line_no", "w.p", "w.s", F.expr("lines[w.line_no]").alias("line")).select("doc_id", "line_no", "p", "s", F.expr(NORMAL).alias("norm"))
-    found = scratch.save(found.dropDuplicates(["doc_id", "line_no"]), "found")
+    found = scratch.save(found, "found")
     split = found.withColumn("words", F.split("norm", " ", -1)).withColumn("m", F.size("words"))
-    span = split.withColumn("positions", F.expr("sequence(if(s, 0, (m - 1) div 2), if(p, m - 1, m div 2 - 1))"))
-    variants = span.select("doc_id", "line_no", F.explode(F.expr(f"""
-        array_append(transform(positions, i -> struct(int(i) as i, xxhash64({WITHOUT.format(w='words', i='int(i)')}) as key)),
-                     struct(-1 as i, xxhash64(norm) as key))""")).alias("v")).select("doc_id", "line_no", "v.i", "v.key")
+    span = split.withColumn("positions", F.expr("sequence(int(if(s, 0, (m - 1) div 2)), int(if(p, m - 1, m div 2 - 1)))"))
+    # Exploded before the strings are cut, so that this stays in generated code.
+    each = span.select("doc_id", "line_no", "norm", "m", F.explode(F.array_append("positions", F.lit(-1))).alias("i"))
+    less = "case when i < 0 then norm when i = 0 then substring_index(norm, ' ', 1 - m) when i = m - 1 then substring_index(norm, ' ', m - 1) else concat(substring_index(norm, ' ', i), ' ', substring_index(norm, ' ', i + 1 - m)) end"
+    variants = each.select("doc_id", "line_no", "i", F.expr(f"xxhash64({less})").alias("key"))
     variants = scratch.save(variants, "variants")
     twice = variants.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("key")
     met = scratch.save(variants.join(twice, "key"), "met")
