@@ -16,6 +16,7 @@ from __future__ import annotations
 import bisect
 import os
 import zlib
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -36,7 +37,7 @@ class ChunkIds:
 
     STOPS = ".,;:!?"
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -46,7 +47,7 @@ class ChunkIds:
         self.limit, self.now, self.older, self.stops = limit, {}, {}, {"": b""}
 
     def encode(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def add(self, chunks: set[str], plain: bool) -> None:
         """Encodes chunks that aren't known yet, together."""
@@ -74,12 +75,24 @@ class ChunkIds:
     def ids(self, text: str) -> bytes:
         plain = text.isascii() or is_latin(text)
         chunks = (text.lower() if plain else text).replace("\n", " ").split(" ")
-        if missing := set(chunks).difference(self.now):
-            if len(self.now) + len(missing) > self.limit:
+        parts = [*map(self.now.get, chunks)]
+        if None in parts:
+            if len(self.now) > self.limit:
                 self.older, self.now = self.now, {}
-                missing = set(chunks)
-            self.add(missing, plain)
-        return b"".join(map(self.now.__getitem__, chunks))
+            self.add({c for c, p in zip(chunks, parts) if p is None}, plain)
+            get = self.now.get
+            parts = [get(c) if p is None else p for c, p in zip(chunks, parts)]
+        return b"".join(parts)
+
+
+_KNOWN: dict[str, ChunkIds] = {}
+
+
+def known_chunks(path: str) -> ChunkIds:
+    """The worker's cache: tasks that a worker runs one after another share it."""
+    if path not in _KNOWN:
+        _KNOWN[path] = ChunkIds(path)
+    return _KNOWN[path]
 
 
 def is_latin(text: str) -> bool:
@@ -96,7 +109,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096, closing: int = 1, k
     def run(iterator):
         from pyspark import TaskContext
 
-        task, known, counts = TaskContext.get().partitionId(), ChunkIds(path), {}
+        task, known, counts = TaskContext.get().partitionId(), known_chunks(path), {}
         end = np.array([closing], "<u4").tobytes()
         for part, texts in batches(iterator, size=256):
             rows: list[tuple] = []
