@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,10 +33,10 @@ class ChunkIds:
 
     The tokenizer's pre-tokens never cross white space, so a text's ids are those of its chunks in order; chunks that
     hold other white space go to the tokenizer as they are.  Where lower-casing is one to one (Latin-1) chunks are
-    known by their lower case, and stops after a letter or digit, which are pre-tokens of their own, by themselves.
+    known by their lower case.  A letter or digit and a stop behind it are never one pre-token, so they are parted.
     """
 
-    STOPS = ".,;:!?"
+    STOPS = r"([\p{L}\p{N}])([.,;:!?])"
 
     def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -44,45 +45,37 @@ class ChunkIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
-        self.limit, self.now, self.older, self.stops = limit, {}, {}, {"": b""}
+        self.limit, self.now, self.older = limit, {}, {}
 
-    def encode(self, chunks: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def add(self, chunks: set[str], plain: bool) -> None:
+    def add(self, chunks: list[str]) -> None:
         """Encodes chunks that aren't known yet, together."""
-        new, cores = [], {}
+        if len(self.now) > self.limit:
+            self.older, self.now = self.now, {}
+        new = []
         for c in chunks:
             if (known := self.older.get(c)) is not None:
                 self.now[c] = known
-                continue
-            core = c.rstrip(self.STOPS) if plain else c
-            if not core or not core[-1].isalnum():
-                core = c
-            new.append((c, core))
-            if core not in self.now:
-                cores[core] = None
-        self.now.update(zip(cores, self.encode([*cores])))
-        for c, core in new:
-            if c != core:
-                stop = c[len(core) :]
-                if stop not in self.stops:
-                    if len(self.stops) > 1000:
-                        self.stops = {"": b""}
-                    self.stops[stop] = self.encode([stop])[0]
-                self.now[c] = self.now[core] + self.stops[stop]
-
-    def ids(self, text: str) -> bytes:
-        plain = text.isascii() or is_latin(text)
-        chunks = (text.lower() if plain else text).replace("\n", " ").split(" ")
-        parts = [*map(self.now.get, chunks)]
+            else:
+                new.append(c)
+        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.now.update((c, array("I", e.ids).tobytes()) for c, e in zip(new, encoded))
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row and where each text's begin, with the end; each distinct chunk is looked up once."""
+        low = pa.array([t.lower() if t.isascii() or is_latin(t) else t for t in texts], pa.string())
+        split = pc.split_pattern(pc.replace_substring_regex(pc.replace_substring(low, "\n", " "), self.STOPS, r"\1 \2"), " ")
+        coded = split.flatten().dictionary_encode()
+        kinds, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        parts = [*map(self.now.get, kinds)]
         if None in parts:
-            if len(self.now) > self.limit:
-                self.older, self.now = self.now, {}
-            self.add({c for c, p in zip(chunks, parts) if p is None}, plain)
-            get = self.now.get
-            parts = [get(c) if p is None else p for c, p in zip(chunks, parts)]
-        return b"".join(parts)
+            self.add([c for c, p in zip(kinds, parts) if p is None])
+            parts = [self.now[c] if p is None else p for c, p in zip(kinds, parts)]
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        flat = np.frombuffer(b"".join(parts), "<u4")
+        counts = lengths[which]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        take = np.repeat((np.cumsum(lengths) - lengths)[which] - ends[:-1], counts) + np.arange(ends[-1])
+        return flat[take], ends[split.offsets.to_numpy()]
 
 
 _KNOWN: dict[str, ChunkIds] = {}
@@ -111,10 +104,11 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096, closing: int = 1, k
 
         task, known, counts = TaskContext.get().partitionId(), known_chunks(path), {}
         end = np.array([closing], "<u4").tobytes()
-        for part, texts in batches(iterator, size=256):
+        for part, texts in batches(iterator, size=512):
             rows: list[tuple] = []
-            for doc, text in zip(part.column(0).to_pylist(), texts):
-                data = (known.ids(text) if text else b"") + end
+            flat, bounds = known.ids(texts)
+            for doc, begin, stop in zip(part.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                data = flat[begin:stop].tobytes() + end
                 for k, at in enumerate(range(0, len(data), 4 * capacity)):
                     own = data[at : at + 4 * capacity]
                     n = len(own) // 4
