@@ -6,6 +6,7 @@ in ``spark.checkpoint.dir``; only a session without that setting gets a folder o
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zlib
@@ -58,12 +59,22 @@ def batches(iterator, text_at: int = 1, size: int = 1024, binary: bool = False):
                 texts = texts.cast(pa.binary())
             empty = b"" if binary else ""
             yield part, [t if t is not None else empty for t in texts.to_pylist()]
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system at a task's end, as workers live on idle beside the next stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
 
 
 class WordHashes(dict):
     """Word bytes to a 64-bit hash, computed once per worker; emptied when it has ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 

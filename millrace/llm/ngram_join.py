@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, WordHashes, batches, components, maybe_broadcast, mix, pack_counts, shingle_hashes, sum_counters, unpack_counts
 
-SHINGLE_CELLS, WORD_CELLS, BLOCK = 1 << 22, 1 << 19, 1 << 18
+SHINGLE_CELLS, WORD_CELLS, BLOCK = 1 << 21, 1 << 19, 1 << 18
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -61,7 +61,7 @@ def first_pass(docs: DataFrame, k: int) -> DataFrame:
                 waiting.append((s & np.uint64(SHINGLE_CELLS - 1)).astype(np.int64))
                 waiting.append((mix(h) & np.uint64(WORD_CELLS - 1)).astype(np.int64) + SHINGLE_CELLS)
                 held += len(s) + len(h)
-                if held > 1 << 21:
+                if held > 1 << 20:
                     settle()
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int32()), pa.array(signatures, pa.binary()), none.cast(pa.int32()), none.cast(pa.binary())], names=["doc_id", "n", "signature", "block", "counts"])
