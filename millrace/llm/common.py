@@ -22,14 +22,23 @@ BROADCAST_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of whole texts are kept small, in the executor's memory and the worker's; a size that was set stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default
+        spark.conf.set(key, str(rows))
+
+
 class Scratch:
     """A folder of written tables; a lost executor rereads them instead of recomputing or failing."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
+        small_batches(spark)
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             root = f"file://{tempfile.gettempdir()}/millrace-checkpoints"
@@ -51,6 +60,7 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 def batches(iterator, text_at: int = 1, size: int = 1024, binary: bool = False):
     """Slices of Arrow batches as (columns before text_at as lists, texts); null texts come out empty."""
+    give_back()
     for whole in iterator:
         for at in range(0, whole.num_rows, size):
             part = whole.slice(at, size)
@@ -63,7 +73,7 @@ def batches(iterator, text_at: int = 1, size: int = 1024, binary: bool = False):
 
 
 def give_back() -> None:
-    """Returns freed memory to the system at a task's end, as workers live on idle beside the next stages."""
+    """Returns freed memory to the system at a task's start and end, as workers live on idle beside the next stages."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

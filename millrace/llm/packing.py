@@ -38,7 +38,7 @@ class ChunkIds:
 
     STOPS = r"([\p{L}\p{N}])([.,;:!?])"
 
-    def __init__(self, path: str, limit: int = 150_000):
+    def __init__(self, path: str, limit: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 

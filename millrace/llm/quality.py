@@ -143,7 +143,7 @@ def _distance() -> F.Column:
 def _concentrated(scratch: Scratch, rows: DataFrame, keys: list[str], core: float, steps: int, name: str) -> DataFrame:
     """MCD estimates by group: keys, n, mean, inverse.  ``rows`` has keys, x0.. of all rows that take part."""
     floors = [f for _, f in TRANSFORMS.values()]
-    middle = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_n"), *(F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q{i}") for i in range(_P)))
+    middle = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_n"), *(F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 20000).alias(f"q{i}") for i in range(_P)))
     deviation = lambda i: F.greatest(F.lit(floors[i]), (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349)
     now = middle.select(
         *keys, F.col("rows_n"), F.array(*(F.col(f"q{i}")[1] for i in range(_P))).alias("mean"),
@@ -153,7 +153,7 @@ def _concentrated(scratch: Scratch, rows: DataFrame, keys: list[str], core: floa
     sizes = now.select(*keys, "rows_n")
     for step in range(1, steps + 1):
         near = rows.join(now.drop("rows_n", "n"), keys).withColumn("d2", _distance())
-        cut = near.groupBy(*keys).agg(F.percentile_approx("d2", core, 1000).alias("cut"))
+        cut = near.groupBy(*keys).agg(F.percentile_approx("d2", core, 20000).alias("cut"))
         sums = near.join(cut, keys).where("d2 <= cut").groupBy(*keys).agg(*_moments())
         now = scratch.save(_estimates(sums, keys), f"{name}-{step}")
     return now.join(sizes, keys)
@@ -175,7 +175,7 @@ def verdicts(docs: DataFrame, core: float = 0.75, steps: int = 3, least_rows: in
     for k, keys in enumerate(levels):
         estimates = _concentrated(scratch, rows.select(*keys, *(f"x{i}" for i in range(_P))), keys, core, steps, f"level{k}")
         # A consistent scale: the core's covariance is too small for all rows, so distances are rescaled to the median.
-        typical = rows.join(estimates, keys).withColumn("d2", _distance()).groupBy(*keys).agg(F.percentile_approx("d2", 0.5, 1000).alias("typical"))
+        typical = rows.join(estimates, keys).withColumn("d2", _distance()).groupBy(*keys).agg(F.percentile_approx("d2", 0.5, 20000).alias("typical"))
         usable = estimates.join(typical, keys)
         usable = usable.where(F.col("rows_n") >= least_rows) if k < len(levels) - 1 else usable
         usable = scratch.save(usable.select(*keys, "mean", "inverse", "typical"), f"estimates{k}")
