@@ -140,8 +140,12 @@ def _distance() -> F.Column:
     return total
 
 
-def _concentrated(scratch: Scratch, rows: DataFrame, keys: list[str], core: float, steps: int, name: str) -> DataFrame:
-    """MCD estimates by group: keys, n, mean, inverse.  ``rows`` has keys, x0.. of all rows that take part."""
+def _concentrated(scratch: Scratch, rows: DataFrame, keys: list[str], core: float, steps: int, name: str):
+    """MCD estimates by group: keys, n, mean, inverse; and the hint for tables of one row a group.
+
+    ``rows`` has keys, x0.. of all rows that take part.  The groups are counted once: up to ``GROUPS`` of them are broadcast,
+    so that rows are not dealt out by a few keys; beyond that the joins shuffle.
+    """
     floors = [f for _, f in TRANSFORMS.values()]
     middle = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_n"), *(F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 20000).alias(f"q{i}") for i in range(_P)))
     deviation = lambda i: F.greatest(F.lit(floors[i]), (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349)
@@ -151,13 +155,17 @@ def _concentrated(scratch: Scratch, rows: DataFrame, keys: list[str], core: floa
     )
     now = scratch.save(now, f"{name}-0")
     sizes = now.select(*keys, "rows_n")
+    small = F.broadcast if now.count() <= GROUPS else lambda groups: groups
     for step in range(1, steps + 1):
-        near = rows.join(now.drop("rows_n", "n"), keys).withColumn("d2", _distance())
+        near = rows.join(small(now.drop("rows_n", "n")), keys).withColumn("d2", _distance())
         cut = near.groupBy(*keys).agg(F.percentile_approx("d2", core, 20000).alias("cut"))
-        sums = near.join(cut, keys).where("d2 <= cut").groupBy(*keys).agg(*_moments())
+        sums = near.join(small(cut), keys).where("d2 <= cut").groupBy(*keys).agg(*_moments())
         now = scratch.save(_estimates(sums, keys), f"{name}-{step}")
-    return now.join(sizes, keys)
+    return now.join(small(sizes), keys), small
+
 
+#: Groups whose estimates (about 400 bytes each) are broadcast at most.
+GROUPS = 20_000
 
 #: Chi-squared with 6 degrees of freedom: its median, and the quantile 1 - 1e-7, a cutoff for rows that are no error.
 MEDIAN_6, CUTOFF_6 = 5.348, 44.0
@@ -173,13 +181,13 @@ def verdicts(docs: DataFrame, core: float = 0.75, steps: int = 3, least_rows: in
     levels = [["all", "lang", "source"], ["all", "lang"], ["all"]]
     scored = rows
     for k, keys in enumerate(levels):
-        estimates = _concentrated(scratch, rows.select(*keys, *(f"x{i}" for i in range(_P))), keys, core, steps, f"level{k}")
+        estimates, small = _concentrated(scratch, rows.select(*keys, *(f"x{i}" for i in range(_P))), keys, core, steps, f"level{k}")
         # A consistent scale: the core's covariance is too small for all rows, so distances are rescaled to the median.
-        typical = rows.join(estimates, keys).withColumn("d2", _distance()).groupBy(*keys).agg(F.percentile_approx("d2", 0.5, 20000).alias("typical"))
-        usable = estimates.join(typical, keys)
+        typical = rows.join(small(estimates), keys).withColumn("d2", _distance()).groupBy(*keys).agg(F.percentile_approx("d2", 0.5, 20000).alias("typical"))
+        usable = estimates.join(small(typical), keys)
         usable = usable.where(F.col("rows_n") >= least_rows) if k < len(levels) - 1 else usable
         usable = scratch.save(usable.select(*keys, "mean", "inverse", "typical"), f"estimates{k}")
-        at = scored.join(usable, keys, "left").withColumn(f"d{k}", _distance() * F.least(F.lit(1.0), MEDIAN_6 / F.greatest("typical", F.lit(1e-9))))
+        at = scored.join(small(usable), keys, "left").withColumn(f"d{k}", _distance() * F.least(F.lit(1.0), MEDIAN_6 / F.greatest("typical", F.lit(1e-9))))
         scored = at.drop("mean", "inverse", "typical")
     scored = scored.withColumn("distance", F.coalesce("d0", "d1", "d2"))
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
