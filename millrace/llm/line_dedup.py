@@ -13,7 +13,8 @@ Near lines agree in their first or last half, so only lines that share a half wi
 those of the other half; this leaves out no pair.
 
 Defined results: null and empty texts have no lines to drop; shorter lines stay; a null doc_id comes first; rows with
-equal doc_id count as one document with equal line numbers, of which equal lines stay; an empty table gives none.
+equal doc_id count as one document with equal line numbers, of which equal lines stay; columns of docs that have the
+name of a made one are replaced; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -100,13 +101,17 @@ def dedup_lines(docs: DataFrame, min_words: int = 6) -> DataFrame:
     """All columns of docs with the text less its dropped lines, and n_lines, n_equal, n_near (dropped)."""
     scratch = Scratch(docs.sparkSession)
     gone = drops(docs, min_words).groupBy("doc_id").agg(
-        F.collect_set("line_no").alias("__gone"), F.sum(F.expr("int(not near)")).cast("int").alias("__equal"), F.sum(F.expr("int(near)")).cast("int").alias("__near")
+        F.collect_set("line_no").alias("gone"), F.sum(F.expr("int(not near)")).cast("int").alias("equal"), F.sum(F.expr("int(near)")).cast("int").alias("near")
     )  # at most a document's lines each
-    gone = scratch.save(gone.withColumnRenamed("doc_id", "__doc"), "gone")
-    joined = docs.join(maybe_broadcast(gone), F.col("doc_id").eqNullSafe(F.col("__doc")), "left")
-    kept = F.expr("array_join(filter(split(text, '\\n', -1), (x, i) -> not array_contains(__gone, i)), '\\n')")
-    counts = {"n_lines": F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)), "n_equal": F.coalesce("__equal", F.lit(0)), "n_near": F.coalesce("__near", F.lit(0))}
-    return joined.withColumns(counts).withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)).drop("__gone", "__doc", "__equal", "__near")
+    gone = scratch.save(gone, "gone")
+    joined = docs.alias("d").join(maybe_broadcast(gone).alias("g"), F.expr("d.doc_id <=> g.doc_id"), "left")
+    kept = "if(g.gone is null, d.text, array_join(filter(split(d.text, '\\n', -1), (x, i) -> not array_contains(g.gone, i)), '\\n'))"
+    made = {
+        "text": F.expr(kept), "n_lines": F.size(F.split(F.coalesce("d.text", F.lit("")), "\n", -1)),
+        "n_equal": F.expr("coalesce(g.equal, 0)"), "n_near": F.expr("coalesce(g.near, 0)"),
+    }
+    rest = [F.col(f"d.`{c}`") if c != "text" else made["text"].alias("text") for c in docs.columns if c == "text" or c not in made]
+    return joined.select(*rest, *(made[c].alias(c) for c in ("n_lines", "n_equal", "n_near")))
 
 
 #: The same rule over whole strings, for DuckDB.

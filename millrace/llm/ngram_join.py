@@ -190,7 +190,7 @@ def join_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     levels = rarity(first.where("block is not null"))
     scale = spark.sparkContext.broadcast(levels)
     copies = scratch.save(nodes.where("signature is not null and doc_id is not null").groupBy("signature").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"), "copies")
-    nodes = scratch.save(nodes.join(maybe_broadcast(copies), "signature", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "nodes")
+    nodes = scratch.save(nodes.join(maybe_broadcast(copies), "signature", "left").select("doc_id", "n", F.expr("if(doc_id is null, null, coalesce(rep, doc_id))").alias("rep")), "nodes")
     scratch.drop("first")
 
     prefix = scratch.save(prefixes(docs, scale, k, percent), "prefix")

@@ -9,7 +9,7 @@ executors must see it.  A task writes under a name with its attempt and the mani
 succeeded, so a lost executor leaves at most an unlisted file.
 
 Defined results: a null html is an empty payload, a null url an empty one; of rows equal in page_id and payload each is
-written; null page ids come back null; payloads of any length are streamed; no pages give no archives and no records.
+written, with the same type; null page ids come back null; payloads of any length are streamed; no pages give no archives and no records.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def revisits(pages: DataFrame, least_bytes: int) -> DataFrame:
     groups = found.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
     scratch = Scratch(pages.sparkSession)
     groups = scratch.save(groups, "groups")
-    return scratch.save(found.join(maybe_broadcast(groups), "digest").where("not page_id <=> refers_to").select("page_id", "digest", "refers_to"), "revisits")
+    return scratch.save(found.join(maybe_broadcast(groups), "digest").where("not page_id <=> refers_to").select("page_id", "digest", "refers_to").distinct(), "revisits")
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", level: int = 4, archive_bytes: int = 1 << 30) -> DataFrame:

@@ -208,17 +208,3 @@ def test_warc(spark):
         got = warc.read_archives(manifest, folder, ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), split)
         assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
     assert warc.write_archives(pages.limit(0), folder + "-none").count() == 0
-
-
-def test_pipeline(spark, sf):
-    corpus_pipeline = pytest.importorskip("corpus_pipeline")
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    scratch, sizes = Scratch(spark), [docs.count()]
-    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        before = docs
-        docs = scratch.save(stage(spark, docs, sf), str(k))
-        if k < len(corpus_pipeline.STAGES) - 1:
-            assert docs.columns == corpus_pipeline.COLUMNS and docs.join(before, "doc_id", "left_anti").count() == 0
-            sizes.append(docs.count())
-    assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0.5 * sizes[0]
-    assert docs.select("doc_id").distinct().count() == sizes[-1]
