@@ -1,13 +1,15 @@
 """Language-model scores by cross-entropy difference.
 
-A target and a background bigram model share one vocabulary (the most frequent words of the corpus, with one sign for the
-rest), one smoothing and one table size, so their losses differ by what they have seen alone.  Both are counted over all
-documents: word counts are summed over the corpus, bigram counts go to a fixed number of cells.  A token's loss under a
+A target and a background bigram model share one vocabulary (all words of the corpus) and one smoothing, so their losses
+differ by what they have seen alone.  Words and bigrams are counted exactly over all documents.  A token's loss under a
 model is -log2 of its interpolated probability; a document's score is its mean loss under the target less that under the
 background, so lower is closer to the target.
 
-Counts combine within tasks before they are shuffled; what reaches the driver and the workers is the vocabulary and the
-cells, whose sizes are parameters.
+Words and bigrams are known by 63-bit hashes, of which two of a billion are equal with a chance of about one in twenty.
+Texts are dealt into chunks and hashes into blocks, as many of each as the corpus' counted size asks for.  A chunk sends
+each block its distinct hashes, sorted, with their counts; the block adds up those of all chunks and answers in the same
+order; the chunk's texts, read again, are scored with the answers.  So a task holds a chunk or a block, a hash appears
+once a chunk whatever its count, and only three totals reach the driver.
 
 Defined results: a null or empty text has no tokens, and null losses and score; target rows are those whose id is in the
 target table; without any the models differ only by smoothing; repeated rows are counted and scored each.
@@ -15,7 +17,7 @@ target table; without any the models differ only by smoothing; repeated rows are
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -23,152 +25,191 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batches, maybe_broadcast, mix, pack_counts, sum_counters, unpack_counts
+from .common import Scratch, WordHashes, batches, maybe_broadcast, mix
 
-CELLS, BLOCK = 1 << 20, 1 << 17
+#: Bytes of text a chunk, and a block.
+CHUNK, BLOCK = 4 << 20, 4 << 20
 #: Weight of the bigram estimate, and what is added to every word's count.
 WEIGHT, ADDED = 0.6, 0.5
+#: The start of a text.  Words have even keys, bigrams odd ones.
+START = np.uint64(2)
+ONE = np.uint64(1)
 
 
 def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def vocabulary(scratch: Scratch, docs: DataFrame, size: int) -> list[bytes]:
-    """At most ``size`` words: those of the highest classes of counts over all documents that together don't exceed it.
+def keys_of(text: bytes, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the start and the words of a text, and of its bigrams."""
+    words = words_of(text)
+    single = np.full(len(words) + 1, START)
+    single[1:] = hashes.of(words) & ~ONE
+    return single, mix(mix(single[:-1] + ONE) + single[1:]) | ONE
 
-    Classes are sixteenths of powers of two; so only the chosen words reach the driver, not each task's best.
-    """
 
-    def run(iterator):
-        counts: Counter = Counter()
+def planes(values: np.ndarray) -> bytes:
+    """64-bit values by place of their bytes, so that the high ones compress when they are written."""
+    return values.astype("<u8").reshape(-1, 1).view(np.uint8).T.tobytes()
 
-        def out():
-            words = [*counts]
-            batch = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([*counts.values()], pa.int64())], names=["word", "n"])
-            counts.clear()
-            return batch
 
-        for _, texts in batches(iterator, text_at=0, binary=True):
-            for t in texts:
-                counts.update(words_of(t))
-            if len(counts) > 400_000:
-                yield out()
-        if counts:
-            yield out()
+def unplanes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
-    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long")
-    counted = scratch.save(counted.groupBy("word").agg(F.sum("n").alias("n")).withColumn("class", F.floor(F.log2("n") * 16).cast("int")), "words")
-    left, least = size, None
-    for r in counted.groupBy("class").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("class")).collect():  # a thousand classes at most
-        left -= r["words"]
-        if left < 0:
-            break
-        least = r["class"]
-    if least is None:
-        return []
-    return sorted(bytes(r["word"]) for r in counted.where(F.col("class") >= least).select("word").collect())
 
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, the sums of their counts (a row a model), and the place of each key among them."""
+    distinct, place = np.unique(keys, return_inverse=True)
+    return distinct, np.stack([np.bincount(place, c, len(distinct)).astype(np.int64) for c in counts]), place
 
-class Numbers(dict):
-    """Word to its number; unknown words are 1, the start of a text 0."""
 
-    def __init__(self, words: list[bytes]):
-        super().__init__((w, i + 2) for i, w in enumerate(words))
+def packed(docs: DataFrame, schema: str) -> DataFrame:
+    """The three columns of docs, the last of which is a text, with the text compressed for the shuffle."""
+    names = docs.columns
 
-    def __missing__(self, word: bytes) -> int:
-        return 1
+    def run(iterator):
+        for part, texts in batches(iterator, text_at=2, binary=True):
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([zlib.compress(t, 1) for t in texts], pa.binary())], names=names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def requests(docs: DataFrame, blocks: int) -> DataFrame:
+    """(chunk, block, keys, counts) of docs (chunk, is_target, packed text), whose partitions are sorted by chunk."""
+
+    def counted(waiting):
+        every, first = np.concatenate([k for k, _ in waiting]), [k for k, target in waiting if target]
+        every.sort()
+        starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        counts = np.zeros((2, len(starts)), np.int64)
+        counts[0] = np.diff(starts, append=len(every))
+        keys = every[starts]
+        if first:
+            own, n = np.unique(np.concatenate(first), return_counts=True)
+            counts[1, np.searchsorted(keys, own)] = n
+        return keys, counts
+
+    def merged(waiting, earlier):
+        done = [*earlier, *([counted(waiting)] if waiting else [])]
+        return done[0] if len(done) == 1 else summed(np.concatenate([k for k, _ in done]), np.concatenate([c for _, c in done], axis=1))[:2]
+
+    def sent(chunk, waiting, earlier):
+        keys, counts = merged(waiting, earlier)
+        ends = np.searchsorted(block_of(keys, blocks), np.arange(blocks + 1))
+        at = [b for b in range(blocks) if ends[b] < ends[b + 1]]
+        parts = [slice(ends[b], ends[b + 1]) for b in at]
+        columns = [pa.array([chunk] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array([planes(np.diff(keys[p], prepend=np.uint64(0))) for p in parts], pa.binary()), pa.array([planes(counts[:, p].ravel()) for p in parts], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["chunk", "block", "keys", "counts"])
 
-    def of(self, text: bytes) -> np.ndarray:
-        words = words_of(text)
-        out = np.empty(len(words) + 1, np.uint64)
-        out[0] = 0
-        out[1:] = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-        return out
+    def run(iterator):
+        hashes, waiting, earlier, held, now = WordHashes(), [], [], 0, None
+        for part, texts in batches(iterator, text_at=2, binary=True):
+            for chunk, target, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts):
+                if chunk != now and (waiting or earlier):
+                    yield sent(now, waiting, earlier)
+                    waiting, earlier, held = [], [], 0
+                now = chunk
+                single, pairs = keys_of(zlib.decompress(t), hashes)
+                if not len(pairs):
+                    continue
+                waiting.append((np.concatenate([single, pairs]), target))
+                held += len(single) + len(pairs)
+                if held > 1 << 22:  # more than a chunk has, unless its rows repeat
+                    waiting, earlier, held = [], [merged(waiting, earlier)], 0
+        if waiting or earlier:
+            yield sent(now, waiting, earlier)
 
+    return docs.mapInArrow(run, "chunk int, block int, keys binary, counts binary")
 
-def cells_of(numbers: np.ndarray) -> np.ndarray:
-    return (mix(numbers[:-1] * np.uint64(1 << 32) + numbers[1:] + np.uint64(1)) & np.uint64(CELLS - 1)).astype(np.int64)
 
+def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
 
-def counts_of(docs: DataFrame, shared) -> DataFrame:
-    """(block, counts) of docs (is_target, text): for background and target, unigrams then bigram cells."""
 
-    def run(iterator):
-        numbers = Numbers(shared.value)
-        single = -(-(len(numbers) + 2) // BLOCK) * BLOCK
-        total = np.zeros(2 * (single + CELLS), np.uint32)
-        waiting, held = [], 0
-        for part, texts in batches(iterator, binary=True):
-            for target, t in zip(part.column(0).to_pylist(), texts):
-                n = numbers.of(t)
-                if len(n) < 2:
-                    continue
-                both = np.concatenate([n.astype(np.int64), cells_of(n) + single])
-                waiting.append(both)
-                held += len(both)
-                if target:
-                    waiting.append(both + single + CELLS)
-                    held += len(both)
-                if held > 1 << 21:
-                    total += np.bincount(np.concatenate(waiting), minlength=len(total)).astype(np.uint32)
-                    waiting, held = [], 0
-        if waiting:
-            total += np.bincount(np.concatenate(waiting), minlength=len(total)).astype(np.uint32)
-        for b in range(0, len(total), BLOCK):
-            yield pa.RecordBatch.from_arrays([pa.array([b // BLOCK], pa.int32()), pa.array([pack_counts(total[b : b + BLOCK])], pa.binary())], names=["block", "counts"])
-
-    return docs.mapInArrow(run, "block int, counts binary")
-
-
-class Model:
-    """Losses in bits of the words of a text, from unigram counts and bigram cells."""
-
-    def __init__(self, single: np.ndarray, cells: np.ndarray, kinds: int):
-        self.single, self.cells = single.astype(float), cells
-        self.floor = (self.single[: kinds + 2] + ADDED) / (self.single[1 : kinds + 2].sum() + ADDED * (kinds + 1))
-
-    def losses(self, numbers: np.ndarray) -> np.ndarray:
-        n = numbers.astype(np.int64)
-        before = self.single[n[:-1]]
-        pairs = np.minimum(self.cells[cells_of(numbers)], before)
-        follow = np.divide(pairs, before, out=np.zeros(len(before)), where=before > 0)
-        weight = np.where(before > 0, WEIGHT, 0.0)
-        return -np.log2(weight * follow + (1 - weight) * self.floor[n[1:]])
-
-
-def scores(docs: DataFrame, targets: DataFrame, size: int = 65_536) -> DataFrame:
+def answers(asked: DataFrame) -> DataFrame:
+    """(chunk, block, counts) in the order of the keys asked for; and a block's words and kinds, in its first row alone."""
+
+    def run(rows):
+        parts = [np.cumsum(unplanes(k), dtype=np.uint64) for k in rows["keys"].to_pylist()]
+        counts = np.concatenate([unplanes(c).reshape(2, -1) for c in rows["counts"].to_pylist()], axis=1)
+        keys, sums, place = summed(np.concatenate(parts), counts)
+        words = (keys & ONE == 0) & (keys != START)
+        ends = np.cumsum([0, *map(len, parts)])
+        back = [planes(sums[:, place[a:b]].ravel()) for a, b in zip(ends, ends[1:])]
+        totals = [[int(v)] + [0] * (len(parts) - 1) for v in (sums[0, words].sum(), sums[1, words].sum(), words.sum())]
+        return pa.table([rows["chunk"], rows["block"], pa.array(back, pa.binary()), *(pa.array(v, pa.int64()) for v in totals)], names=["chunk", "block", "counts", "n", "n_target", "kinds"])
+
+    return asked.groupBy("block").applyInArrow(run, "chunk int, block int, counts binary, n long, n_target long, kinds long")
+
+
+def losses(before: np.ndarray, word: np.ndarray, pair: np.ndarray, total: int, kinds: int) -> np.ndarray:
+    """Bits of words from the counts of the word before, of the word and of both; one kind more stands for unseen words."""
+    floor = (word + ADDED) / (total + ADDED * (kinds + 1))
+    follow = np.divide(pair, before, out=np.zeros(len(before)), where=before > 0)
+    weight = np.where(before > 0, WEIGHT, 0.0)
+    return -np.log2(weight * follow + (1 - weight) * floor)
+
+
+def scores(docs: DataFrame, targets: DataFrame, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_tokens, target_loss, background_loss, score; ``targets`` has doc_id."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    words = vocabulary(scratch, docs, size)
-    shared = spark.sparkContext.broadcast(words)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks, blocks = size // chunk + 1, size // block + 1
+    docs = docs.withColumn("chunk", F.expr(f"int(pmod(xxhash64(doc_id, text), {chunks}))"))
     chosen = scratch.save(targets.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("is_target", F.lit(True)), "targets")
-    flagged = docs.join(maybe_broadcast(chosen), "doc_id", "left").select(F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
-    parts = scratch.save(counts_of(flagged, shared), "parts")
-    single = -(-(len(words) + 2) // BLOCK) * BLOCK
-    total = np.zeros(2 * (single + CELLS), np.uint32)
-    for r in sum_counters(parts).collect():
-        total[r["block"] * BLOCK : r["block"] * BLOCK + BLOCK] = unpack_counts(bytes(r["counts"]))
-    models = spark.sparkContext.broadcast(total)
+    flagged = docs.join(maybe_broadcast(chosen), "doc_id", "left").select("chunk", F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
+    flagged = packed(flagged, "chunk int, is_target boolean, text binary")
+    found = scratch.save(answers(requests(flagged.repartitionById(chunks, F.col("chunk")).sortWithinPartitions("chunk"), blocks)), "answers")
+    total = [v or 0 for v in found.agg(F.sum("n_target"), F.sum("n"), F.sum("kinds")).first()]
+
+    def scored(rows, held, back):
+        """A batch of a chunk's rows (doc_id, text's digest) by the keys of its distinct texts and the answered counts."""
+        per_text = {}
+        full = [d for d, (_, pairs) in held.items() if len(pairs)]
+        if full:
+            sizes = np.array([len(held[d][1]) for d in full])
+            keys = np.concatenate([*(held[d][0] for d in full), *(held[d][1] for d in full)])
+            distinct, place = np.unique(keys, return_inverse=True)
+            counts = np.concatenate(back, axis=1) if back else np.zeros((2, 0), np.int64)
+            if counts.shape[1] != len(distinct):
+                raise RuntimeError("the texts read to be scored aren't those that were counted")
+            single, pair = place[: sizes.sum() + len(sizes)], place[sizes.sum() + len(sizes) :]
+            first = np.cumsum(sizes + 1) - sizes - 1
+            last = first + sizes
+            before, word = np.delete(single, last), np.delete(single, first)
+            a, b = (losses(c[before].astype(float), c[word], c[pair], n, total[2]) for c, n in zip(counts[::-1], total))
+            starts = np.cumsum(sizes) - sizes
+            sums = [np.add.reduceat(v, starts) / sizes for v in (a, b, a - b)]
+            per_text = {d: (int(n), *map(float, v)) for d, n, *v in zip(full, sizes, *sums)}
+        columns = [*zip(*(per_text.get(d, (0, None, None, None)) for _, d in rows))]
+        kinds_of = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+        ids = pa.array([i for i, _ in rows], pa.int64())
+        return pa.RecordBatch.from_arrays([ids, *(pa.array(c, k) for c, k in zip(columns, kinds_of))], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
     def run(iterator):
-        numbers, counts, kinds = Numbers(shared.value), models.value, len(shared.value)
-        half = single + CELLS
-        background = Model(counts[:single], counts[single:half], kinds)
-        target = Model(counts[half : half + single], counts[half + single :], kinds)
-        for part, texts in batches(iterator, binary=True):
-            rows = []
-            for t in texts:
-                n = numbers.of(t)
-                if len(n) < 2:
-                    rows.append((0, None, None, None))
+        hashes, now = WordHashes(), None
+        rows, held, back = [], {}, []
+        for part, texts in batches(iterator, text_at=3, binary=True):
+            for at, which, doc_id, t, counts in zip(*(part.column(k).to_pylist() for k in range(3)), texts, part.column(4).to_pylist()):
+                if at != now and rows:
+                    yield scored(rows, held, back)
+                    rows, held, back = [], {}, []
+                now = at
+                if which >= 0:
+                    back.append(unplanes(counts).reshape(2, -1).astype(np.int64))
                     continue
-                a, b = target.losses(n), background.losses(n)
-                rows.append((len(a), float(a.mean()), float(b.mean()), float((a - b).mean())))
-            columns = [*zip(*rows)]
-            kinds_of = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds_of))], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return docs.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+                t = zlib.decompress(t)
+                digest = xxhash.xxh3_128_digest(t)
+                rows.append((doc_id, digest))
+                if digest not in held:
+                    held[digest] = keys_of(t, hashes)
+        if rows:
+            yield scored(rows, held, back)
+
+    # A chunk's texts come first (block -1), then its answers in the order of blocks, which is that of the keys.
+    texts = packed(docs.select("chunk", "doc_id", "text"), "chunk int, doc_id long, text binary")
+    texts = texts.select("chunk", F.lit(-1).alias("block"), "doc_id", "text", F.lit(None).cast("binary").alias("counts"))
+    replies = found.select("chunk", "block", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("text"), "counts")
+    both = texts.unionByName(replies).repartitionById(chunks, F.col("chunk")).sortWithinPartitions("chunk", "block")
+    return both.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
