@@ -1,8 +1,9 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame functions only.
 
 The unit of an edit is a word: two lines are near if one word changed, was added or is missing.  A line of at least
-``min_words`` words goes if an equal line (trimmed, lower case) comes before it, or if it is the first of its text and the
-first of a near line comes before it; before means by (doc_id, line number).
+``equal_words`` words goes if an equal line (trimmed, lower case) comes before it; one of at least ``min_words`` words also
+goes if it is the first of its text and the first of a near line comes before it; before means by (doc_id, line number).
+With ``equal_words`` 1 all repeats of lines that aren't blank go.  By default it is ``min_words``, as in ``ORACLE``.
 
 Equal lines are one distinct line, its earliest place, combined before the shuffle.  All variants with one word deleted
 are emitted as hashed keys: lines with equal variants at the same position differ by a changed word, and a variant
@@ -12,7 +13,7 @@ nothing, as what is asked is whether some earlier near line exists.  Every link
 Near lines agree in their first or last half, so only lines that share a half with another one emit variants, and only
 those of the other half; this leaves out no pair.
 
-Defined results: null and empty texts have no lines to drop; shorter lines stay; a null doc_id comes first; rows with
+Defined results: null and empty texts have no lines to drop; lines of fewer words stay; a null doc_id comes first; rows with
 equal doc_id count as one document with equal line numbers, of which equal lines stay; columns of docs that have the
 name of a made one are replaced; an empty table gives none.
 """
@@ -43,11 +44,12 @@ def halves(side: str) -> F.Column:
 WITHOUT = "array_join(concat(slice({w}, 1, {i}), slice({w}, {i} + 2, size({w}))), ' ')"
 
 
-def drops(docs: DataFrame, min_words: int = 6) -> DataFrame:
+def drops(docs: DataFrame, min_words: int = 6, equal_words: int | None = None) -> DataFrame:
     """Lines that go: doc_id, line_no, near (false: an equal line is earlier)."""
     scratch = Scratch(docs.sparkSession)
-    keyed = lines_of(docs).where(F.col("m") >= min_words)
-    keyed = scratch.save(keyed.select("doc_id", "line_no", F.xxhash64("norm").alias("h"), F.crc32("norm").alias("c"), halves("p").alias("p"), halves("s").alias("s")), "keyed")
+    keyed = lines_of(docs).where(F.col("m") >= (min_words if equal_words is None else max(min(equal_words, min_words), 1)))
+    sided = [F.when(F.col("m") >= min_words, halves(side)).alias(side) for side in "ps"]  # null, so without keys, for lines too short to be near
+    keyed = scratch.save(keyed.select("doc_id", "line_no", F.xxhash64("norm").alias("h"), F.crc32("norm").alias("c"), *sided), "keyed")
     distinct = keyed.groupBy("h", "c").agg(F.min(F.struct("doc_id", "line_no", "p", "s")).alias("at"), F.count(F.lit(1)).alias("rows"))
     distinct = scratch.save(distinct, "distinct")
     repeated = scratch.save(distinct.where("rows > 1").select("h", "c", F.struct("at.doc_id", "at.line_no").alias("at")), "repeated")
@@ -97,10 +99,10 @@ def drops(docs: DataFrame, min_words: int = 6) -> DataFrame:
     return scratch.save(equal.unionByName(near).distinct(), "drops")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 6) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = 6, equal_words: int | None = None) -> DataFrame:
     """All columns of docs with the text less its dropped lines, and n_lines, n_equal, n_near (dropped)."""
     scratch = Scratch(docs.sparkSession)
-    gone = drops(docs, min_words).groupBy("doc_id").agg(
+    gone = drops(docs, min_words, equal_words).groupBy("doc_id").agg(
         F.collect_set("line_no").alias("gone"), F.sum(F.expr("int(not near)")).cast("int").alias("equal"), F.sum(F.expr("int(near)")).cast("int").alias("near")
     )  # at most a document's lines each
     gone = scratch.save(gone, "gone")
