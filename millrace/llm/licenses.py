@@ -91,8 +91,6 @@ RULES = [
     ("proprietary", "proprietary", ("rights",)),
 ]
 
-#: Every known sentence holds one of these, so texts without them need no cutting.
-TRIGGERS = ("licen", "permi", "warrant", "redistribut", "software", "copyright", "rights reserved", "compliance", "public domain")
 #: A stop ends a sentence only before white space or the end, so versions and addresses stay whole.
 SENTENCE = re.compile(r"[^\n.;:!?]+(?:[.;:!?](?!\s|$)[^\n.;:!?]*)*", re.M)
 NOT_WORD = re.compile(r"[\W_]+")
@@ -154,9 +152,6 @@ def match_rules(identifiers: list[str | None], gap: int = 3) -> list[tuple[int,
 
 def scan_text(text: str, gap: int = 3) -> list[tuple[str, str, int, int, tuple[str, ...]]]:
     """(licence, category, start, end, identifiers) of each match in a text."""
-    low = text.lower()
-    if not any(t in low for t in TRIGGERS):
-        return []
     found = sentences_of(text)
     return [(RULES[r][0], RULES[r][1], found[p[0]][0], found[p[-1]][1], RULES[r][2]) for r, p in match_rules([i for _, _, i in found], gap)]
 

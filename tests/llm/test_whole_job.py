@@ -4,7 +4,7 @@ import math
 import random
 from collections import Counter
 
-from millrace.llm import line_dedup, lm_score
+from millrace.llm import licenses, line_dedup, lm_score
 
 
 def test_lm_score_counts_every_word_and_bigram(spark):
@@ -49,3 +49,11 @@ def test_line_dedup_drops_short_repeats(spark):
     kept = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs, equal_words=1).collect()}
     assert kept == {0: texts[0], 1: "\ny\nAll rights", 2: "", 3: None}
     assert {(r["doc_id"], r["line_no"]) for r in line_dedup.drops(docs).collect()} == {(2, 0), (2, 1)}
+
+
+def test_licenses_find_every_notice_alone():
+    alone = {sequence[0]: licence for licence, _, sequence in licenses.RULES if len(sequence) == 1}
+    for identifier, licence in alone.items():
+        for sentence in licenses.SENTENCES[identifier]:
+            assert [m[0] for m in licenses.scan_text(f"Prose.\n{sentence}.")] == [licence], sentence
+    assert [m[0] for m in licenses.scan_text("All  rights\u00a0reserved.")] == ["proprietary"]
