@@ -1,7 +1,8 @@
 """License scans by sentence rules.
 
-A text is cut into sentences; each is normalised (lower case, letters and digits only, single blanks, without lead-in
-markers) and looked up in a table of known licence sentences.  The identifiers, in order, are then matched against the
+A text is cut into sentences at stops and blank lines, but not at single line breaks; each is normalised (lower case, letters
+and digits only, single blanks, without lead-in markers) and looked up in a tree of known licence sentences, all words of
+which must be there.  The identifiers, in order, are then matched against the
 ordered rules: a rule is a sequence of identifiers which may have up to ``gap`` other sentences between them.  The first
 rule that fits at a place takes its sentences, and the search goes on behind them.
 
@@ -94,6 +95,10 @@ RULES = [
 #: A stop ends a sentence only before white space or the end, so versions and addresses stay whole.
 SENTENCE = re.compile(r"[^\n.;:!?]+(?:[.;:!?](?!\s|$)[^\n.;:!?]*)*", re.M)
 NOT_WORD = re.compile(r"[\W_]+")
+WORD = re.compile(r"[^\W_]+")
+BLANK_LINE = re.compile(r"\n[\W_]*\n")
+#: A mark before an item that isn't cut off by a stop.
+LIST_MARK = re.compile(r"^[\W_]*?\(?(?:\d{1,2}|[A-Za-z])\)\s+")
 
 
 def normalise(sentence: str) -> str:
@@ -101,27 +106,64 @@ def normalise(sentence: str) -> str:
 
 
 @functools.cache
-def known() -> dict[str, str]:
-    out = {}
+def known() -> dict:
+    """The known sentences as a tree of their words; a sentence's identifier is at its end, under an empty word."""
+    root: dict = {}
     for identifier, sentences in SENTENCES.items():
         for whole in sentences:
-            # a sentence with inner stops is known as its parts: only the first carries the identifier
-            first = normalise(next(iter(SENTENCE.findall(whole + "."))))
-            out[first] = identifier
-            out[normalise(whole)] = identifier
+            node = root
+            for word in normalise(whole).split():
+                node = node.setdefault(word, {})
+            node[""] = identifier
+    return root
+
+
+def pieces_of(text: str) -> list[tuple[int, int, bool, bool]]:
+    """(start, end, stopped, parted): what lies between stops and line breaks and has words; a stop, or a blank line, comes before it."""
+    out, last = [], 0
+    for m in SENTENCE.finditer(text):
+        if not WORD.search(m[0]):
+            continue
+        between = text[last : m.start()]
+        out.append((m.start(), m.end(), any(c in ".;:!?" for c in between), BLANK_LINE.search(between) is not None))
+        last = m.end()
     return out
 
 
 def sentences_of(text: str) -> list[tuple[int, int, str | None]]:
-    """(start, end, identifier or None) of each sentence; a line as a whole is looked up before its sentences."""
-    table, out = known(), []
-    for line in re.finditer(r"[^\n]+", text):
-        if (whole := table.get(normalise(line[0]))) is not None:
-            out.append((line.start(), line.end(), whole))
+    """(start, end, identifier or None) of each sentence.
+
+    A known sentence is a run of whole pieces of one paragraph that has all its words, however it is wrapped and whatever
+    stops it has inside; the longest one counts.  Other pieces are put together to the next stop or blank line.
+    """
+    root, out, pieces = known(), [], pieces_of(text)
+    at, open_ = 0, False
+    while at < len(pieces):
+        node, best, end = root, None, at
+        while end < len(pieces) and (end == at or not pieces[end][3]):
+            piece = text[pieces[end][0] : pieces[end][1]]
+            if end == at:
+                piece = LIST_MARK.sub("", piece)
+                if (first := WORD.search(piece)) is None or first[0].lower() not in root:
+                    break
+            for word in normalise(piece).split():
+                if (node := node.get(word)) is None:
+                    break
+            if node is None:
+                break
+            end += 1
+            if "" in node:
+                best = end, node[""]
+        start, stop, stopped, parted = pieces[at]
+        if best is not None:
+            out.append((start, pieces[best[0] - 1][1], best[1]))
+            at, open_ = best[0], False
             continue
-        for m in SENTENCE.finditer(text, line.start(), line.end()):
-            if key := normalise(m[0]):
-                out.append((m.start(), m.end(), table.get(key)))
+        if open_ and not stopped and not parted:
+            out[-1] = (out[-1][0], stop, None)
+        else:
+            out.append((start, stop, None))
+        at, open_ = at + 1, True
     return out
 
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import textwrap
 from collections import Counter
 
 from millrace.llm import licenses, line_dedup, lm_score
@@ -57,3 +58,25 @@ def test_licenses_find_every_notice_alone():
         for sentence in licenses.SENTENCES[identifier]:
             assert [m[0] for m in licenses.scan_text(f"Prose.\n{sentence}.")] == [licence], sentence
     assert [m[0] for m in licenses.scan_text("All  rights\u00a0reserved.")] == ["proprietary"]
+
+
+def test_licenses_find_wrapped_texts():
+    said = lambda k, n=0: licenses.SENTENCES[k][n]
+    holder = "Copyright (c) 2020 Some One and\nothers"
+    bsd = [said("bsd-grant") + ":", "1. " + said("bsd-source") + ".", "2. " + said("bsd-binary") + "."]
+    gpl2, gpl3 = ([said(k) + ".", said("gpl-hope") + ". See the GNU General Public License for more details."] for k in ("gpl2-free", "gpl-free"))
+    texts = {
+        "MIT": ["MIT License", holder, said("mit-grant") + ":", said("mit-notice") + ".", said("as-is") + "."],
+        "BSD-2-Clause": [holder + ".", *bsd],
+        "BSD-3-Clause": [holder + ".", *bsd, "3. " + said("bsd-endorse") + "."],
+        "ISC": ["ISC License", holder, said("isc-grant", 1) + "."],
+        "GPL-2.0-or-later": gpl2,
+        "GPL-3.0-or-later": gpl3,
+    }
+    for licence, parts in texts.items():
+        for width in (50, 70, 80):
+            wrapped = "\n\n".join(textwrap.fill(p, width) for p in parts)
+            for text in (wrapped, "\n".join("# " + x for x in wrapped.split("\n")), "Unstopped words\n" + wrapped.replace("\n\n", "\n")):
+                assert [m[0] for m in licenses.scan_text(text)] == [licence], (licence, width, text)
+    assert licenses.scan_text("We think this program is free software; it costs nothing. This program is free software.") == []
+    assert [m[0] for m in licenses.scan_text("Some words\nReleased under the MIT\nLicense. (a) All rights reserved.")] == ["MIT", "proprietary"]
