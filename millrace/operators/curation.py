@@ -82,6 +82,15 @@ def best_similarity(vector: str, centroids: list[list[float]]) -> Column:
     return F.greatest(*[dot(v, F.array(*map(F.lit, c))) for c in centroids]) if len(centroids) > 1 else dot(v, F.array(*map(F.lit, centroids[0])))
 
 
+def best_similarities(df: DataFrame, key: str, vector: str, centroids: DataFrame, few: int = 1000) -> DataFrame:
+    """(key, s): the largest cosine to any of the unit centroids; up to ``few`` go into the expression, more are joined."""
+    rows = centroids.limit(few + 1).collect()
+    if 0 < len(rows) <= few:
+        return df.select(key, best_similarity(vector, [r["centroid"] for r in rows]).alias("s"))
+    each = df.select(key, unit(F.col(vector)).alias("_v")).crossJoin(centroids.select("centroid"))
+    return each.groupBy(key).agg(F.max(dot(F.col("_v"), F.col("centroid"))).alias("s"))
+
+
 def embed(encode: Callable[[list[str]], np.ndarray]):
     """A pluggable embedding model (texts to a matrix) as an Arrow UDF."""
 

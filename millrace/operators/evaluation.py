@@ -43,9 +43,9 @@ def judge_prompt(prompt: Column, intent: Column, a: Column, b: Column, rubric=RU
 
 
 def model_pairs(models: DataFrame, order: str, model: str) -> DataFrame:
-    """Pairs in input order; models are few, and the join is on the order alone."""
+    """Pairs in input order; the join is on the order alone, and one side is broadcast if models are few."""
     a, b = models.alias("a"), models.alias("b")
-    return a.join(F.broadcast(b.limit(1000)), F.col(f"a.{order}") < F.col(f"b.{order}")).select(F.col(f"a.{model}").alias("model_a"), F.col(f"b.{model}").alias("model_b"))
+    return a.join(F.broadcast(b) if models.limit(1001).count() <= 1000 else b, F.col(f"a.{order}") < F.col(f"b.{order}")).select(F.col(f"a.{model}").alias("model_a"), F.col(f"b.{model}").alias("model_b"))
 
 
 def align(responses: DataFrame, cases: DataFrame, model_a: str, model_b: str) -> DataFrame:

@@ -248,8 +248,7 @@ c as (select label, list(x / greatest(norm, 1e-8) order by i) as c from m join n
 select vec_id, round(max(list_sum(list_transform(range(1, 65), lambda i: u.v[i] * c.c[i]))), 6) as score from u, c group by vec_id having max(list_sum(list_transform(range(1, 65), lambda i: u.v[i] * c.c[i]))) >= 0.45""")
 def embed_centroid_filter(spark, d):
     e = _t(spark, d, "embeddings")
-    rows = cu.group_centroids(e, "label", "embedding").orderBy("label").limit(1000).collect()  # one row a label: a few
-    scored = e.select("vec_id", cu.best_similarity("embedding", [r["centroid"] for r in rows]).alias("s"))
+    scored = cu.best_similarities(e, "vec_id", "embedding", cu.group_centroids(e, "label", "embedding"))
     return scored.where("s >= 0.45").select("vec_id", F.round("s", 6).alias("score"))
 
 
