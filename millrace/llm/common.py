@@ -1,7 +1,8 @@
 """Shared pieces of the corpus operators: scratch tables, Arrow iteration, hashing, counters, components.
 
 Nothing here keeps rows on the driver.  Intermediate tables go, as Parquet, to the folder that the session names
-in ``spark.checkpoint.dir``; only a session without that setting gets a folder of its own under the temp directory.
+in ``spark.checkpoint.dir``.  A local session without that setting gets a folder under the temp directory; on a cluster,
+where such a folder would be another one on each machine, it is an error.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a side that may be broadcast after its rows were counted; ids and short keys only, so at most some MB.
-BROADCAST_ROWS = 200_000
+#: What a written side may have at most to be broadcast: rows, and bytes as they are in its files.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,8 @@ class Scratch:
         small_batches(spark)
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = f"file://{tempfile.gettempdir()}/millrace-checkpoints"
         self.dir = f"{root.rstrip('/')}/millrace-{uuid.uuid4().hex}"
 
@@ -53,9 +56,24 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if the (already written) table has at most ``limit`` rows; else leave a shuffle join."""
-    return F.broadcast(df) if df.count() <= limit else df
+def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only if the (already written) table has at most ``limit`` rows and ``most`` bytes; else a shuffle join."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= most and df.count() <= limit else df
+
+
+def unused(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores before it as it takes to be none of ``taken`` in whatever case."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name = "_" + name
+    return name
+
+
+def numbered(docs: DataFrame, scratch: Scratch, name: str = "numbered") -> tuple[DataFrame, str]:
+    """The rows with a number of their own, written once so that it stays, and the number's column."""
+    row = unused("row", docs.columns)
+    return scratch.save(docs.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
 def batches(iterator, text_at: int = 1, size: int = 1024, binary: bool = False):
@@ -120,11 +138,11 @@ def shingle_hashes(word_hashes: np.ndarray, k: int) -> np.ndarray:
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.astype("<u4").tobytes(), 1)
+    return zlib.compress(counts.astype("<u8").tobytes(), 1)
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), "<u4")
+    return np.frombuffer(zlib.decompress(data), "<u8")
 
 
 def sum_counters(parts: DataFrame, key: str = "block", value: str = "counts") -> DataFrame:
@@ -138,10 +156,7 @@ def sum_counters(parts: DataFrame, key: str = "block", value: str = "counts") ->
         for batch in iterator:
             for k, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 got = unpack_counts(data.as_py())
-                if k in sums:
-                    sums[k] = np.minimum(sums[k].astype(np.uint64) + got, 2**32 - 1).astype(np.uint32)
-                else:
-                    sums[k] = got
+                sums[k] = sums[k] + got if k in sums else got
         for k, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([pack_counts(total)], pa.binary())], names=[key, value])
 
@@ -160,8 +175,9 @@ def components(scratch: Scratch, links: DataFrame, a: str = "a", b: str = "b", n
     edges = scratch.save(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), f"{name}-0"
     )
-    before, last = None, f"{name}-0"
-    for turn in range(1, 60):
+    before, last, turn = None, f"{name}-0", 0
+    while True:  # each round lowers some label or is the last
+        turn += 1
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -180,7 +196,5 @@ def components(scratch: Scratch, links: DataFrame, a: str = "a", b: str = "b", n
         if now == before or now[0] == 0:
             break
         before = now
-    else:
-        raise RuntimeError("components did not settle")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).distinct()

@@ -10,7 +10,7 @@ import public_tokenizers as P
 import pytest
 
 from millrace.llm import byte_bpe, exact_dedup, licenses, line_dedup, lm_score, ngram_join, packing, quality, toxicity, warc
-from millrace.llm.common import Scratch
+from millrace.llm.common import Scratch, numbered
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 BPE, WORDS = P.path("byte_bpe_multi_50k.tiktoken"), P.path("word_bpe_49k.json")
@@ -101,7 +101,7 @@ def test_ngram_join(docs, none):
 
 def test_line_dedup(docs, none):
     lines = [(i, k, x.strip(" ").lower()) for i, t, *_ in corpus() for k, x in enumerate((t or "").split("\n"))]
-    lines = [(i, k, x) for i, k, x in lines if len(x.split(" ")) >= 6]
+    lines = [(i, k, x) for i, k, x in lines if x]
     first, gone = {}, set()
     for i, k, x in lines:
         gone.add((i, k)) if x in first else first.setdefault(x, (i, k))
@@ -112,10 +112,15 @@ def test_line_dedup(docs, none):
             return sum(p != q for p, q in zip(a, b)) <= 1
         return len(b) == len(a) + 1 and any(b[:j] + b[j + 1 :] == a for j in range(len(b)))
 
-    for x, at in first.items():
-        if any(p < at and abs(x.count(" ") - y.count(" ")) <= 1 and near(x, y) for y, p in first.items()):
+    long = {x: at for x, at in first.items() if x.count(" ") >= 5}
+    for x, at in long.items():
+        if any(p < at and abs(x.count(" ") - y.count(" ")) <= 1 and near(x, y) for y, p in long.items()):
             gone.add(at)
-    assert {(r["doc_id"], r["line_no"]) for r in line_dedup.drops(docs).collect()} == gone
+    rows, row = numbered(docs, Scratch(docs.sparkSession))
+    got = line_dedup.drops(rows.select("doc_id", row, "text")).join(rows.select("doc_id", row), row)
+    assert {(r["doc_id"], r["line_no"]) for r in got.collect()} == gone
+    kept = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) if t is not None else None for i, t, *_ in corpus()}
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs).collect()} == kept
     assert line_dedup.dedup_lines(none).count() == 0
 
 

@@ -94,13 +94,13 @@ def less_lines(rows):
     for i in sorted(rows):
         for k, line in enumerate((rows[i]["text"] or "").split("\n")):
             words = tuple(line.lower().strip(" ").split(" "))
-            if len(words) >= 6:
+            if words != ("",):
                 gone.add((i, k)) if words in first else first.setdefault(words, (i, k))
     by_length = {}
-    for words in first:
+    for words in (w for w in first if len(w) >= 6):
         by_length.setdefault(len(words), []).append(words)
     for words, place in first.items():
-        for n in (len(words) - 1, len(words), len(words) + 1):
+        for n in (len(words) - 1, len(words), len(words) + 1) if len(words) >= 6 else ():
             if any(first[o] < place and one_edit(words, o) for o in by_length.get(n, ())):
                 gone.add(place)
     out = {}
