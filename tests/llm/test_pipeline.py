@@ -13,23 +13,27 @@ from millrace.llm.common import Scratch
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 
-def is_toxic(text, lexicon):
+def plain_evidence(text, lexicon):
     """Clause by clause and hit by hit, with windows looked at directly instead of machines."""
     total, clause = 0.0, (text or "").lower()
     for end in toxicity.CLAUSE_END:
         clause = clause.replace(end, "\n")
     for part in clause.split("\n"):
-        tokens = toxicity.TOKEN.findall(part)
-        kinds = [lexicon.read(t) for t in tokens]
+        kinds = [lexicon.read(t) for t in toxicity.TOKEN.findall(part)]
         for i, (kind, weight) in enumerate(kinds):
             before = [k for k, _ in kinds[:i]]
             target = toxicity.TARGET in [k for k, _ in kinds[max(0, i - 4) : i + 5]]
             negated, reported = toxicity.NEGATION in before[-3:], toxicity.REPORT in before
+            scale = (toxicity.NEGATED if negated else 1) * (toxicity.REPORTED if reported else 1)
             if kind == toxicity.INSULT:
-                total += weight * (1.25 if target else 1) * (0.5 if negated else 1) * (0.6 if reported else 1)
+                total += weight * scale * (toxicity.DIRECTED if target else toxicity.BARE)
             elif kind == toxicity.VIOLENT and target:
-                total += weight * (2 if toxicity.FUTURE in before[-3:] else 1) * (0.3 if negated else 1) * (0.6 if reported else 1)
-    return 1 / (1 + math.exp(4 - 1.6 * min(total, 200))) >= 0.5
+                total += weight * scale * (toxicity.ANNOUNCED if toxicity.FUTURE in before[-3:] else 1)
+    return total
+
+
+def is_toxic(text, lexicon):
+    return 1 / (1 + math.exp(min(700, lexicon.offset - lexicon.slope * plain_evidence(text, lexicon)))) >= 0.5
 
 
 def good(rows, core=0.75):

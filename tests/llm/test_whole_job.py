@@ -5,7 +5,7 @@ import random
 import textwrap
 from collections import Counter
 
-from millrace.llm import licenses, line_dedup, lm_score
+from millrace.llm import licenses, line_dedup, lm_score, toxicity
 from millrace.operators import curation, evaluation
 
 
@@ -90,3 +90,35 @@ def test_many_models_and_centroids(spark):
         assert len(got) == 30
         for i, s in got.items():
             assert abs(s - max(math.cos(i / 10 + 0.01 - k / 20) for k in range(40))) < 1e-9
+
+
+def test_toxicity_reads_whole_clauses():
+    """Machines against windows, with clauses far over 2,000 characters: a scope holds to the clause's true end."""
+    from .test_pipeline import plain_evidence
+
+    rng = random.Random(11)
+    lexicon = toxicity.Lexicon({"moron": 5.0}, {"idio": 6.0})
+    found = lexicon.scanner()
+    words = ["moron", "idiotic", "kill", "you", "not", "said", "will", "a", "word", "thing", "moronic", "it's"]
+    texts = ["he said you moron " + "word " * 600 + "a moron", "moron", "nobody is a moron", "you moron"]
+    for _ in range(300):
+        stops = rng.choice([".", ".!?;\n", ""])
+        texts.append(" ".join(rng.choice(words) + (rng.choice(stops) if stops and rng.random() < 0.1 else "") for _ in range(rng.randrange(1, 900))))
+    for t in texts:
+        assert abs(toxicity.evidence(t, lexicon, found) - plain_evidence(t, lexicon)) < 1e-6, t[:200]
+    assert toxicity.evidence(texts[3], lexicon, found) > 2 * toxicity.evidence("moron", lexicon, found) - 1e-9
+
+
+def test_toxicity_learns_long_forms(spark):
+    """Forms of any length: a word of 60 letters, and a beginning of 30 that no shorter one tells apart."""
+    stem, word = "x" * 12 + "y" * 18, "q" * 60
+    rows = [(i, f"{stem}{'abcdefghij'[i % 10] * 3} some words", 1) for i in range(30)] + [(100 + i, word + " more words", 1) for i in range(30)]
+    rows += [(1000 + i, f"{stem[:25]}{'klmnopqrst'[i % 10]} some more words here", 0) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    # Texts that repeat count once, so each row gets a word of its own.
+    df = df.selectExpr("doc_id", "concat(text, ' w', translate(string(doc_id), '0123456789', 'abcdefghij')) as text", "toxic")
+    lexicon = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"), least_odds=3.0)
+    assert word in lexicon.words
+    assert [b for b in lexicon.beginnings if b.startswith("x")] and all(len(b) > 25 for b in lexicon.beginnings if b.startswith("x"))
+    got = toxicity.score(df, lexicon).join(df.select("doc_id", "toxic"), "doc_id").selectExpr("sum(int(predicted <> toxic))").first()[0]
+    assert got == 0
