@@ -8,7 +8,9 @@ piece finds its place from its rank: ranks are counted within tasks and offset b
 gathers the pieces of one length.
 
 Defined results: a null text is an empty text, whose sequence is the closing id alone; longer documents than
-``capacity`` are cut into full pieces and a shorter last one; repeated rows are packed each; no rows give no rows.
+``capacity`` are cut into full pieces and a shorter last one; texts of any length are encoded whole; null ids and repeated
+rows are packed each; ties of lengths are broken by task and place in it, so only numbers of sequences differ; other
+columns, whatever their names, are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -32,19 +34,21 @@ class ChunkIds:
     """Blank-delimited chunk of text to its ids as little-endian bytes, in two bounded generations.
 
     The tokenizer's pre-tokens never cross white space, so a text's ids are those of its chunks in order; chunks that
-    hold other white space go to the tokenizer as they are.  Where lower-casing is one to one (Latin-1) chunks are
-    known by their lower case.  A letter or digit and a stop behind it are never one pre-token, so they are parted.
+    hold other white space go to the tokenizer as they are.  Where lower-casing is one to one (Latin-1) chunks are known by
+    their lower case, unless the text may hold a special token, which is known by its case.  A Latin-1 letter or a digit, which
+    normalisation leaves one letter or digit, and a stop behind it are never one pre-token, so they are parted.  A chunk
+    of Latin-1 letters alone is one pre-token and needs the tokenizer's model only.
     """
 
-    STOPS = r"([\p{L}\p{N}])([.,;:!?])"
+    STOPS = r"([A-Za-z0-9À-ÖØ-öø-ÿ])([.,;:!?])"
 
     def __init__(self, path: str, limit: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
+        self.model, self.shown = self.tokenizer.model, byte_signs()
         self.limit, self.now, self.older = limit, {}, {}
 
     def add(self, chunks: list[str]) -> None:
@@ -55,6 +59,10 @@ class ChunkIds:
         for c in chunks:
             if (known := self.older.get(c)) is not None:
                 self.now[c] = known
+            elif c.isascii() and c.isalpha():
+                self.now[c] = array("I", [t.id for t in self.model.tokenize(c.lower())]).tobytes()
+            elif c.isalpha() and is_latin(c):
+                self.now[c] = array("I", [t.id for t in self.model.tokenize(c.lower().encode().decode("latin-1").translate(self.shown))]).tobytes()
             else:
                 new.append(c)
         encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
@@ -62,7 +70,7 @@ class ChunkIds:
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row and where each text's begin, with the end; each distinct chunk is looked up once."""
-        low = pa.array([t.lower() if t.isascii() or is_latin(t) else t for t in texts], pa.string())
+        low = pa.array([t if "<|" in t or not is_latin(t) else t.lower() for t in texts], pa.string())
         split = pc.split_pattern(pc.replace_substring_regex(pc.replace_substring(low, "\n", " "), self.STOPS, r"\1 \2"), " ")
         coded = split.flatten().dictionary_encode()
         kinds, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
@@ -78,6 +86,13 @@ class ChunkIds:
         return flat[take], ends[split.offsets.to_numpy()]
 
 
+def byte_signs() -> dict[int, str]:
+    """The sign by which a byte-level vocabulary writes a byte: itself if it can be seen, else one after U+0100 in order."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(seen)]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 _KNOWN: dict[str, ChunkIds] = {}
 
 
@@ -89,6 +104,8 @@ def known_chunks(path: str) -> ChunkIds:
 
 
 def is_latin(text: str) -> bool:
+    if text.isascii():
+        return True
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:

@@ -149,6 +149,20 @@ def test_packing(docs, none):
     assert packing.pack(none, WORDS).count() == 0
 
 
+def test_packing_ids_are_the_tokenizers():
+    """Every text, special tokens written out and letters that lower-casing parts among them."""
+    from tokenizers import Tokenizer
+
+    tokenizer, known, rng = Tokenizer.from_file(WORDS), packing.ChunkIds(WORDS, limit=3000), random.Random(4)
+    odd = ["İ", "İ.", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|", "|>", "\u0307", "ﬁ", "ß", "ẞ", "Σ", "ς", "क़", "\u037e", "K", "'s", "'", "ﬀ.", "\u0301", "é", "É!", "\xa0", "\u3000", "\x85", "\x1c", "\t", "\r\n", "漢", "😀", "²", "Ⅷ", "٣.", "="]
+    plain = list("aB9.,;:!?éÉßµªÿ×÷\x00\x7f") + ["\n", " ", " ", "word", "Word.", "end:"]
+    for turn in range(40):
+        texts = ["".join(rng.choices(odd + plain * 2 if turn % 2 else plain + odd[turn // 2 % len(odd) :][:2], k=rng.randint(0, 12))) for _ in range(300)]
+        flat, ends = known.ids(texts)
+        for t, a, b in zip(texts, ends[:-1], ends[1:]):
+            assert flat[a:b].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
 def test_quality(docs, none):
     rows = {r["doc_id"]: r for r in quality.verdicts(docs).collect()}
     assert len(rows) == len(corpus())
