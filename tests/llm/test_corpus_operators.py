@@ -173,8 +173,9 @@ def test_quality(docs, none):
         for x in windows:
             seen[x] = seen.get(x, 0) + 1
         covered = {k + j for k, x in enumerate(windows) if seen[x] > 1 for j in range(5)}
-        r = rows[i]
+        r, lines = rows[i], [x for x in (t or "").split("\n") if x.strip(" \t\x0b\x0c\r")]
         assert (r["n_words"], r["word_chars"], r["n_repeat_words"]) == (len(w), sum(len(x.decode()) for x in w), len(covered))
+        assert (r["n_symbols"], r["n_dup_lines"]) == (sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)))
         assert r["base_failed"] == (len(w) < 10 or 100 * len(covered) > 20 * len(w)) and not (r["base_failed"] and r["kept"])
     assert quality.verdicts(none).count() == 0
 
