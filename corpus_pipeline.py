@@ -3,9 +3,10 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next one's docs.  All but the last return the columns of ``documents``.
 
-Defined results: rows with a null doc_id are never dropped by the quality and near-duplicate stages, whose decisions are by
-doc_id; a document whose lines all go in line dedup goes; empty and null texts fail the quality rules; an empty table
-passes through as one.
+Defined results: decisions are by row, so rows that share a doc_id, or have none, are documents of their own; of near
+duplicates the row with the least doc_id stays (one without an id only if none has one, of equal ids the first row read); a
+document whose lines all go in line dedup goes; empty and null texts pass toxicity and fail the quality rules; texts of any
+length are read whole; columns other than those of ``documents`` are left out; an empty table passes through as one.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Scratch, maybe_broadcast, table
+from millrace.llm.common import Scratch, maybe_broadcast, numbered, table
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.ngram_join import join_components
 from millrace.llm.packing import pack
@@ -24,9 +25,15 @@ from millrace.llm.toxicity import clean_rows, fit, held_out
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _without(spark: SparkSession, docs: DataFrame, gone: DataFrame) -> DataFrame:
-    gone = Scratch(spark).save(gone.select("doc_id").distinct(), "gone")
-    return docs.join(maybe_broadcast(gone), "doc_id", "left_anti").select(*COLUMNS)
+def _numbered(spark: SparkSession, docs: DataFrame) -> tuple[Scratch, DataFrame]:
+    """The rows with numbers of their own, written, by which decisions are carried."""
+    scratch = Scratch(spark)
+    return scratch, numbered(docs.select(*COLUMNS), scratch)[0]
+
+
+def _without(scratch: Scratch, rows: DataFrame, gone: DataFrame) -> DataFrame:
+    gone = scratch.save(gone.select(F.col("doc_id").alias("row")), "gone")
+    return rows.join(maybe_broadcast(gone), "row", "left_anti").select(*COLUMNS)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +42,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(spark, docs, verdicts(docs).where("not kept"))
+    scratch, rows = _numbered(spark, docs)
+    return _without(scratch, rows, verdicts(rows.select(F.col("row").alias("doc_id"), "text", "lang", "source")).where("not kept"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +53,14 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(spark, docs, join_components(docs, k=5, percent=80).where("doc_id <> component_id"))
+    scratch, rows = _numbered(spark, docs)
+    found = join_components(rows.select(F.col("row").alias("doc_id"), "text"), k=5, percent=80)
+    sizes = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    linked = scratch.save(found.join(sizes, "component_id").select("component_id", F.col("doc_id").alias("row")), "linked")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    named = scratch.save(rows.select("doc_id", "row").join(linked, "row").select("component_id", "row", order.alias("order")), "named")
+    first = named.groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.row").alias("row"))
+    return _without(scratch, rows, named.join(first, "row", "left_anti").select(F.col("row").alias("doc_id")))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
