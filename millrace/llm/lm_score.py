@@ -3,7 +3,9 @@
 A target and a background bigram model share one vocabulary (all words of the corpus) and one smoothing, so their losses
 differ by what they have seen alone.  Words and bigrams are counted exactly over all documents.  A token's loss under a
 model is -log2 of its interpolated probability; a document's score is its mean loss under the target less that under the
-background, so lower is closer to the target.
+background, so lower is closer to the target.  Each document is left out of the models that score it: its own counts are
+taken off those of the background, and off those of the target if it is a target row, so that a document isn't told by its
+own words.  Both models grow with the corpus: the background is counted over all of it, the target over all its rows.
 
 Words and bigrams are known by 63-bit hashes, of which two of a billion are equal with a chance of about one in twenty.
 Texts are dealt into chunks and hashes into blocks, as many of each as the corpus' counted size asks for.  A chunk sends
@@ -12,7 +14,9 @@ order; the chunk's texts, read again, are scored with the answers.  So a task ho
 once a chunk whatever its count, and only three totals reach the driver.
 
 Defined results: a null or empty text has no tokens, and null losses and score; target rows are those whose id is in the
-target table; without any the models differ only by smoothing; repeated rows are counted and scored each.
+target table, so a row without an id is none; without any the models differ only by smoothing; repeated rows are counted and
+scored each, and each leaves out one of them; texts of any length are read whole; other columns, whatever their names, are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -142,7 +146,7 @@ def answers(asked: DataFrame) -> DataFrame:
     return asked.groupBy("block").applyInArrow(run, "chunk int, block int, counts binary, n long, n_target long, kinds long")
 
 
-def losses(before: np.ndarray, word: np.ndarray, pair: np.ndarray, total: int, kinds: int) -> np.ndarray:
+def losses(before: np.ndarray, word: np.ndarray, pair: np.ndarray, total: np.ndarray, kinds: int) -> np.ndarray:
     """Bits of words from the counts of the word before, of the word and of both; one kind more stands for unseen words."""
     floor = (word + ADDED) / (total + ADDED * (kinds + 1))
     follow = np.divide(pair, before, out=np.zeros(len(before)), where=before > 0)
@@ -150,6 +154,13 @@ def losses(before: np.ndarray, word: np.ndarray, pair: np.ndarray, total: int, k
     return -np.log2(weight * follow + (1 - weight) * floor)
 
 
+def own_counts(keys: np.ndarray, sizes: np.ndarray, distinct: int) -> np.ndarray:
+    """For each key of texts one after another, how often its own text has it."""
+    pairs = np.repeat(np.arange(len(sizes)), sizes) * distinct + keys
+    _, place, n = np.unique(pairs, return_inverse=True, return_counts=True)
+    return n[place]
+
+
 def scores(docs: DataFrame, targets: DataFrame, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_tokens, target_loss, background_loss, score; ``targets`` has doc_id."""
     scratch = Scratch(docs.sparkSession)
@@ -158,13 +169,13 @@ def scores(docs: DataFrame, targets: DataFrame, chunk: int = CHUNK, block: int =
     chunks, blocks = size // chunk + 1, size // block + 1
     docs = docs.withColumn("chunk", F.expr(f"int(pmod(xxhash64(doc_id, text), {chunks}))"))
     chosen = scratch.save(targets.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("is_target", F.lit(True)), "targets")
-    flagged = docs.join(maybe_broadcast(chosen), "doc_id", "left").select("chunk", F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
-    flagged = packed(flagged, "chunk int, is_target boolean, text binary")
+    docs = docs.join(maybe_broadcast(chosen), "doc_id", "left").withColumn("is_target", F.coalesce("is_target", F.lit(False)))
+    flagged = packed(docs.select("chunk", "is_target", "text"), "chunk int, is_target boolean, text binary")
     found = scratch.save(answers(requests(flagged.repartitionById(chunks, F.col("chunk")).sortWithinPartitions("chunk"), blocks)), "answers")
     total = [v or 0 for v in found.agg(F.sum("n_target"), F.sum("n"), F.sum("kinds")).first()]
 
     def scored(rows, held, back):
-        """A batch of a chunk's rows (doc_id, text's digest) by the keys of its distinct texts and the answered counts."""
+        """A batch of a chunk's rows (doc_id, (is target, text's digest)) by the keys of its distinct texts and the answered counts."""
         per_text = {}
         full = [d for d, (_, pairs) in held.items() if len(pairs)]
         if full:
@@ -176,11 +187,18 @@ def scores(docs: DataFrame, targets: DataFrame, chunk: int = CHUNK, block: int =
                 raise RuntimeError("the texts read to be scored aren't those that were counted")
             single, pair = place[: sizes.sum() + len(sizes)], place[sizes.sum() + len(sizes) :]
             first = np.cumsum(sizes + 1) - sizes - 1
-            last = first + sizes
+            last, starts = first + sizes, np.cumsum(sizes) - sizes
+            # What a text has of its own: its words and the start, and its bigrams, counted by (text, key).
+            own_single, own_pair = own_counts(single, sizes + 1, len(distinct)), own_counts(pair, sizes, len(distinct))
             before, word = np.delete(single, last), np.delete(single, first)
-            a, b = (losses(c[before].astype(float), c[word], c[pair], n, total[2]) for c, n in zip(counts[::-1], total))
-            starts = np.cumsum(sizes) - sizes
-            sums = [np.add.reduceat(v, starts) / sizes for v in (a, b, a - b)]
+            own_before, own_word = np.delete(own_single, last), np.delete(own_single, first)
+            target = np.repeat(np.array([t for t, _ in full]), sizes)
+            length = np.repeat(sizes, sizes)
+            found = []
+            for c, n, out in ((counts[1], total[0], target), (counts[0], total[1], np.ones(len(word), bool))):
+                less = out.astype(np.int64)
+                found.append(losses((c[before] - less * own_before).astype(float), c[word] - less * own_word, c[pair] - less * own_pair, n - less * length, total[2]))
+            sums = [np.add.reduceat(v, starts) / sizes for v in (*found, found[0] - found[1])]
             per_text = {d: (int(n), *map(float, v)) for d, n, *v in zip(full, sizes, *sums)}
         columns = [*zip(*(per_text.get(d, (0, None, None, None)) for _, d in rows))]
         kinds_of = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
@@ -200,16 +218,17 @@ def scores(docs: DataFrame, targets: DataFrame, chunk: int = CHUNK, block: int =
                     back.append(unplanes(counts).reshape(2, -1).astype(np.int64))
                     continue
                 t = zlib.decompress(t)
-                digest = xxhash.xxh3_128_digest(t)
-                rows.append((doc_id, digest))
-                if digest not in held:
-                    held[digest] = keys_of(t, hashes)
+                known = (which == -2, xxhash.xxh3_128_digest(t))
+                rows.append((doc_id, known))
+                if known not in held:
+                    held[known] = keys_of(t, hashes)
         if rows:
             yield scored(rows, held, back)
 
-    # A chunk's texts come first (block -1), then its answers in the order of blocks, which is that of the keys.
-    texts = packed(docs.select("chunk", "doc_id", "text"), "chunk int, doc_id long, text binary")
-    texts = texts.select("chunk", F.lit(-1).alias("block"), "doc_id", "text", F.lit(None).cast("binary").alias("counts"))
+    # A chunk's texts come first (block -2 if of the target, else -1), then its answers in the order of blocks, which is that of the keys.
+    coded = F.when(F.col("is_target"), F.col("chunk") * 2 + 1).otherwise(F.col("chunk") * 2)
+    texts = packed(docs.select(coded.cast("long").alias("chunk"), "doc_id", "text"), "chunk long, doc_id long, text binary")
+    texts = texts.select(F.expr("int(chunk div 2)").alias("chunk"), F.expr("int(-1 - chunk % 2)").alias("block"), "doc_id", "text", F.lit(None).cast("binary").alias("counts"))
     replies = found.select("chunk", "block", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("text"), "counts")
     both = texts.unionByName(replies).repartitionById(chunks, F.col("chunk")).sortWithinPartitions("chunk", "block")
     return both.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

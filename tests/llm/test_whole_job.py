@@ -24,10 +24,11 @@ def test_lm_score_counts_every_word_and_bigram(spark):
     totals = [sum(n.values()) - n[""] for n in single]
     assert kinds > 65_536
 
-    def loss(model, a, b):
-        n = single[model]
-        floor = (n[b] + 0.5) / (totals[model] + 0.5 * (kinds + 1))
-        return -math.log2(0.6 * pairs[model][a, b] / n[a] + 0.4 * floor if n[a] else floor)
+    def loss(model, own, a, b):
+        """Of a token, by the model's counts less those of its own text, if the model has seen that."""
+        n = {x: single[model][x] - own[0][x] for x in (a, b)}
+        floor = (n[b] + 0.5) / (totals[model] - own[2] + 0.5 * (kinds + 1))
+        return -math.log2(0.6 * (pairs[model][a, b] - own[1][a, b]) / n[a] + 0.4 * floor if n[a] else floor)
 
     docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3)
     targets = spark.createDataFrame([(i,) for i in range(20)], "doc_id long")
@@ -36,7 +37,9 @@ def test_lm_score_counts_every_word_and_bigram(spark):
         assert len(rows) == len(texts)
         for i, t in enumerate(texts):
             w = ["", *(t or "").split()]
-            want = [sum(loss(m, a, b) for a, b in zip(w, w[1:])) / (len(w) - 1) for m in (0, 1)] if len(w) > 1 else [None, None]
+            own, none = (Counter(w), Counter(zip(w, w[1:])), len(w) - 1), (Counter(), Counter(), 0)
+            seen = [own if i < 20 else none, own]
+            want = [sum(loss(m, seen[m], a, b) for a, b in zip(w, w[1:])) / (len(w) - 1) for m in (0, 1)] if len(w) > 1 else [None, None]
             assert rows[i]["n_tokens"] == len(w) - 1
             for got, v in zip((rows[i]["target_loss"], rows[i]["background_loss"]), want):
                 assert got == v or abs(got - v) < 1e-9
