@@ -6,10 +6,12 @@ done when it has one row or has ended, and only rows of other groups go on, with
 that of the bytes themselves; no digest decides it.
 
 A digit's count and largest id are combined before the shuffle and found by (group, digit, salt), so that a text with a
-third of all rows is spread over ``salts`` tasks and no task gathers a group.  Each round is a written table.
+third of all rows is spread over as many tasks as the number of rows asks for and no task gathers a group.  Each round is a
+written table, of which the rows that go on are dropped once the next round is written.
 
-Defined results: a null text counts as empty; all empty texts are equal; of equal texts the row with the largest doc_id
-stays (of rows equal in doc_id too, one); a null doc_id is less than any other; an empty table gives an empty result.
+Defined results: a null text counts as empty; all empty texts are equal; texts of any length are compared whole; of equal
+texts the row with the largest doc_id stays (of rows equal in doc_id too, one); a null doc_id is less than any other; other
+columns, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,12 +41,13 @@ def normalised(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, rest binary, text_sha256 string")
 
 
-def radix_groups(docs: DataFrame, salts: int = 32) -> DataFrame:
+def radix_groups(docs: DataFrame, salts: int = 32, salt_rows: int = 100_000) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256, rounds."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     active = normalised(docs).withColumns({"row": F.monotonically_increasing_id(), "group": F.lit(0).cast("long"), "rest": F.col("rest")})
     active = scratch.save(active, "round-0")
+    salts = max(salts, active.count() // salt_rows)
     results, width, turn = [], FIRST_WIDTH, 0
     while True:
         turn += 1
@@ -59,9 +62,9 @@ def radix_groups(docs: DataFrame, salts: int = 32) -> DataFrame:
             "doc_id", "row", "text_sha256", F.col("top.row").alias("group"), F.col("top.doc_id").alias("keep_id"), "n",
             (F.col("ended") | (F.col("n") == 1)).alias("done"), F.when(~F.col("ended") & (F.col("n") > 1), F.expr(f"substring(rest, {width + 1})")).alias("rest"),
         )
-        split = scratch.save(split, f"split-{turn}")
-        if turn == 1:
-            scratch.drop("round-0")
+        split.write.partitionBy("done").mode("overwrite").parquet(f"{scratch.dir}/split-{turn}")
+        scratch.drop("round-0" if turn == 1 else f"split-{turn - 1}/done=false")
+        split = spark.read.schema(split.schema).parquet(f"{scratch.dir}/split-{turn}")
         results.append(split.where("done").select(
             "doc_id", "keep_id", F.col("n").alias("group_size"), (F.col("row") == F.col("group")).alias("kept"), "text_sha256", F.lit(turn).alias("rounds"),
         ))
