@@ -6,15 +6,18 @@
    links, a good one gives few candidates.  The arrays have a fixed size and are summed within tasks first.
 2. Documents with equal sets are one node, the least doc_id of them.
 3. A second pass emits each set's prefix.  Tokens that only one node has are dropped.
-4. Nodes of a token are paired with the token's pivot (the one in which it comes first), so groups of near copies give
-   as many pairs as members; what links is joined into components.  Only pairs of nodes that share a token and are
-   in different components then follow, at the token's place in the shorter node's index prefix.  So each pair that could
-   link is verified once or already connected, and no group emits all its pairs.
+4. Nodes of a token are paired with the pivots of the token (of each class of lengths, the node in which it comes first),
+   so groups of near copies give a few times as many pairs as members; what links is joined into components.  Only
+   pairs of nodes that share a token and are in different components and in the same or adjoining classes of lengths
+   then follow, at the token's place in the shorter node's index prefix, joined by token and class, so that a token of
+   many nodes is split by class.  So each pair that could link is verified once or already connected, and copies of
+   one another never emit all their pairs.
 5. Verification: a suffix filter (split at the middle element) before the exact intersection of both sets.
 
 Defined results: lower-casing touches A-Z only; a null or empty text, or one without words, has no shingles and links
 with nothing (its component is itself); fewer words than a shingle make one shingle; rows that share a doc_id are one
-node; a null doc_id links with nothing; an empty table gives an empty result.
+node; a null doc_id links with nothing; texts of any length are read whole, and ties in rarity are broken by the hash; other
+columns, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -85,7 +88,11 @@ def rarity(parts: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, scale, k: int, percent: int) -> DataFrame:
-    """(token, doc_id, n, pos) for the prefix of each document's ordered set."""
+    """(token, doc_id, n, pos, class) for the prefix of each document's ordered set; sets that link are of the same or adjoining classes."""
+    edges = [1]  # a class is the sizes from one edge to before the next; a set of size n links with sizes up to 100 * n / percent
+    while edges[-1] < 2**31:
+        edges.append(edges[-1] * 100 // percent + 1)
+    edges = np.array(edges)
 
     def run(iterator):
         hashes, levels = WordHashes(), scale.value
@@ -111,11 +118,12 @@ def prefixes(docs: DataFrame, scale, k: int, percent: int) -> DataFrame:
             if ids:
                 reps = np.array(places)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(tokens)), pa.array(np.repeat(np.array(ids, np.int64), reps)), pa.array(np.repeat(np.array(sizes, np.int32), reps)), pa.array(np.concatenate([np.arange(r, dtype=np.int32) for r in places]))],
-                    names=["token", "doc_id", "n", "pos"],
-                )
+                    [pa.array(np.concatenate(tokens)), pa.array(np.repeat(np.array(ids, np.int64), reps)), pa.array(np.repeat(np.array(sizes, np.int32), reps)), pa.array(np.concatenate([np.arange(r, dtype=np.int32) for r in places])),
+                     pa.array(np.repeat(np.searchsorted(edges, np.array(sizes), side="right").astype(np.int32), reps))],
+                    names=["token", "doc_id", "n", "pos", "class"],
+                )
 
-    return docs.mapInArrow(run, "token long, doc_id long, n int, pos int")
+    return docs.mapInArrow(run, "token long, doc_id long, n int, pos int, class int")
 
 
 def sets_of(docs: DataFrame, k: int) -> DataFrame:
@@ -196,22 +204,23 @@ def join_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     prefix = scratch.save(prefixes(docs, scale, k, percent), "prefix")
     shared = prefix.groupBy("token").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("token")
     gone = scratch.save(nodes.where("doc_id <> rep").select("doc_id").distinct(), "gone")
-    hits = scratch.save(prefix.join(shared, "token").join(maybe_broadcast(gone), "doc_id", "left_anti").select("token", "doc_id", "n", "pos"), "hits")
+    hits = scratch.save(prefix.join(shared, "token").join(maybe_broadcast(gone), "doc_id", "left_anti").select("token", "doc_id", "n", "pos", "class"), "hits")
     scratch.drop("prefix")
 
-    pivots = hits.groupBy("token").agg(F.min(F.struct("pos", "n", "doc_id")).alias("p")).select("token", "p.*")
-    stars = hits.alias("x").join(pivots.alias("y"), F.expr(f"x.token = y.token and x.doc_id <> y.doc_id and {_passes('x', 'y', percent)}"))
+    pivots = hits.groupBy("token", "class").agg(F.min(F.struct("pos", "n", "doc_id")).alias("p")).select("token", "class", "p.*")
+    near = pivots.select("token", F.explode(F.expr("array(class - 1, class, class + 1)")).alias("class"), "pos", "n", "doc_id")
+    stars = hits.alias("x").join(near.alias("y"), F.expr(f"x.token = y.token and x.class = y.class and x.doc_id <> y.doc_id and {_passes('x', 'y', percent)}"))
     stars = scratch.save(stars.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct(), "stars")
     links = verified(scratch, docs, stars, k, percent, "star")
     so_far = components(scratch, links, name="cc1")
 
-    placed = hits.join(so_far, hits["doc_id"] == so_far["node"], "left").select("token", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("c"))
+    placed = hits.join(so_far, hits["doc_id"] == so_far["node"], "left").select("token", "doc_id", "n", "pos", "class", F.coalesce("component", "doc_id").alias("c"))
     placed = scratch.save(placed, "placed")
     mixed = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
     placed = scratch.save(placed.join(mixed, "token").where(f"pos < n - ceil({percent}.0 * n / 100) + 1"), "mixed")
     index = f"n - ceil({2 * percent} * n / {100 + percent}.0) + 1"
-    shorter = placed.where(f"pos < {index}")
-    on = f"x.token = y.token and x.c <> y.c and (x.n < y.n or x.n = y.n and x.doc_id < y.doc_id) and {_passes('x', 'y', percent)}"
+    shorter = placed.where(f"pos < {index}").select("token", "doc_id", "n", "pos", "c", F.explode(F.expr("array(class, class + 1)")).alias("class"))
+    on = f"x.token = y.token and x.class = y.class and x.c <> y.c and (x.n < y.n or x.n = y.n and x.doc_id < y.doc_id) and {_passes('x', 'y', percent)}"
     rest = shorter.alias("x").join(placed.alias("y"), F.expr(on)).select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
     rest = scratch.save(rest.join(stars, ["a", "b"], "left_anti"), "rest")
     more = verified(scratch, docs, rest, k, percent, "rest")
