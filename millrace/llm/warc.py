@@ -8,8 +8,12 @@ Archives are written to and read from the folder given as a URI (file, hdfs, s3,
 executors must see it.  A task writes under a name with its attempt and the manifest lists only files of tasks that
 succeeded, so a lost executor leaves at most an unlisted file.
 
+A place where a record must begin, but none can be decoded whole (a damaged or cut member), gives a row of type ``corrupt``
+with its path and start, and reading goes on at the next record; so a damaged archive is never read as a smaller one.
+
 Defined results: a null html is an empty payload, a null url an empty one; of rows equal in page_id and payload each is
-written, with the same type; null page ids come back null; payloads of any length are streamed; no pages give no archives and no records.
+written, with the same type; null page ids come back null; payloads may have any length, and one record at a time is held
+whole by a task; other columns, whatever their names, are ignored; no pages give no archives and no records.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 URN = "urn:millrace:page:"
 READ = 1 << 18
+#: Reading tasks at most; beyond that each reads more ranges.
+TASKS = 20_000
 
 
 def open_folder(uri: str):
@@ -125,19 +131,19 @@ class Reader:
         return self.data
 
     def member(self, at: int):
-        """The decoded member at ``at`` and its end, or None if there's no WARC record there."""
+        """(content, end) of the decoded member at ``at``; None if no WARC record begins there, False if one does but is damaged."""
         unpack, parts, read, first = zlib.decompressobj(31), [], at, True
         while not unpack.eof:
             data = self.fill(at, 1) if first else b""
             if not first:  # beyond what is held: streamed, so that only the decoded record is kept whole
                 self.file.seek(read)
                 data = self.file.read(READ)
-            if not data:
-                return None
             try:
+                if not data:
+                    raise zlib.error("the file ends inside a member")
                 parts.append(unpack.decompress(data))
             except zlib.error:
-                return None
+                return False if b"".join(parts).startswith(b"WARC/1.") else None
             if first and parts[0] and not parts[0].startswith(b"WARC/1."[: len(parts[0])]):
                 return None
             read += len(data)
@@ -146,7 +152,8 @@ class Reader:
         return (content, read - len(unpack.unused_data)) if content.startswith(b"WARC/1.") else None
 
     def __iter__(self):
-        at, known = self.start, False
+        """(start, length, content) of records; content is None for a damaged one.  At the file's start and behind a record there must be one."""
+        at, known = self.start, self.start == 0
         while at < min(self.end, self.size):
             data = self.fill(at, READ)
             if not known:
@@ -160,15 +167,21 @@ class Reader:
                 if at >= self.end:
                     return
             got = self.member(at)
-            if got is None:
-                at, known = at + 1, False
+            if got:
+                content, stop = got
+                yield at, stop - at, content
+                at, known = stop, True
                 continue
-            content, stop = got
-            yield at, stop - at, content
-            at, known = stop, True
+            if known or got is False:
+                yield at, 0, None
+            at, known = at + 1, False
+        if known and self.end <= at < self.size and self.member(at) is None:
+            yield at, 0, None  # the next range's task can't know that a record should begin here
 
 
-def parse(content: bytes) -> dict:
+def parse(content: bytes | None) -> dict:
+    if content is None:
+        return dict.fromkeys(("page_id", "url", "payload", "payload_bytes", "payload_digest", "refers_to")) | {"record_type": "corrupt"}
     head, _, rest = content.partition(b"\r\n\r\n")
     fields = {}
     for line in head.split(b"\r\n")[1:]:
@@ -213,7 +226,7 @@ def read_archives(files: DataFrame, folder: str, columns: tuple[str, ...] = tupl
                     for at, length, content in Reader(file, size, start, end):
                         row = parse(content) | {"path": path, "start": at, "length": length}
                         rows.append([row[c] for c in columns])
-                        held += len(content)
+                        held += len(content or b"")
                         if len(rows) >= 1000 or held > 16 << 20:
                             yield pa.RecordBatch.from_arrays([pa.array(v, _FIELDS[c][1]) for v, c in zip(zip(*rows), columns)], names=[*columns])
                             rows, held = [], 0
@@ -222,4 +235,6 @@ def read_archives(files: DataFrame, folder: str, columns: tuple[str, ...] = tupl
 
     starts = files.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
     ranges = starts.select("path", "bytes", "start", F.least(F.col("start") + split_bytes, "bytes").alias("end"))
-    return ranges.repartition("path", "start").mapInArrow(run, ", ".join(f"{c} {_FIELDS[c][0]}" for c in columns))
+    # As many tasks as ranges, up to TASKS; a number that is given isn't lowered because the rows of ranges are small.
+    tasks = max(1, min(TASKS, ranges.count()))
+    return ranges.repartition(tasks, "path", "start").mapInArrow(run, ", ".join(f"{c} {_FIELDS[c][0]}" for c in columns))

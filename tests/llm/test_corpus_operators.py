@@ -228,3 +228,28 @@ def test_warc(spark):
         got = warc.read_archives(manifest, folder, ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), split)
         assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
     assert warc.write_archives(pages.limit(0), folder + "-none").count() == 0
+
+
+def test_warc_reads_in_many_tasks_and_reports_damage(spark):
+    rng = random.Random(3)
+    pages = spark.createDataFrame([(i, "u", "".join(rng.choices("abcdef", k=3000))) for i in range(60)], "page_id long, url string, html string").coalesce(1)
+    folder = f"{Scratch(spark).dir}/archives"
+    manifest = warc.write_archives(pages, folder)
+    columns = ("page_id", "record_type", "path", "start", "length")
+    got = warc.read_archives(manifest, folder, columns, 4000)
+    size = manifest.first()["bytes"]
+    assert got.rdd.getNumPartitions() == -(-size // 4000) and got.count() == 60
+    tasks = {r[0] for r in got.selectExpr("spark_partition_id()").collect()}
+    assert len(tasks) > 8
+    places = sorted((r["start"], r["length"]) for r in got.collect())
+    path = f"{folder}/{got.first()['path']}".removeprefix("file://")
+    whole = open(path, "rb").read()
+    for k in (0, 7, 31):  # a header's magic, then a payload's middle, then a cut file
+        at, n = places[k]
+        for data in (whole[:at] + b"xxxx" + whole[at + 4 :], whole[: at + n // 2] + b"\0" * 9 + whole[at + n // 2 + 9 :], whole[: at + n // 2]):
+            open(path, "wb").write(data)
+            cut = manifest.selectExpr("path", f"{len(data)}L as bytes", "records")
+            for split in (4000, 1 << 20):
+                rows = warc.read_archives(cut, folder, columns, split).collect()
+                assert [r["start"] for r in rows if r["record_type"] == "corrupt"] == [at]
+                assert len(rows) == (60 if len(data) == len(whole) else k + 1)
