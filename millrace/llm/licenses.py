@@ -6,8 +6,9 @@ which must be there.  The identifiers, in order, are then matched against the
 ordered rules: a rule is a sequence of identifiers which may have up to ``gap`` other sentences between them.  The first
 rule that fits at a place takes its sentences, and the search goes on behind them.
 
-Defined results: null and empty texts have no licences; a sentence of any length is looked up whole; repeated rows are
-scanned each; an empty table gives an empty result.
+Defined results: null and empty texts have no licences; texts and sentences of any length are read whole; repeated rows
+and null ids are scanned each; of rules that fit at one place the first in ``RULES`` counts; other columns, whatever their
+names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -49,7 +50,48 @@ SENTENCES = {
     "lgpl-ref": ["This work is licensed under the GNU Lesser General Public License, version 3", "SPDX-License-Identifier: LGPL-3.0-only"],
     "agpl-ref": ["This work is licensed under the GNU Affero General Public License, version 3", "SPDX-License-Identifier: AGPL-3.0-only"],
     "mpl-ref": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "Licensed under the Mozilla Public License 2.0", "SPDX-License-Identifier: MPL-2.0"],
-    "cc0-ref": ["Licensed under CC0 1.0", "This work is dedicated to the public domain under a CC0 1.0 license"],
+    "mpl-copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/", "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/"],
+    "mpl1-ref": ["The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\")", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1", "Licensed under the Mozilla Public License 1.1", "SPDX-License-Identifier: MPL-1.1"],
+    "mit-nowarranty": ["IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"],
+    "mit0-grant": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"],
+    "mit0-ref": ["SPDX-License-Identifier: MIT-0", "MIT No Attribution"],
+    "0bsd-grant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
+    "0bsd-ref": ["SPDX-License-Identifier: 0BSD", "Zero-Clause BSD", "BSD Zero Clause License"],
+    "bsd-ads": ["All advertising materials mentioning features or use of this software must display the following acknowledgement"],
+    "bsd-warranty": ["THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED"],
+    "lgpl21-free": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version"],
+    "lgpl3-free": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"],
+    "agpl3-free": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"],
+    "lgpl21-ref": ["This work is licensed under the GNU Lesser General Public License, version 2.1", "SPDX-License-Identifier: LGPL-2.1-only"],
+    "gpl2l-ref": ["SPDX-License-Identifier: GPL-2.0-or-later"],
+    "gpl3l-ref": ["SPDX-License-Identifier: GPL-3.0-or-later"],
+    "lgpl21l-ref": ["SPDX-License-Identifier: LGPL-2.1-or-later"],
+    "lgpl3l-ref": ["SPDX-License-Identifier: LGPL-3.0-or-later"],
+    "agpl3l-ref": ["SPDX-License-Identifier: AGPL-3.0-or-later"],
+    "gpl2-title": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "gpl3-title": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "lgpl21-title": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "lgpl3-title": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "agpl3-title": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "apache-title": ["Apache License Version 2.0, January 2004"],
+    "mpl-title": ["Mozilla Public License Version 2.0"],
+    "mpl1-title": ["Mozilla Public License Version 1.1"],
+    "epl1-ref": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0", "SPDX-License-Identifier: EPL-1.0"],
+    "epl2-ref": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0", "SPDX-License-Identifier: EPL-2.0"],
+    "bsl-title": ["Boost Software License - Version 1.0 - August 17th, 2003"],
+    "bsl-ref": ["Distributed under the Boost Software License, Version 1.0", "SPDX-License-Identifier: BSL-1.0"],
+    "zlib-grant": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"],
+    "zlib-ref": ["SPDX-License-Identifier: Zlib"],
+    "artistic-ref": ["Licensed under the Artistic License 2.0", "SPDX-License-Identifier: Artistic-2.0"],
+    "wtfpl-title": ["DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE"],
+    "eupl-ref": ["Licensed under the EUPL, Version 1.2", "Licensed under the EUPL-1.2", "SPDX-License-Identifier: EUPL-1.2"],
+    "cddl-ref": ["The contents of this file are subject to the terms of the Common Development and Distribution License", "SPDX-License-Identifier: CDDL-1.0"],
+    "ofl-ref": ["This Font Software is licensed under the SIL Open Font License, Version 1.1", "SPDX-License-Identifier: OFL-1.1"],
+    "postgres-grant": ["Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies"],
+    "sspl-ref": ["SPDX-License-Identifier: SSPL-1.0", "Licensed under the Server Side Public License, version 1"],
+    "busl-ref": ["SPDX-License-Identifier: BUSL-1.1", "Licensed under the Business Source License 1.1"],
+    "unlicense-ref": ["SPDX-License-Identifier: Unlicense"],
+    "cc0-ref": ["Licensed under CC0 1.0", "SPDX-License-Identifier: CC0-1.0", "This work is dedicated to the public domain under a CC0 1.0 license"],
     "unlicense": ["This is free and unencumbered software released into the public domain"],
     "rights": ["All rights reserved"],
 }
@@ -60,9 +102,18 @@ for _parts in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
 
 #: Ordered rules: (licence, category, identifiers in order).  Longer and more specific ones come first.
 RULES = [
+    ("MIT", "permissive", ("mit-title", "mit-grant", "mit-notice", "as-is", "mit-nowarranty")),
+    ("MIT", "permissive", ("mit-grant", "mit-notice", "as-is", "mit-nowarranty")),
     ("MIT", "permissive", ("mit-title", "mit-grant", "mit-notice", "as-is")),
     ("MIT", "permissive", ("mit-grant", "mit-notice", "as-is")),
     ("MIT", "permissive", ("mit-grant", "mit-notice")),
+    ("MIT-0", "permissive", ("mit0-ref", "mit0-grant", "as-is", "mit-nowarranty")),
+    ("MIT-0", "permissive", ("mit0-grant", "as-is", "mit-nowarranty")),
+    ("MIT-0", "permissive", ("mit0-grant",)),
+    ("BSD-4-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-ads", "bsd-endorse", "bsd-warranty")),
+    ("BSD-4-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-ads", "bsd-endorse")),
+    ("BSD-3-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty")),
+    ("BSD-2-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty")),
     ("BSD-3-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("ISC", "permissive", ("isc-title", "isc-grant")),
@@ -82,7 +133,17 @@ RULES = [
     ("GPL-3.0-only", "copyleft", ("gpl3-ref",)),
     ("LGPL-3.0-only", "copyleft", ("lgpl-ref",)),
     ("AGPL-3.0-only", "copyleft", ("agpl-ref",)),
+    ("MPL-2.0", "copyleft", ("mpl-ref", "mpl-copy")),
     ("MPL-2.0", "copyleft", ("mpl-ref",)),
+    *((licence, category, (f"{name}-{kind}",)) for licence, category, name, kinds in (
+        ("MPL-1.1", "copyleft", "mpl1", "ref title"), ("MPL-2.0", "copyleft", "mpl", "title"), ("MIT-0", "permissive", "mit0", "ref"), ("0BSD", "permissive", "0bsd", "ref grant"),
+        ("LGPL-2.1-only", "copyleft", "lgpl21", "ref title"), ("LGPL-2.1-or-later", "copyleft", "lgpl21", "free"), ("LGPL-3.0-or-later", "copyleft", "lgpl3", "free"), ("AGPL-3.0-or-later", "copyleft", "agpl3", "free"),
+        ("GPL-2.0-or-later", "copyleft", "gpl2l", "ref"), ("GPL-3.0-or-later", "copyleft", "gpl3l", "ref"), ("LGPL-2.1-or-later", "copyleft", "lgpl21l", "ref"), ("LGPL-3.0-or-later", "copyleft", "lgpl3l", "ref"), ("AGPL-3.0-or-later", "copyleft", "agpl3l", "ref"),
+        ("GPL-2.0-only", "copyleft", "gpl2", "title"), ("GPL-3.0-only", "copyleft", "gpl3", "title"), ("LGPL-3.0-only", "copyleft", "lgpl3", "title"), ("AGPL-3.0-only", "copyleft", "agpl3", "title"), ("Apache-2.0", "permissive", "apache", "title"),
+        ("EPL-1.0", "copyleft", "epl1", "ref"), ("EPL-2.0", "copyleft", "epl2", "ref"), ("BSL-1.0", "permissive", "bsl", "title ref"), ("Zlib", "permissive", "zlib", "grant ref"), ("Artistic-2.0", "permissive", "artistic", "ref"),
+        ("WTFPL", "permissive", "wtfpl", "title"), ("EUPL-1.2", "copyleft", "eupl", "ref"), ("CDDL-1.0", "copyleft", "cddl", "ref"), ("OFL-1.1", "permissive", "ofl", "ref"), ("PostgreSQL", "permissive", "postgres", "grant"),
+        ("SSPL-1.0", "source-available", "sspl", "ref"), ("BUSL-1.1", "source-available", "busl", "ref"), ("Unlicense", "public-domain", "unlicense", "ref"),
+    ) for kind in kinds.split()),
     ("CC0-1.0", "public-domain", ("cc0-ref",)),
     ("Unlicense", "public-domain", ("unlicense",)),
     *(

@@ -66,7 +66,12 @@ def test_licenses_find_wrapped_texts():
     holder = "Copyright (c) 2020 Some One and\nothers"
     bsd = [said("bsd-grant") + ":", "1. " + said("bsd-source") + ".", "2. " + said("bsd-binary") + "."]
     gpl2, gpl3 = ([said(k) + ".", said("gpl-hope") + ". See the GNU General Public License for more details."] for k in ("gpl2-free", "gpl-free"))
+    lgpl, mpl = (said("lgpl21-free") + ".", said("mpl-ref") + ". " + said("mpl-copy") + ".")
     texts = {
+        "LGPL-2.1-or-later": [lgpl], "AGPL-3.0-or-later": [said("agpl3-free") + "."], "MPL-2.0": [mpl], "MPL-1.1": [said("mpl1-ref", 1) + "."], "Zlib": [said("zlib-grant") + ":"],
+        "0BSD": [holder, said("0bsd-grant") + "."], "MIT-0": [holder, said("mit0-grant") + ".", said("as-is") + "."],
+        "BSD-4-Clause": [holder + ".", *bsd, "3. " + said("bsd-ads") + ": This product.", "4. " + said("bsd-endorse") + ".", said("bsd-warranty") + "."],
+        "GPL-3.0-only": ["GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", holder],
         "MIT": ["MIT License", holder, said("mit-grant") + ":", said("mit-notice") + ".", said("as-is") + "."],
         "BSD-2-Clause": [holder + ".", *bsd],
         "BSD-3-Clause": [holder + ".", *bsd, "3. " + said("bsd-endorse") + "."],
@@ -79,6 +84,8 @@ def test_licenses_find_wrapped_texts():
             wrapped = "\n\n".join(textwrap.fill(p, width) for p in parts)
             for text in (wrapped, "\n".join("# " + x for x in wrapped.split("\n")), "Unstopped words\n" + wrapped.replace("\n\n", "\n")):
                 assert [m[0] for m in licenses.scan_text(text)] == [licence], (licence, width, text)
+    assert [m[0] for m in licenses.scan_text("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.")] == ["MPL-1.1"]
+    assert licenses.scan_text("This Source Code Form is subject to the terms of the Mozilla Public License, v. 3.0.") == []
     assert licenses.scan_text("We think this program is free software; it costs nothing. This program is free software.") == []
     assert [m[0] for m in licenses.scan_text("Some words\nReleased under the MIT\nLicense. (a) All rights reserved.")] == ["MIT", "proprietary"]
 
@@ -125,3 +132,62 @@ def test_toxicity_learns_long_forms(spark):
     assert [b for b in lexicon.beginnings if b.startswith("x")] and all(len(b) > 25 for b in lexicon.beginnings if b.startswith("x"))
     got = toxicity.score(df, lexicon).join(df.select("doc_id", "toxic"), "doc_id").selectExpr("sum(int(predicted <> toxic))").first()[0]
     assert got == 0
+
+
+def plain_licences(text, gap=3):
+    """Sentences word by word against every known one, and every rule against the places, without a tree."""
+    known = [(licenses.normalise(x).split(), k) for k, xs in licenses.SENTENCES.items() for x in xs]
+    pieces = licenses.pieces_of(text)
+    words = [licenses.normalise(text[a:b]).split() for a, b, _, _ in pieces]
+    marked = [licenses.normalise(licenses.LIST_MARK.sub("", text[a:b])).split() for a, b, _, _ in pieces]
+    units, at, open_ = [], 0, False
+    while at < len(pieces):
+        fits = []
+        for sentence, k in known:
+            end, have = at, []
+            while end < len(pieces) and (end == at or not pieces[end][3]) and len(have) < len(sentence):
+                have = have + (marked if end == at else words)[end]
+                end += 1
+            if have == sentence:
+                fits.append((end, k))
+        if fits:
+            end = max(e for e, _ in fits)
+            units.append([k for e, k in fits if e == end][-1])
+            at, open_ = end, False
+        else:
+            if not (open_ and not pieces[at][2] and not pieces[at][3]):
+                units.append(None)
+            at, open_ = at + 1, True
+    out, at = [], 0
+    while at < len(units):
+        for licence, _, sequence in licenses.RULES if units[at] else ():
+            places = [at] if sequence[0] == units[at] else []
+            for wanted in sequence[1:] if places else ():
+                near = [i for i in range(places[-1] + 1, len(units)) if i <= places[-1] + 1 + gap and units[i] == wanted]
+                if not near:
+                    places = []
+                    break
+                places.append(near[0])
+            if places:
+                out.append(licence)
+                at = places[-1]
+                break
+        at += 1
+    return out
+
+
+def test_licenses_against_brute_force(spark, sf):
+    rng = random.Random(8)
+    said = [x for xs in licenses.SENTENCES.values() for x in xs]
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    for _ in range(400):
+        parts = rng.choices(said, k=rng.randrange(1, 7)) + rng.choices(["Some prose here.", "More of it", "1.", "(a)", "and", "Version 2.0"], k=rng.randrange(0, 5))
+        rng.shuffle(parts)
+        text = rng.choice(["\n\n", "\n", ". ", ".\n", " "]).join(parts)
+        texts.append(textwrap.fill(text, 70) if rng.random() < 0.3 else text)
+    found = 0
+    for t in texts:
+        got = [m[0] for m in licenses.scan_text(t)]
+        found += len(got)
+        assert got == plain_licences(t), t
+    assert found > 500
