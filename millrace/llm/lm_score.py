@@ -154,11 +154,14 @@ def losses(before: np.ndarray, word: np.ndarray, pair: np.ndarray, total: np.nda
     return -np.log2(weight * follow + (1 - weight) * floor)
 
 
-def own_counts(keys: np.ndarray, sizes: np.ndarray, distinct: int) -> np.ndarray:
+def own_counts(keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """For each key of texts one after another, how often its own text has it."""
-    pairs = np.repeat(np.arange(len(sizes)), sizes) * distinct + keys
-    _, place, n = np.unique(pairs, return_inverse=True, return_counts=True)
-    return n[place]
+    out, at = np.empty(len(keys), np.int32), 0
+    for n in sizes.tolist():
+        _, place, counts = np.unique(keys[at : at + n], return_inverse=True, return_counts=True)
+        out[at : at + n] = counts[place]
+        at += n
+    return out
 
 
 def scores(docs: DataFrame, targets: DataFrame, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
@@ -188,16 +191,15 @@ def scores(docs: DataFrame, targets: DataFrame, chunk: int = CHUNK, block: int =
             single, pair = place[: sizes.sum() + len(sizes)], place[sizes.sum() + len(sizes) :]
             first = np.cumsum(sizes + 1) - sizes - 1
             last, starts = first + sizes, np.cumsum(sizes) - sizes
-            # What a text has of its own: its words and the start, and its bigrams, counted by (text, key).
-            own_single, own_pair = own_counts(single, sizes + 1, len(distinct)), own_counts(pair, sizes, len(distinct))
+            # What a text has of its own: its words and the start, and its bigrams.
+            own_single, own_pair = own_counts(single, sizes + 1), own_counts(pair, sizes)
             before, word = np.delete(single, last), np.delete(single, first)
             own_before, own_word = np.delete(own_single, last), np.delete(own_single, first)
-            target = np.repeat(np.array([t for t, _ in full]), sizes)
-            length = np.repeat(sizes, sizes)
-            found = []
-            for c, n, out in ((counts[1], total[0], target), (counts[0], total[1], np.ones(len(word), bool))):
-                less = out.astype(np.int64)
-                found.append(losses((c[before] - less * own_before).astype(float), c[word] - less * own_word, c[pair] - less * own_pair, n - less * length, total[2]))
+            del keys, distinct, place, single, own_single
+            target = np.repeat(np.array([t for t, _ in full], np.int32), sizes)
+            length, found = np.repeat(sizes, sizes), []
+            for c, n, out in ((counts[1], total[0], target), (counts[0], total[1], 1)):
+                found.append(losses((c[before] - out * own_before).astype(float), c[word] - out * own_word, c[pair] - out * own_pair, n - out * length, total[2]))
             sums = [np.add.reduceat(v, starts) / sizes for v in (*found, found[0] - found[1])]
             per_text = {d: (int(n), *map(float, v)) for d, n, *v in zip(full, sizes, *sums)}
         columns = [*zip(*(per_text.get(d, (0, None, None, None)) for _, d in rows))]
