@@ -15,7 +15,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What a written side may have at most to be broadcast: rows, and bytes as they are in its files.
@@ -71,9 +72,29 @@ def unused(name: str, taken: list[str]) -> str:
 
 
 def numbered(docs: DataFrame, scratch: Scratch, name: str = "numbered") -> tuple[DataFrame, str]:
-    """The rows with a number of their own, written once so that it stays, and the number's column."""
+    """The rows with a number of their own that stays the same however often they are read, and the number's column.
+
+    Rows that come straight from files are numbered by file and place in it; others are written once with their numbers.
+    """
     row = unused("row", docs.columns)
-    return scratch.save(docs.withColumn(row, F.monotonically_increasing_id()), name), row
+    node = docs._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    if node.nodeName() != "LogicalRelation" or "row_index" not in _metadata_fields(docs):
+        return scratch.save(docs.withColumn(row, F.monotonically_increasing_id()), name), row
+    path = unused("path", [*docs.columns, row])
+    located = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(row))
+    files = located.select(path).distinct().select(path, F.row_number().over(Window.orderBy(path)).cast("long").alias(f"{path}_no"))  # as many rows as files
+    files = scratch.save(files, name)
+    return located.join(maybe_broadcast(files), path).withColumn(row, F.shiftleft(f"{path}_no", 40) + F.col(row)).select(*(F.col(f"`{c}`") for c in docs.columns), row), row
+
+
+def _metadata_fields(docs: DataFrame) -> str:
+    """The fields of the hidden column that file sources have, or nothing."""
+    try:
+        return docs.select("_metadata").schema.simpleString()
+    except AnalysisException:
+        return ""
 
 
 def batches(iterator, text_at: int = 1, size: int = 1024, binary: bool = False):

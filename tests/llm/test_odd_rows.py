@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import byte_bpe, exact_dedup, licenses, line_dedup, lm_score, ngram_join, packing, quality, toxicity, warc
-from millrace.llm.common import Scratch
+from millrace.llm.common import Scratch, numbered
 
 LINE = "these are more than six words of one line"
 TEXT = f"{LINE}\nand a second line that has enough words\nshort"
@@ -101,3 +101,14 @@ def test_warc(spark):
     got = warc.read_archives(warc.write_archives(pages, folder, least_bytes=0), folder, ("page_id", "payload_bytes", "record_type"))
     assert found(got, "page_id", "payload_bytes") == by([(None, 3), (3, 3), (3, 3), (4, 3), (4, 3), (2, 0), (1, 0)])
     assert got.where("record_type = 'response'").count() == 3  # of the equal rows each
+
+
+def test_rows_of_files_are_numbered_without_a_copy(odd, spark):
+    scratch = Scratch(spark)
+    written = scratch.save(odd.repartition(5), "written")
+    rows, row = numbered(written.where("n_chars is null or n_chars >= 0").select("doc_id", "text", "row"), scratch)
+    assert row == "_row" and rows.columns == ["doc_id", "text", "row", "_row"]
+    assert rows.select(row).distinct().count() == len(ROWS) and found(rows, row, "doc_id", "text") == found(rows.repartition(3), row, "doc_id", "text")
+    assert "LogicalRDD" not in str(rows._jdf.queryExecution().analyzed()) and found(rows, "doc_id") == by((r[0],) for r in ROWS)
+    twice, row = numbered(written.select("doc_id").union(written.select("doc_id")), scratch, "twice")
+    assert twice.select(row).distinct().count() == 2 * len(ROWS)
