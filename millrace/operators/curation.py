@@ -19,10 +19,22 @@ def normalise_fields(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def exact_dedup(df: DataFrame, text: Column, order: list[str]) -> DataFrame:
-    """The first row of each text, by sha256: earliest places are combined before the shuffle, no window holds a group."""
+    """The first row of each text, by sha256: earliest places are combined before the shuffle, no window holds a group.
+
+    Rows that also tie in the order columns are told apart by a number of their own, so one row a text stays.
+    """
     keyed = df.withColumn("_key", F.sha2(F.coalesce(text, F.lit("")), 256)).withColumn("_at", F.struct(*order))
-    first = keyed.groupBy("_key").agg(F.min("_at").alias("_at"))
-    return keyed.join(first, ["_key", "_at"], "left_semi").drop("_key", "_at")
+    whole = F.struct(*[c for c in df.columns])
+    return keyed.groupBy("_key").agg(F.min_by(whole, "_at").alias("_row")).select("_row.*")
+
+
+def gram_marks(text: Column, n: int) -> Column:
+    """For each word n-gram, a hash of its length and its first, middle and last word: equal for equal grams."""
+    mark = lambda w, i, m: F.xxhash64(m, F.get(w, i), F.get(w, i + F.floor(m / 2).cast("int")), F.get(w, i + m - 1))
+    grams = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: mark(w, i, F.lit(n)))
+    none = F.array().cast("array<bigint>")
+    # The words are bound as a lambda's argument, so that they are found once and not for each gram.
+    return F.transform(F.array(word_tokens(text)), lambda w: F.when(F.size(w) >= n, grams(w)).when(F.size(w) > 0, F.array(mark(w, F.lit(0), F.size(w)))).otherwise(none))[0]
 
 
 def grams_of(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
@@ -37,9 +49,13 @@ def gram_index(prompts: DataFrame, text: str, n: int = 13) -> DataFrame:
 def contaminated(df: DataFrame, key: str, text: str, index: DataFrame, n: int = 13, min_overlap: int = 1) -> DataFrame:
     """Keys that share at least ``min_overlap`` distinct grams with the index.
 
-    The index is left to the planner: Spark broadcasts it when its size is known to be small, else it shuffles.
+    Grams are looked up by three of their words first, which passes few rows; only those rows' grams are then made as strings
+    and counted.  The indexes are left to the planner: Spark broadcasts them when their size is known to be small, else it
+    shuffles.
     """
-    hits = grams_of(df, key, text, n).join(index, "gram", "left_semi")
+    marked = index.select(F.explode(gram_marks(F.col("gram"), n)).alias("h")).distinct()
+    maybe = df.select(key, F.explode(gram_marks(F.col(text), n)).alias("h")).join(marked, "h", "left_semi").select(key).distinct()
+    hits = grams_of(df.join(maybe, key, "left_semi"), key, text, n).join(index, "gram", "left_semi")
     return hits.groupBy(key).agg(F.count(F.lit(1)).alias("overlap")).where(F.col("overlap") >= min_overlap)
 
 
@@ -152,7 +168,7 @@ def sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 
 
 def content_hash(df: DataFrame, columns: list[str], key: str) -> DataFrame:
-    """A canonical hash of a dataset's rows: row hashes are hashed within 256 groups, then those: 12 digits."""
+    """A canonical hash of a dataset's rows: row hashes are hashed within 65,536 groups, then those: 12 digits."""
     row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
     leaves = df.select(row.alias("h")).groupBy(F.substring("h", 1, 4).alias("g")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("h"))
     return leaves.agg(F.substring(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("g", "h"))), lambda s: s["h"]), ""), 256), 1, 12).alias("content_hash"))
@@ -167,31 +183,65 @@ def funnel(flagged: DataFrame, stages: list[tuple[str, Column]]) -> DataFrame:
 
 #: Shape of the near-dup signature: 128 minima in 8 bands of 16 rows, for a similarity of 0.85.
 PERMUTATIONS, BANDS, SHINGLE = 128, 8, 5
-_PRIME = (1 << 61) - 1
+_MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
+
+
+def _stirred(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _MIX[1]
+    return h ^ (h >> np.uint64(29))
+
+
+def _donors() -> np.ndarray:
+    """For each bin, the order in which it asks the others for a value if it has none: fixed, and its own for each."""
+    bins = np.arange(PERMUTATIONS, dtype=np.uint64)
+    return np.argsort(_stirred((bins[:, None] * np.uint64(PERMUTATIONS) + bins + np.uint64(1)) * _MIX[0]), axis=1, kind="stable")
+
+
+def minima(text: str) -> np.ndarray:
+    """The 128 minima of one permutation of the text's character 5-grams: the hash's high bits are a gram's bin.
+
+    An empty bin takes the value of the first bin in its own order that has one, mixed with the asking bin's number only
+    through that order, so equal sets give equal signatures and a bin agrees with the chance of the sets' similarity.
+    """
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    n = len(points) - SHINGLE + 1
+    if n < 1:
+        return np.full(PERMUTATIONS, np.iinfo(np.uint64).max)
+    h = np.zeros(n, np.uint64)
+    for i in range(SHINGLE):
+        h = _stirred(h * _MIX[0] + points[i : i + n] + np.uint64(1))
+    h.sort()
+    width = np.uint64(64 - 7)
+    bins = np.arange(PERMUTATIONS, dtype=np.uint64)
+    first = np.searchsorted(h, bins << width)
+    filled = np.flatnonzero(np.diff(np.append(first, n)) > 0)
+    low = np.zeros(PERMUTATIONS, np.uint64)
+    low[filled] = h[first[filled]]
+    if len(filled) < PERMUTATIONS:
+        has = np.zeros(PERMUTATIONS, bool)
+        has[filled] = True
+        global _DONORS
+        if _DONORS is None:
+            _DONORS = _donors()
+        donor = _DONORS[np.arange(PERMUTATIONS), has[_DONORS].argmax(axis=1)]
+        low = np.where(has, low, low[donor])
+    return low
+
+
+_DONORS = None
 
 
 def band_hashes(texts: pd.Series) -> pd.Series:
     import xxhash
 
-    rng = np.random.default_rng(1)
-    a, b = rng.integers(1, 1 << 31, PERMUTATIONS, dtype=np.uint64), rng.integers(0, 1 << 31, PERMUTATIONS, dtype=np.uint64)
     out = []
     for t in texts:
-        t = t or ""
-        grams = {t[i : i + SHINGLE] for i in range(len(t) - SHINGLE + 1)}
-        if grams:
-            h = np.fromiter((xxhash.xxh32_intdigest(g) for g in grams), np.uint64, len(grams))
-            low = np.full(PERMUTATIONS, np.iinfo(np.uint64).max)
-            for at in range(0, len(h), 4096):  # bounded memory for long texts
-                low = np.minimum(low, ((h[at : at + 4096, None] * a + b) % np.uint64(_PRIME)).min(axis=0))
-        else:
-            low = np.full(PERMUTATIONS, np.iinfo(np.uint64).max)
-        rows = low.reshape(BANDS, -1)
+        rows = minima(t or "").reshape(BANDS, -1)
         out.append([xxhash.xxh64_intdigest(r.tobytes(), i) - (1 << 63) for i, r in enumerate(rows)])
     return pd.Series(out)
 
 
-def near_dedup(df: DataFrame, key: str, text: str, scratch: Callable[[DataFrame, str], DataFrame], rounds: int = 50) -> DataFrame:
+def near_dedup(df: DataFrame, key: str, text: str, scratch: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Greedy first-wins near dedup: a row goes if it shares a band with an earlier row that stays.
 
     This is the lexicographically first maximal independent set over bands: a row stays once it is the first undecided
@@ -200,8 +250,9 @@ def near_dedup(df: DataFrame, key: str, text: str, scratch: Callable[[DataFrame,
     """
     hashed = F.pandas_udf(band_hashes, "array<long>")
     bands = scratch(df.select(F.col(key).alias("id"), F.posexplode(hashed(F.col(text))).alias("band", "h")), "bands")
-    undecided, kept = bands, None
-    for turn in range(rounds):
+    undecided, kept, turn = bands, None, 0
+    while True:  # each round decides the first undecided row at least
+        turn += 1
         first = undecided.groupBy("band", "h").agg(F.min("id").alias("first"))
         at = undecided.join(first, ["band", "h"])
         new = at.groupBy("id").agg(F.bool_and(F.col("id") == F.col("first")).alias("stays")).where("stays").select("id")
@@ -212,7 +263,6 @@ def near_dedup(df: DataFrame, key: str, text: str, scratch: Callable[[DataFrame,
         undecided = scratch(undecided.join(gone, "id", "left_anti"), f"undecided-{turn}")
         if undecided.isEmpty():
             return df.join(kept.withColumnRenamed("id", key), key, "left_semi")
-    raise RuntimeError("near dedup did not settle")
 
 
 def write_dataset(df: DataFrame, quarantine: DataFrame, folder: str, name: str, key: str, val_ratio: float = 0.1, seed: int = 42) -> str:

@@ -10,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def writer(spark: SparkSession) -> Callable[[DataFrame, str], DataFrame]:
-    """Writes to the shared folder of spark.checkpoint.dir, or to a temporary one where that isn't set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/millrace-checkpoints"
+    """Writes to the shared folder of spark.checkpoint.dir; a local session without that setting gets a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"file://{tempfile.gettempdir()}/millrace-checkpoints"
     folder = f"{root.rstrip('/')}/plan-{uuid.uuid4().hex}"
 
     def save(df: DataFrame, name: str) -> DataFrame:

@@ -131,3 +131,50 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [r["chosen"] for r in spark.read.parquet(f"file://{out}/*").collect()] == ["other answer"]
+
+
+def test_resumable_sink_keeps_its_rows_when_a_batch_is_run_again(spark, tmp_path):
+    folder = f"file://{tmp_path}/sink"
+    sink = streams.resumable_sink(folder, ["k"])
+    batch = lambda *ks: spark.createDataFrame([(k, f"v{k}") for k in ks], "k long, v string")
+    have = lambda: sorted(r["k"] for r in spark.read.parquet(f"{folder}/*").collect())
+    sink(batch(1, 2), 0)
+    sink(batch(1, 2), 0)
+    assert have() == [1, 2]
+    sink(batch(2, 3), 1)
+    sink(batch(2, 3), 1)
+    sink(batch(1, 2), 0)
+    assert have() == [1, 2, 3]
+
+
+def test_signature_estimates_similarity():
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(500)]
+    for share in (0.0, 0.1, 0.4):
+        got = want = 0.0
+        for _ in range(60):
+            a = rng.choices(words, k=120)
+            b = [rng.choice(words) if rng.random() < share else w for w in a]
+            a, b = " ".join(a), " ".join(b)
+            x, y = ({t[i : i + 5] for i in range(len(t) - 4)} for t in (a, b))
+            want += len(x & y) / len(x | y) / 60
+            got += float((cu.minima(a) == cu.minima(b)).mean()) / 60
+        assert abs(got - want) < 0.03
+    assert (cu.minima("abcdef") == cu.minima("abcdef")).all() and (cu.minima("a") == cu.minima("")).all()
+
+
+def test_lexicon_forms_agree():
+    import re
+
+    from millrace.functions import lexicon
+
+    rng = random.Random(6)
+    parts = "python Java javascript c++ c++x go r  script code git error at in on Error: Traceback run running runtime def f( class X import os ``` CI/CD machine learning neural nets stack trace overflow command line not found debugger".split(" ")
+    for _ in range(20_000):
+        t = "".join(rng.choice(parts) + rng.choice([" ", "", "-", "_", "\n", ". "]) for _ in range(rng.randrange(1, 5)))
+        assert bool(re.search(lexicon.ANY, t, re.I)) == bool(re.search(lexicon._grouped(), t, re.I)), t
+
+
+def test_exact_dedup_keeps_one_row_of_ties(spark):
+    df = spark.createDataFrame([(0, "a"), (0, "a"), (1, "b")], "i int, t string")
+    assert sorted(r["i"] for r in cu.exact_dedup(df, F.col("t"), ["i"]).collect()) == [0, 1]
