@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import chat as ch
 from ..functions import text as tx
 from ..functions.lexicon import ANY_CONSUMING, is_technical
 from ..operators import curation as cu
 from ..operators import evaluation as ev
+from ..operators import records as rc
 from ..operators import telemetry as te
 from ..schemas import preference_error, sft_error
 from ..sources import loaders as ld
@@ -492,3 +494,143 @@ def stream_rates(spark, d):
 @query("select doc_id from documents order by sha256(concat('7:', doc_id)), doc_id limit 15")
 def seeded_sample(spark, d):
     return cu.sample(_t(spark, d, "documents").select("doc_id"), "doc_id", 15, 7)
+
+
+# Records, suites, registry, and the whole build.
+
+
+def _built(spark, d):
+    from .build import build_dataset
+    from .scratch import writer
+
+    rows = v_turns(spark, d).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("prompt").alias("instruction"), F.lit("").alias("input"), F.col("answer").alias("response"), F.lit("chat").alias("source"))
+    return build_dataset(rows, "sft", "id", writer(spark), _t(spark, d, "benchmark").select(F.col("text").alias("prompt")), technical_only=True)
+
+
+_CLEAN = r"trim(regexp_replace(nfc_normalize({c}), '[ \t]+', ' ', 'g'), ' ' || chr(10) || chr(9))"
+_BUILD = f"""with r as (select conv_id * 1000 + turn as id, prompt as instruction, answer as response from ({V_TURNS})),
+v as (select id, {_CLEAN.format(c='instruction')} as instruction, {_CLEAN.format(c='response')} as response from r where length(instruction) >= 5 and length(response) >= 5 and trim(instruction) <> '' and trim(response) <> ''),
+k as (select * from v where length(instruction) >= 5 and length(response) >= 5 and regexp_matches(instruction, '{ANY_CONSUMING.replace("'", "''")}', 'i')),
+u as (select min(id) as id, instruction, response from k group by instruction, response),
+x as (select distinct unnest({_GRAMS}) as gram from (select {_TOKENS} as t from benchmark)),
+g as (select id, unnest({_GRAMS}) as gram from (select id, {_TOKENS.replace('text', 'instruction')} as t from u)),
+f as (select * from u where id not in (select id from g where gram in (select gram from x)))"""
+
+
+@query(_BUILD + " select id, instruction, '' as input, response, 'chat' as source from f")
+def dataset_build(spark, d):
+    return _built(spark, d).rows
+
+
+@query(_BUILD + """ select 0::bigint as stage_ord, 'loaded' as stage, count(*) as rows from r union all select 1, 'validated', count(*) from v union all select 2, 'quarantined', (select count(*) from r) - (select count(*) from v where length(instruction) >= 5 and length(response) >= 5)
+union all select 3, 'after_keyword', count(*) from k union all select 4, 'after_dedup', count(*) from u union all select 5, 'after_decontamination', count(*) from f union all select 6, 'final', count(*) from f""")
+def dataset_build_funnel(spark, d):
+    return _built(spark, d).funnel
+
+
+_RESPONSES = "select l_orderkey as case_id, case l_linenumber % 2 when 1 then 'a' else 'b' end as model_id, l_linenumber::bigint * 100000000 + l_partkey * 100 + l_quantity::bigint as ord, l_quantity as n_tokens, case when l_partkey % 5 = 0 then '' when l_partkey % 7 = 0 then 'timeout' end as error from lineitem"
+
+
+def _responses(spark, d):
+    return _t(spark, d, "lineitem").selectExpr("l_orderkey as case_id", "case l_linenumber % 2 when 1 then 'a' else 'b' end as model_id", "cast(l_linenumber as long) * 100000000 + l_partkey * 100 + cast(l_quantity as long) as ord", "l_quantity as n_tokens", "case when l_partkey % 5 = 0 then '' when l_partkey % 7 = 0 then 'timeout' end as error")
+
+
+@query(f"select case_id, model_id, arg_max(n_tokens, ord) as n_tokens, max(ord) as ord from ({_RESPONSES}) where error is null group by case_id, model_id")
+def response_scan(spark, d):
+    return rc.responses(_responses(spark, d), ["case_id", "model_id"], "ord").drop("error")
+
+
+@query(f"select case_id, model_id, arg_max(n_tokens, ord) as n_tokens, max(ord) as ord from ({_RESPONSES}) where coalesce(error, '') = '' group by case_id, model_id")
+def response_scan_report(spark, d):
+    return rc.responses(_responses(spark, d), ["case_id", "model_id"], "ord", "coalesce(error, '') <> ''").drop("error")
+
+
+@query(f"select model_id, count(*) filter (where error is null) as completed, count(*) filter (where error is not null) as failed from ({_RESPONSES}) group by model_id")
+def generation_summary(spark, d):
+    return rc.summary(_responses(spark, d), "model_id")
+
+
+@query(f"select case_id, suite, final_verdict from ({V_FINAL}) where verdict_ab is not null")
+def judgement_scan(spark, d):
+    """Judgements written as JSON lines, with blank and bad lines among them, and read back."""
+    lines = rc.judgement_json(v_final(spark, d).where("verdict_ab is not null"))
+    bad = _t(spark, d, "region").selectExpr("case when r_regionkey % 2 = 0 then '  ' else '{\"case_id\": 1, \"suite\"' end as value")
+    return rc.judgements(lines.unionByName(bad), "case_id long, suite string, final_verdict string")
+
+
+@query(f"select suite, case_id from (select suite, case_id, row_number() over (partition by suite order by case_id) as n from ({V_JUDGE})) where n <= 50 and case_id % 3 <> 0")
+def judging_todo(spark, d):
+    cases = v_judge(spark, d).select("suite", "case_id")
+    return rc.unjudged(cases, cases.where("case_id % 3 = 0"), 50)
+
+
+@query(f"select conv_id, turn, concat('<|im_start|>user', chr(10), prompt, '<|im_end|>', chr(10), '<|im_start|>assistant', chr(10)) as prompt, concat('<|im_start|>user', chr(10), prompt, '<|im_end|>', chr(10), '<|im_start|>assistant', chr(10), chosen, '<|im_end|>', chr(10)) as chosen, concat('<|im_start|>user', chr(10), prompt, '<|im_end|>', chr(10), '<|im_start|>assistant', chr(10), rejected, '<|im_end|>', chr(10)) as rejected, source from ({V_PREF})")
+def preference_render(spark, d):
+    return ch.preference_render(v_pref(spark, d))
+
+
+@query("select format('ae_{:03d}', n - 1) as id, text as prompt from (select text, row_number() over (order by sha256(concat('42:', item_id)), item_id) as n from benchmark) where n <= 60 and length(text) >= 10")
+def suite_subset(spark, d):
+    return rc.suite_subset(_t(spark, d, "benchmark"), "item_id", "text", 60, 10, "ae_%03d")
+
+
+@query("select source as suite, count(*) as n_cases, count(*) filter (where n_chars % 2 = 0) as n_verifiable, count(*) filter (where lang = 'fr') as n_errors from documents group by source")
+def suite_stats(spark, d):
+    return rc.suite_stats(_t(spark, d, "documents").selectExpr("source as suite", "n_chars % 2 = 0 as verifiable", "case when lang = 'fr' then 'x' end as error"))
+
+
+@query("select count(*) filter (where quality = 1) as positives, count(*) filter (where quality = 0) as negatives from labels")
+def label_counts(spark, d):
+    return rc.label_counts(_t(spark, d, "labels"), "quality")
+
+
+@query("select doc_id, substr(text, 1, 500) as text from documents order by sha256(concat('42:', doc_id)), doc_id limit 25")
+def label_sample(spark, d):
+    return rc.label_sample(_t(spark, d, "documents"), "doc_id", "text", 25)
+
+
+@query("select user_id as run, concat('runs/checkpoint-', max(event_id)) as path, max(event_id) as step from events where event_type <> 'click' group by user_id")
+def latest_checkpoint(spark, d):
+    files = _t(spark, d, "events").selectExpr("user_id as run", "concat('runs/checkpoint-', event_id) as path", "event_type <> 'click' as whole")
+    return rc.latest_checkpoint(files.unionByName(files.selectExpr("run", "'runs/last' as path", "true as whole")))
+
+
+@query("select o_orderkey as eval_id, o_custkey, c_name from orders left join (select c_custkey, c_name from customer where c_custkey % 2 = 0) on c_custkey = o_custkey order by o_orderkey desc limit 20")
+def eval_listing(spark, d):
+    reports = _t(spark, d, "orders").selectExpr("o_orderkey as eval_id", "o_custkey")
+    metrics = reports.join(_t(spark, d, "customer").where("c_custkey % 2 = 0").selectExpr("c_custkey as o_custkey", "c_name"), "o_custkey").select("eval_id", "c_name")
+    return rc.eval_listing(reports, metrics)
+
+
+@query("select l_orderkey as run_id, l_linenumber as artifact_id, o_orderpriority as run_kind, o_orderstatus as status from lineitem join orders on o_orderkey = l_orderkey")
+def artifact_join(spark, d):
+    artifacts = _t(spark, d, "lineitem").selectExpr("l_orderkey as run_id", "l_linenumber as artifact_id", "l_shipdate as created_at")
+    runs = _t(spark, d, "orders").selectExpr("o_orderkey as run_id", "o_orderpriority as kind", "o_orderstatus as status")
+    return rc.artifacts_of(artifacts, runs).drop("created_at")
+
+
+@query("""select o_orderkey as model_id, case when o_orderkey % 2 = 0 then 'ollama' else 'local' end as backend, a.ref from orders left join (select l_orderkey, l_returnflag, arg_min(concat('p/', l_partkey), struct_pack(t := l_shipdate, n := l_linenumber)) as ref from lineitem group by l_orderkey, l_returnflag) a
+on a.l_orderkey = o_orderkey and a.l_returnflag = case when o_orderkey % 2 = 0 then 'R' else 'N' end""")
+def publish_refs(spark, d):
+    models = _t(spark, d, "orders").selectExpr("o_orderkey as model_id", "o_orderkey as run_id", "case when o_orderkey % 2 = 0 then 'ollama' else 'local' end as backend")
+    artifacts = _t(spark, d, "lineitem").selectExpr("l_orderkey as run_id", "l_returnflag as kind", "concat('p/', l_partkey) as path", "l_shipdate as created_at", "l_linenumber as artifact_id")
+    return rc.publish_refs(models, artifacts, spark.createDataFrame([("ollama", "R"), ("local", "N")], "backend string, kind string"))
+
+
+@query("select user_id as model_id, arg_max(event_type, event_id) as backend from events group by user_id having arg_max(event_id % 3, event_id) <> 0")
+def served_models(spark, d):
+    log = _t(spark, d, "events").selectExpr("user_id as model_id", "event_id as version", "int(event_id % 3 <> 0) as enabled", "event_type as backend", "user_id % 7 as sort_order")
+    return rc.served(log).select("model_id", "backend")
+
+
+@query("select c_custkey as model_id, case when c_custkey % 4 = 0 then null when c_custkey % 4 = 1 then 'echo' else c_mktsegment end as engine, c_custkey % 4 <> 0 as known from customer")
+def engine_routing(spark, d):
+    c = _t(spark, d, "customer")
+    models = c.where("c_custkey % 4 <> 0").selectExpr("c_custkey as model_id", "case when c_custkey % 4 <> 1 then c_mktsegment end as backend")
+    return rc.route(c.selectExpr("c_custkey as model_id"), models)
+
+
+@query("select conv_id as session_id, list_transform(list_sort([struct_pack(h := sha256(concat('42:base:', conv_id)), c := 'base'), struct_pack(h := sha256(concat('42:sft:', conv_id)), c := 'sft'), struct_pack(h := sha256(concat('42:dpo:', conv_id)), c := 'dpo')]), lambda s: s.c)[1] as first from (select distinct conv_id from conversations)")
+def blind_order(spark, d):
+    sessions = _t(spark, d, "conversations").selectExpr("conv_id as session_id").distinct()
+    return rc.blind_order(sessions, ["base", "sft", "dpo"]).select("session_id", F.col("columns")[0].alias("first"))

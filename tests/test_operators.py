@@ -178,3 +178,32 @@ def test_lexicon_forms_agree():
 def test_exact_dedup_keeps_one_row_of_ties(spark):
     df = spark.createDataFrame([(0, "a"), (0, "a"), (1, "b")], "i int, t string")
     assert sorted(r["i"] for r in cu.exact_dedup(df, F.col("t"), ["i"]).collect()) == [0, 1]
+
+
+def test_templates_and_waits():
+    from millrace.functions import chat
+
+    assert chat.response_template(lambda u, a: f"<u>{u}</u><a>{a}</a>") == "</u><a>"
+    assert chat.stop_tokens(["<|eot_id|>", "x"], "e") == ["<|eot_id|>"] and chat.stop_tokens([], "e") == ["e"]
+    assert [chat.backoff(k) for k in (0, 3, 9)] == [1.0, 8.0, 60.0] and chat.backoff(1, 5.0, 0.5) == 5.5
+
+
+def test_records(spark):
+    from millrace.operators import records as rc
+
+    lines = spark.createDataFrame([('{"prompt": "p", "instruction": "i"}',), ('{"instruction": "i"}',), ('{"x": 1}',)], "value string")
+    assert [r[0] for r in rc.eval_prompts(lines).collect()] == ["p", "i", ""]
+    rows = spark.createDataFrame([("a", 1, "x", None), ("a", 2, "y", "failed"), ("a", 0, "z", "")], "case_id string, ord int, response string, error string")
+    assert rc.responses(rows, ["case_id"], "ord").first()["response"] == "x"
+    assert rc.responses(rows.where("ord <> 1"), ["case_id"], "ord", "coalesce(error, '') <> ''").first()["response"] == "z"
+
+
+def test_dataset_build_quarantines_and_keeps_first(spark):
+    from millrace.plans.build import build_dataset
+
+    rows = [(0, "What is it about?", "", "A long answer.", "s"), (1, "What is  it about?", "", "A long answer.", "s"), (2, "Hi", "", "A long answer.", "s"), (3, "\x00\x01abcd", "", "A long answer.", "s"), (4, "reverse a list", "", "Use reversed.", "s")]
+    df = spark.createDataFrame(rows, "id long, instruction string, input string, response string, source string")
+    built = build_dataset(df, "sft", "id", writer(spark), spark.createDataFrame([("Reverse a list",)], "prompt string"), near=True)
+    assert [r["id"] for r in built.rows.collect()] == [0]
+    assert sorted((r["stage"], r["error"]) for r in built.quarantine.collect()) == [("normalisation", "instruction: too short"), ("validation", "instruction: too short")]
+    assert [(r["stage"], r["rows"]) for r in built.funnel.orderBy("stage_ord").collect()] == [("loaded", 5), ("validated", 4), ("quarantined", 2), ("after_dedup", 2), ("after_decontamination", 1), ("final", 1)]
