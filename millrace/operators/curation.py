@@ -265,8 +265,17 @@ def near_dedup(df: DataFrame, key: str, text: str, scratch: Callable[[DataFrame,
             return df.join(kept.withColumnRenamed("id", key), key, "left_semi")
 
 
-def write_dataset(df: DataFrame, quarantine: DataFrame, folder: str, name: str, key: str, val_ratio: float = 0.1, seed: int = 42) -> str:
-    """Write train, val, quarantine and manifest under <folder>/<name>/<content hash>; an identical dataset is kept as it is."""
+#: Keys of a manifest that the caller may give, and their values if not given.
+_ABOUT = {"sources": [], "funnel": {}, "filter_eval": {}, "token_stats": {}, "decontamination": {}}
+
+
+def write_dataset(df: DataFrame, quarantine: DataFrame, folder: str, name: str, key: str, val_ratio: float = 0.1, seed: int = 42, kind: str = "sft", **about) -> str:
+    """Write train, val, quarantine and manifest under <folder>/<name>/<content hash>; an identical dataset is kept as it is.
+
+    ``about`` may give the manifest's sources (a list), funnel, filter_eval, token_stats and decontamination (dicts).
+    """
+    if unknown := set(about) - {*_ABOUT}:
+        raise TypeError(f"a manifest has no {sorted(unknown)}")
     spark = df.sparkSession
     parts = split(df, key, val_ratio, seed)
     digest = content_hash(parts, [c for c in df.columns if c != key] + ["split"], key).first()["content_hash"]
@@ -280,11 +289,12 @@ def write_dataset(df: DataFrame, quarantine: DataFrame, folder: str, name: str,
         if not quarantine.isEmpty():
             quarantine.write.mode("overwrite").json(f"{staged}/quarantine")
         sizes = {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()}
-        manifest = {"name": name, "content_hash": digest, "n_train": sizes.get("train", 0), "n_val": sizes.get("val", 0), "n_total": sum(sizes.values()), "val_ratio": val_ratio, "seed": seed, "columns": df.columns}
+        manifest = _ABOUT | about | {"name": name, "kind": kind, "content_hash": digest, "n_train": sizes.get("train", 0), "n_val": sizes.get("val", 0), "n_total": sum(sizes.values()), "val_ratio": val_ratio, "seed": seed, "columns": df.columns}
         out = fs.create(fs_path(f"{staged}/manifest.json"))
         out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
         out.close()
-        fs.rename(fs_path(staged), final)
+        if not fs.rename(fs_path(staged), final) and not fs.exists(final):
+            raise OSError(f"{staged} couldn't be moved to {final}")
     out = fs.create(fs_path(f"{folder}/{name}/latest_hash"), True)
     out.write(bytearray(digest.encode()))
     out.close()

@@ -57,11 +57,20 @@ def align(responses: DataFrame, cases: DataFrame, model_a: str, model_b: str) ->
 
 
 def judge(pairs: DataFrame, judge_fn: Callable[[list[str]], list[str]]) -> DataFrame:
-    """verdict_ab, verdict_ba by a pluggable judge (prompts to raw answers), both orders; a failed call is a null verdict."""
+    """verdict_ab, verdict_ba by a pluggable judge (prompts to raw answers), both orders; a failed call is a null verdict.
+
+    If a batch's call fails, its prompts are asked one by one, so that only those that fail again are lost.
+    """
+
+    def ask(prompts: list[str]) -> list[str | None]:
+        try:
+            return judge_fn(prompts)
+        except Exception:  # a failed call must not fail the job
+            return [None] if len(prompts) == 1 else [ask([p])[0] for p in prompts]
 
     @F.pandas_udf("string")
     def call(prompts: pd.Series) -> pd.Series:
-        return pd.Series(judge_fn([*prompts]))
+        return pd.Series(ask([*prompts]) if len(prompts) else [], dtype="object")
 
     c = F.col
     asked = pairs.withColumns({"raw_ab": call(judge_prompt(c("prompt"), c("intent"), c("response_a"), c("response_b"))), "raw_ba": call(judge_prompt(c("prompt"), c("intent"), c("response_b"), c("response_a")))})
@@ -160,21 +169,53 @@ def token_lengths(responses: DataFrame) -> DataFrame:
     return responses.withColumn("length", F.when(F.coalesce("n_tokens", F.lit(0)) != 0, F.col("n_tokens")).otherwise(whitespace_tokens(F.col("response"))))
 
 
-def length_controlled(df: DataFrame, tokens_a: str, tokens_b: str, *keys: str, ratio: float = 1.2) -> DataFrame:
-    """Win rates without rows whose winner is over ``ratio`` times as long or whose response is missing."""
+def _too_long(df: DataFrame, tokens_a: str, tokens_b: str, ratio: float) -> DataFrame:
     longer = F.when(F.col("final_verdict") == "model_a", F.col(tokens_a) > ratio * F.col(tokens_b)).when(F.col("final_verdict") == "model_b", F.col(tokens_b) > ratio * F.col(tokens_a)).otherwise(F.lit(False))
-    flagged = df.withColumn("_gone", F.col(tokens_a).isNull() | F.col(tokens_b).isNull() | longer)
-    sizes = flagged.groupBy(*keys).agg(F.count_if("_gone").alias("n_discarded"), F.count(F.lit(1)).alias("n_total"))
-    return sizes.join(win_rate(flagged.where("not _gone"), *keys), [*keys], "left").withColumn("win_rate", F.coalesce("win_rate", F.lit(0.5)))
+    return df.withColumn("_gone", F.col(tokens_a).isNull() | F.col(tokens_b).isNull() | longer)
 
 
-def exact_match(df: DataFrame, expected: str, response: str, *keys: str) -> DataFrame:
-    """Share of verifiable rows of which an alternative of the expected answer is in the response."""
+def length_controlled(df: DataFrame, tokens_a: str, tokens_b: str, *keys: str, ratio: float = 1.2) -> DataFrame:
+    """Win rates without rows whose winner is over ``ratio`` times as long or whose response is missing; pct_discarded isn't rounded."""
+    kept = F.col("_gone") == F.lit(False)
+    marked = _too_long(df, tokens_a, tokens_b, ratio)
+    # one aggregate for both: a discarded row's verdict is counted under a name of its own, which no count takes
+    counts = win_rate(marked.withColumn("final_verdict", F.when(kept, F.coalesce("final_verdict", F.lit("failed"))).otherwise("_discarded")), *keys, "_gone")
+    n = F.col("wins") + F.col("losses") + F.col("ties")
+    out = counts.groupBy(*keys).agg(
+        F.sum(F.when(kept, 0).otherwise(F.col("failed"))).alias("n_discarded"), F.sum(n + F.col("failed")).alias("n_total"),
+        *(F.sum(F.when(kept, F.col(c)).otherwise(0)).alias(c) for c in ("wins", "losses", "ties", "failed")), F.coalesce(F.max(F.when(kept, F.col("win_rate"))), F.lit(0.5)).alias("win_rate"),
+    )
+    return out.withColumn("pct_discarded", F.lit(100.0) * F.col("n_discarded") / F.col("n_total"))
+
+
+def length_controlled_interval(df: DataFrame, tokens_a: str, tokens_b: str, keys: list[str], ratio: float = 1.2, resamples: int = 10_000, seed: int = 42) -> DataFrame:
+    """Intervals of the win rate over the rows that length control keeps, with n_discarded and pct_discarded; (0.5, 0, 1) where it keeps none."""
+    marked = _too_long(df, tokens_a, tokens_b, ratio)
+    verdict = F.when(F.col("_gone"), F.lit("_discarded")).otherwise(F.col("final_verdict"))
+    rates = bootstrap(marked.withColumn("final_verdict", verdict), keys, resamples, seed=seed)
+    sizes = marked.groupBy(*keys).agg(F.count_if("_gone").alias("n_discarded"), (F.lit(100.0) * F.count_if("_gone") / F.count(F.lit(1))).alias("pct_discarded"))
+    return rates.join(sizes, keys) if keys else rates.crossJoin(F.broadcast(sizes))  # without keys, one row on either side
+
+
+def _matched(df: DataFrame, expected: str, response: str) -> DataFrame:
+    """Verifiable rows with an expected answer, a response and no error, and whether it is in there."""
     parts = F.split(F.lower(F.trim(F.col(expected))), r"\|")
     hit = F.exists(parts, lambda p: F.contains(F.lower(F.col(response)), F.trim(p)))
-    usable = df.where(F.col("verifiable") & (F.coalesce(F.col(expected), F.lit("")) != "") & F.col(response).isNotNull())
-    out = usable.groupBy(*keys).agg(F.count_if(hit).alias("n_correct"), F.count(F.lit(1)).alias("n_verifiable"))
-    return out.withColumn("score", F.col("n_correct") / F.col("n_verifiable"))
+    usable = F.col("verifiable") & (F.coalesce(F.col(expected), F.lit("")) != "") & F.col(response).isNotNull()
+    if "error" in df.columns:
+        usable &= F.coalesce("error", F.lit("")) == ""
+    return df.where(usable).withColumn("_hit", hit)
+
+
+def exact_match(df: DataFrame, expected: str, response: str, *keys: str) -> DataFrame:
+    """Share of verifiable rows without an error of which an alternative of the expected answer is in the response; 0 of none."""
+    out = _matched(df, expected, response).groupBy(*keys).agg(F.count_if("_hit").alias("n_correct"), F.count(F.lit(1)).alias("n_verifiable"))
+    return out.withColumn("score", F.when(F.col("n_verifiable") > 0, F.col("n_correct") / F.col("n_verifiable")).otherwise(0.0))
+
+
+def exact_match_failures(df: DataFrame, expected: str, response: str, *keys: str) -> DataFrame:
+    """The rows that exact match counts as wrong: keys, expected, and the response's first 100 characters."""
+    return _matched(df, expected, response).where("not _hit").select(*keys, F.col(expected).alias("expected"), F.substring(response, 1, 100).alias("got_preview"))
 
 
 def pairwise_matrix(df: DataFrame) -> DataFrame:
@@ -218,13 +259,22 @@ def ratings_frame(df: DataFrame, mode: str = "reference") -> DataFrame:
     return df.sparkSession.createDataFrame([*got.items()], "model string, elo double")
 
 
-def regression_gallery(judged: DataFrame, cases: DataFrame, sft: DataFrame, dpo: DataFrame, n: int = 10, severity: Column | None = None) -> DataFrame:
-    """The first n judgements (by _ord, or by severity) that the newer model lost, with both responses cut to 300 characters."""
-    cut = lambda c: F.when(F.length(c) > 300, F.concat(F.substring(c, 1, 300), F.lit("..."))).otherwise(c)
-    lost = judged.where("final_verdict = 'model_b' and coalesce(rationale_ab, '') <> ''")
-    joined = lost.join(cases, ["suite", "case_id"]).join(sft.select("suite", "case_id", F.col("response").alias("sft")), ["suite", "case_id"]).join(dpo.select("suite", "case_id", F.col("response").alias("dpo")), ["suite", "case_id"])
-    order = [F.desc(severity)] if severity is not None else []
-    return joined.orderBy(*order, "_ord").limit(n).select("suite", "case_id", "prompt", cut(F.col("sft")).alias("sft"), cut(F.col("dpo")).alias("dpo"), "rationale_ab")
+def regression_gallery(judged: DataFrame, cases: DataFrame, responses: DataFrame, older: str, newer: str, order: list, n: int = 10, cut: int = 300) -> DataFrame:
+    """The first n judgements by ``order`` with a rationale that ``newer`` lost to ``older``, on whichever side it stood.
+
+    Cases and responses may be missing; of several responses to a case the first by text is shown.  Only the n rows are
+    joined, with both responses cut to ``cut`` characters.
+    """
+    a, b = F.col("model_a"), F.col("model_b")
+    lost = ((a == older) & (b == newer) & (F.col("final_verdict") == "model_a")) | ((a == newer) & (b == older) & (F.col("final_verdict") == "model_b"))
+    first = judged.where(lost & (F.coalesce("rationale_ab", F.lit("")) != "")).orderBy(*order).limit(n)
+    first = first.select("suite", "case_id", "rationale_ab", F.row_number().over(Window.orderBy(*order)).alias("_at"))  # n rows
+    short = lambda c: F.when(F.length(c) > cut, F.concat(F.substring(c, 1, cut), F.lit("..."))).otherwise(c)
+    at = F.col("model_id").isin(older, newer)
+    said = responses.join(F.broadcast(first.select("suite", "case_id")), ["suite", "case_id"], "left_semi").where(at)
+    sides = said.groupBy("suite", "case_id").agg(*(F.min(F.when(F.col("model_id") == m, F.col("response"))).alias(c) for m, c in ((older, "winner"), (newer, "loser"))))
+    shown = first.join(sides, ["suite", "case_id"], "left").join(cases.select("suite", "case_id", "prompt", "intent"), ["suite", "case_id"], "left")
+    return shown.orderBy("_at").select("suite", "case_id", "prompt", "intent", short(F.col("winner")).alias("winner_response"), short(F.col("loser")).alias("loser_response"), F.col("rationale_ab").alias("rationale"))
 
 
 def deployment_delta(df: DataFrame, resamples: int = 1000) -> DataFrame:

@@ -15,6 +15,7 @@ from ..functions.lexicon import ANY_CONSUMING, is_technical
 from ..operators import curation as cu
 from ..operators import evaluation as ev
 from ..operators import records as rc
+from ..operators import registry as rg
 from ..operators import telemetry as te
 from ..schemas import preference_error, sft_error
 from ..sources import loaders as ld
@@ -326,7 +327,7 @@ def _sides(spark, d):
 _GONE = "(ta is null or tb is null or coalesce(final_verdict = 'model_a' and ta > 1.2 * tb, false) or coalesce(final_verdict = 'model_b' and tb > 1.2 * ta, false))"
 
 
-@query(f"select pair, n_discarded, n_total, wins, losses, ties, failed, {_RATE} from (select pair, count(*) filter (where gone) as n_discarded, count(*) as n_total, {_COUNTS.replace('where final', 'where not gone and final')} from (select *, {_GONE} as gone from ({V_FINAL}) v left join ({_SIDES}) s on s.l_orderkey = v.case_id) group by pair)")
+@query(f"select pair, n_discarded, n_total, 100.0::double * n_discarded / n_total as pct_discarded, wins, losses, ties, failed, {_RATE} from (select pair, count(*) filter (where gone) as n_discarded, count(*) as n_total, {_COUNTS.replace('where final', 'where not gone and final')} from (select *, {_GONE} as gone from ({V_FINAL}) v left join ({_SIDES}) s on s.l_orderkey = v.case_id) group by pair)")
 def length_controlled(spark, d):
     rows = v_final(spark, d).join(_sides(spark, d), F.col("case_id") == F.col("l_orderkey"), "left")
     return ev.length_controlled(rows, "ta", "tb", "pair")
@@ -375,11 +376,11 @@ def pairwise_matrix(spark, d):
     return ev.pairwise_matrix(v_final(spark, d))
 
 
-@query("""with e as (select doc_id, source, doc_id % 3 = 0 as verifiable, concat(' The | ', substr(text, 1, 6), 'zzz|der') as expected, text as response from documents),
+@query("""with e as (select doc_id, source, true as verifiable, concat(' The | ', substr(text, 1, 6), 'zzz|der') as expected, text as response from documents),
 h as (select source, len(list_filter(string_split(lower(trim(expected)), '|'), lambda p: contains(lower(response), trim(p)))) > 0 as ok from e where verifiable and expected <> '' and response is not null)
 select source, count(*) filter (where ok) as n_correct, count(*) as n_verifiable, count(*) filter (where ok) / count(*)::double as score from h group by source""")
 def exact_match(spark, d):
-    e = _t(spark, d, "documents").selectExpr("source", "doc_id % 3 = 0 as verifiable", "concat(' The | ', substr(text, 1, 6), 'zzz|der') as expected", "text as response")
+    e = _t(spark, d, "documents").selectExpr("source", "true as verifiable", "concat(' The | ', substr(text, 1, 6), 'zzz|der') as expected", "text as response")
     return ev.exact_match(e, "expected", "response", "source")
 
 
@@ -394,13 +395,22 @@ def response_alignment(spark, d):
     return ev.align(responses, cases, "a", "b").select("case_id", "suite", "intent")
 
 
-@query(f"select case_id, suite, case when length(o_orderpriority || '-' || o_totalprice::bigint) > 8 then substr(o_orderpriority || '-' || o_totalprice::bigint, 1, 8) || '...' else o_orderpriority || '-' || o_totalprice::bigint end as gallery from ({V_FINAL}) join orders on o_orderkey = case_id where final_verdict = 'model_b' order by case_id limit 10")
+_ANSWER = "concat(o_orderpriority, '-', cast(o_totalprice * 100 as bigint), '-{}')"
+
+
+def _cut(c: str, n: int = 8) -> str:
+    return f"case when length({c}) > {n} then concat(substr({c}, 1, {n}), '...') else {c} end"
+
+
+@query(f"""with lost as (select *, concat('since ', case_id) as rationale from ({V_FINAL}) where case_id % 11 <> 0 and ((model_a = 'base' and model_b = 'sft' and final_verdict = 'model_a') or (model_a = 'sft' and model_b = 'base' and final_verdict = 'model_b')) order by case_id limit 10)
+select case_id, suite, o_orderdate::varchar as prompt, o_orderstatus as intent, {_cut(_ANSWER.format('base'))} as winner_response, case when case_id % 7 <> 0 then {_cut(_ANSWER.format('sft'))} end as loser_response, rationale from lost join orders on o_orderkey = case_id""")
 def regression_gallery(spark, d):
-    """A report's first ten lost cases, cut for display."""
-    text = F.expr("concat(o_orderpriority, '-', cast(round(o_totalprice) as bigint))")
-    lost = v_final(spark, d).where("final_verdict = 'model_b'").orderBy("case_id").limit(10)
-    joined = lost.join(_t(spark, d, "orders"), F.col("o_orderkey") == F.col("case_id"))
-    return joined.select("case_id", "suite", F.when(F.length(text) > 8, F.concat(F.substring(text, 1, 8), F.lit("..."))).otherwise(text).alias("gallery"))
+    """A report's first ten lost cases with a rationale, responses cut for display; some responses are missing."""
+    orders = _t(spark, d, "orders")
+    judged = v_final(spark, d).withColumn("rationale_ab", F.expr("case when case_id % 11 <> 0 then concat('since ', case_id) else '' end"))
+    cases = orders.selectExpr("o_orderpriority as suite", "o_orderkey as case_id", "cast(o_orderdate as string) as prompt", "o_orderstatus as intent")
+    said = orders.select(F.col("o_orderpriority").alias("suite"), F.col("o_orderkey").alias("case_id"), F.explode(F.array(*(F.struct(F.lit(m).alias("model_id"), F.expr(_ANSWER.format(m)).alias("response")) for m in ("base", "sft")))).alias("r")).select("suite", "case_id", "r.*")
+    return ev.regression_gallery(judged, cases, said.where("model_id = 'base' or case_id % 7 <> 0"), "base", "sft", ["case_id"], 10, 8)
 
 
 @query("""with raw as (select event_id, case event_id % 4 when 0 then '{"verdict": "A"}' when 1 then '```json' || chr(10) || '{"verdict": "tie"}' || chr(10) || '```' when 2 then '{"verdict": "C"}' else '{"verdict": "A"} trailing' end as raw from events)
@@ -634,3 +644,18 @@ def engine_routing(spark, d):
 def blind_order(spark, d):
     sessions = _t(spark, d, "conversations").selectExpr("conv_id as session_id").distinct()
     return rc.blind_order(sessions, ["base", "sft", "dpo"]).select("session_id", F.col("columns")[0].alias("first"))
+
+
+@query("""with e as (select doc_id, source, concat(' The | ', substr(text, 1, 6), 'zzz|der') as expected, text as response from documents where lang <> 'fr')
+select source, doc_id, expected, substr(response, 1, 100) as got_preview from e where response is not null and expected <> '' and len(list_filter(string_split(lower(trim(expected)), '|'), lambda p: contains(lower(response), trim(p)))) = 0""")
+def exact_match_failures(spark, d):
+    e = _t(spark, d, "documents").selectExpr("source", "doc_id", "true as verifiable", "concat(' The | ', substr(text, 1, 6), 'zzz|der') as expected", "text as response", "case when lang = 'fr' then 'failed' end as error")
+    return ev.exact_match_failures(e, "expected", "response", "source", "doc_id")
+
+
+@query("""select 'sft-' || user_id as run_id, bool_or(event_type = 'click') as complete, max(event_id) filter (where event_type = 'view') as latest_step, max(ts) as modified from events where user_id % 2 = 0 group by user_id""")
+def run_folders(spark, d):
+    """Runs of a kind from a listing of their files."""
+    e = _t(spark, d, "events")
+    name = "case event_type when 'click' then 'adapter/adapter_config.json' when 'view' then concat('checkpoints/checkpoint-', event_id, '/trainer_state.json') else concat('checkpoints/checkpoint-', event_id, '/weights.bin') end"
+    return rg.run_folders(e.selectExpr(f"concat(case when user_id % 2 = 0 then 'sft-' else 'dpo-' end, user_id, '/', {name}) as path", "ts as modified"), "sft")

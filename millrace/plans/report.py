@@ -6,9 +6,11 @@ import copy
 import hashlib
 import html
 import json
+import os
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import evaluation as ev
 
@@ -22,6 +24,71 @@ def merge_config(*parts: dict) -> dict:
     return out
 
 
+class ConfigError(ValueError):
+    """A configuration that can't be used; the message names the file or key."""
+
+
+def override(config: dict, settings: list[str]) -> dict:
+    """The configuration with settings such as ``train.beta=0.2``, whose values are read as YAML."""
+    out = copy.deepcopy(config)
+    for setting in settings:
+        path, equals, value = setting.partition("=")
+        *outer, last = path.split(".")
+        if not equals or not all([*outer, last]):
+            raise ConfigError(f"{setting}: want key.key=value")
+        at = out
+        for k in outer:
+            at = at.setdefault(k, {})
+            if not isinstance(at, dict):
+                raise ConfigError(f"{path}: {k} is not a section")
+        at[last] = _yaml(value)
+    return out
+
+
+def faults(config: dict, shape: dict, under: str = "") -> list[str]:
+    """What of a configuration doesn't fit a shape (key to type, tuple of types, or section): unknown keys and wrong types."""
+    out = []
+    for k, v in config.items():
+        want, name = shape.get(k), f"{under}{k}"
+        if want is None:
+            out.append(f"{name}: unknown")
+        elif isinstance(want, dict):
+            out += faults(v, want, f"{name}.") if isinstance(v, dict) else [f"{name}: want a section"]
+        elif not isinstance(v, want) or (isinstance(v, bool) and bool not in (want if isinstance(want, tuple) else (want,))):
+            out.append(f"{name}: wrong type {type(v).__name__}")
+    return out
+
+
+def load_config(base: str | None, components: list[str] = (), settings: list[str] = (), shape: dict | None = None) -> dict:
+    """Base file (may be missing), components in order (must be there), settings; then held against the shape, if one is given."""
+    parts = []
+    for path, needed in [(base, False), *((c, True) for c in components)]:
+        if path is None or not os.path.exists(path):
+            if needed:
+                raise ConfigError(f"{path}: no such file")
+            continue
+        with open(path, encoding="utf-8") as f:
+            part = _yaml(f.read()) or {}
+        if not isinstance(part, dict):
+            raise ConfigError(f"{path}: not a mapping")
+        parts.append(part)
+    out = override(merge_config(*parts), [*settings])
+    if shape is not None and (bad := faults(out, shape)):
+        raise ConfigError("; ".join(bad))
+    return out
+
+
+def _yaml(text: str):
+    try:
+        import yaml
+    except ImportError as e:
+        raise ConfigError("reading a configuration needs PyYAML") from e
+    try:
+        return yaml.safe_load(text)
+    except yaml.YAMLError as e:
+        raise ConfigError(str(e)) from e
+
+
 def config_hash(config: dict) -> str:
     return hashlib.sha256(json.dumps(config, sort_keys=True, separators=(",", ":"), default=str).encode()).hexdigest()[:12]
 
@@ -30,26 +97,73 @@ def run_id(kind: str, digest: str, now: datetime | None = None) -> str:
     return f"{kind}-{(now or datetime.now(timezone.utc)):%Y%m%d-%H%M%S}-{digest[:4]}"
 
 
-def metrics(judged: DataFrame) -> dict:
-    """Win rates with intervals by pair, per suite, bias and ratings; each part is an aggregate of a few rows."""
-    named = judged.withColumn("key", judged["model_a"])
+def metrics(judged: DataFrame, responses: DataFrame | None = None, cases: DataFrame | None = None, resamples: int = 2000) -> dict:
+    """Win rates with counts and intervals by pair, per suite, bias and ratings; each part is an aggregate of a few rows.
+
+    With responses (suite, case_id, model_id, response, n_tokens; one a key) also the length-controlled rates, and with
+    cases (suite, id, expected_answer, verifiable) the share of exact matches by model.
+    """
     keys = ["model_a", "model_b"]
     row = lambda r, *gone: {k: v for k, v in r.asDict().items() if k not in gone}
     name = lambda r: f"{r['model_a']}_vs_{r['model_b']}"
-    return {
-        "pairwise": {name(r): row(r, *keys) for r in ev.bootstrap(named, keys, 2000).collect()},
-        "per_suite": {f"{name(r)}/{r['suite']}": r["win_rate"] for r in ev.win_rate(named, *keys, "suite").collect()},
-        "position_bias_rate": {name(r): r["bias_rate"] for r in ev.bias_rate(named, *keys).collect()},
-        "elo": {r["model"]: r["elo"] for r in ev.ratings_frame(named).collect()},
-    }
+    counts = {name(r): row(r, *keys, "win_rate") for r in ev.win_rate(judged, *keys).collect()}
+    suites: dict = {}
+    for r in ev.win_rate(judged, *keys, "suite").collect():
+        suites.setdefault(r["suite"], {})[name(r)] = row(r, *keys, "suite") | {"n": r["wins"] + r["losses"] + r["ties"]}
+    ratings = {r["model"]: r["elo"] for r in ev.ratings_frame(judged).collect()}
+    out = {
+        "models": sorted({m for r in judged.select(*keys).distinct().collect() for m in r}), "suites": sorted(suites),
+        "pairwise": {name(r): counts[name(r)] | row(r, *keys) for r in ev.bootstrap(judged, keys, resamples).collect()},
+        "per_suite": suites, "position_bias_rate": {name(r): r["bias_rate"] for r in ev.bias_rate(judged, *keys).collect()}, "elo": ratings,
+        "length_controlled": {}, "exact_match": {},
+    }
+    if responses is not None:
+        lengths = ev.token_lengths(responses)
+        both = judged
+        for side in ("a", "b"):
+            said = lengths.select("suite", "case_id", F.col("model_id").alias(f"model_{side}"), F.col("length").alias(f"length_{side}"))
+            both = both.join(said, ["suite", "case_id", f"model_{side}"], "left")
+        out["length_controlled"] = {name(r): row(r, *keys) for r in ev.length_controlled_interval(both, "length_a", "length_b", keys, resamples=resamples).collect()}
+        if cases is not None:
+            known = cases.select("suite", F.col("id").alias("case_id"), "expected_answer", "verifiable")
+            out["exact_match"] = {r["model_id"]: row(r, "model_id") for r in ev.exact_match(responses.join(known, ["suite", "case_id"]), "expected_answer", "response", "model_id").collect()}
+    return out
+
+
+def write_json(doc: dict, path: str) -> None:
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(doc, f, indent=2, sort_keys=True)
+
+
+#: Said under every report; {judge} is the judge's name.
+NOTES = (
+    "Each pair was judged in both orders; a verdict counts only if both orders agree, else it is a tie.",
+    "A tie is half a win for either model; failed judgements are left out.",
+    "Length control leaves out cases whose winner is over a fifth longer than the loser.",
+    "Intervals are percentiles of resampled cases, at 95 percent.",
+    "Exact match asks whether an expected answer is in the response, whatever its case.",
+    "The judge was {judge}; a judge may favour models of its own family.",
+)
 
 
-def markdown(doc: dict, title: str = "Evaluation") -> str:
-    lines = [f"# {title}", "", "## Win rates", "", "| pair | win rate | interval | n |", "|-|-|-|-|"]
-    lines += [f"| {k} | {v['win_rate']:.4f} | [{v['ci_low']:.4f}, {v['ci_high']:.4f}] | {v['n']} |" for k, v in sorted(doc["pairwise"].items())]
+def markdown(doc: dict, title: str = "Evaluation", gallery: list[dict] = (), judge: str = "not stated", about: dict | None = None) -> str:
+    """The report: results, ratings, position bias, suites, lost cases (rows of ``regression_gallery``) and notes on method."""
+    number = lambda v, k: f"{v[k]:.4f} [{v['ci_low']:.4f}, {v['ci_high']:.4f}]"
+    controlled = doc.get("length_controlled", {})
+    lines = [f"# {title}", ""] + [f"- {k}: {v}" for k, v in (about or {}).items()]
+    lines += ["", "## Win rates", "", "| pair | win rate and interval | n | length-controlled |", "|-|-|-|-|"]
+    lines += [f"| {k} | {number(v, 'win_rate')} | {v['n']} | {number(controlled[k], 'win_rate') if k in controlled else ''} |" for k, v in sorted(doc["pairwise"].items())]
+    if doc.get("exact_match"):
+        lines += ["", "## Exact match", "", "| model | score | n |", "|-|-|-|"] + [f"| {m} | {v['score']:.4f} | {v['n_verifiable']} |" for m, v in sorted(doc["exact_match"].items())]
     lines += ["", "## Ratings", ""] + [f"- {m}: {e:.1f}" for m, e in sorted(doc["elo"].items(), key=lambda x: -x[1])]
     lines += ["", "## Position bias", ""] + [f"- {k}: {v:.3f}" + (" (over 0.30)" if v > 0.3 else "") for k, v in sorted(doc["position_bias_rate"].items())]
-    lines += ["", "## Suites", ""] + [f"- {k}: {v:.4f}" for k, v in sorted(doc["per_suite"].items())]
+    for suite, pairs in sorted(doc["per_suite"].items()):
+        lines += ["", f"## Suite {suite}", "", "| pair | win rate | n |", "|-|-|-|"] + [f"| {k} | {v['win_rate']:.4f} | {v['n']} |" for k, v in sorted(pairs.items())]
+    if gallery:
+        lines += ["", "## Lost cases"]
+        for r in gallery:
+            lines += ["", f"### {r['case_id']}", ""] + [f"- {k}: {' '.join(str(r[k]).split())}" for k in ("prompt", "intent", "winner_response", "loser_response", "rationale") if r[k]]
+    lines += ["", "## Method", ""] + [f"- {n.format(judge=judge)}" for n in NOTES]
     return "\n".join(lines) + "\n"
 
 

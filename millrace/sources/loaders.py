@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..schemas import EVAL_CASE, preference_error, sft_error
 from ..functions.text import strip
@@ -80,7 +81,8 @@ def adapt(df: DataFrame, spec: SourceSpec) -> DataFrame:
     for c in ours:
         theirs = spec.field_map.get(c)
         value = F.col(theirs) if theirs in df.columns else F.lit("")
-        columns.append((last_assistant(value) if spec.message_lists and c != "prompt" else value).cast("string").alias(c))
+        listed = theirs in df.columns and isinstance(df.schema[theirs].dataType, ArrayType)  # plain texts are taken as they are
+        columns.append((last_assistant(value) if spec.message_lists and listed else value).cast("string").alias(c))
     kept = [c for c in ("_ord",) if c in df.columns]
     out = df.select(*kept, *columns, F.lit(spec.name).alias("source"))
     return out.withColumn("error", sft_error() if spec.kind == "sft" else preference_error())
@@ -133,7 +135,8 @@ def incomplete_suites(cases: DataFrame, minimums: dict[str, int] = SUITE_MINIMUM
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The last row of each key; order must be total for a repeatable result."""
-    return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*[c.desc() for c in order]))).where("_rn = 1").drop("_rn")
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")).select(*keys, "_last.*")
 
 
 def log_records(lines: DataFrame, event: str | None = None, key: str | None = None, run_id: str | None = None) -> DataFrame:

@@ -207,3 +207,143 @@ def test_dataset_build_quarantines_and_keeps_first(spark):
     assert [r["id"] for r in built.rows.collect()] == [0]
     assert sorted((r["stage"], r["error"]) for r in built.quarantine.collect()) == [("normalisation", "instruction: too short"), ("validation", "instruction: too short")]
     assert [(r["stage"], r["rows"]) for r in built.funnel.orderBy("stage_ord").collect()] == [("loaded", 5), ("validated", 4), ("quarantined", 2), ("after_dedup", 2), ("after_decontamination", 1), ("final", 1)]
+
+
+def test_report_has_all_sections(spark):
+    judged = spark.createDataFrame([("a", "b", "s", str(i), v, False) for i, v in enumerate(["model_a", "model_a", "tie", "model_b"])], "model_a string, model_b string, suite string, case_id string, final_verdict string, position_bias_observed boolean")
+    said = [("s", str(i), m, "Yes it is", n) for i in range(4) for m, n in (("a", 30 if i == 0 else 10), ("b", 10))]
+    responses = spark.createDataFrame(said, "suite string, case_id string, model_id string, response string, n_tokens int")
+    cases = spark.createDataFrame([("s", "0", " YES |no", True), ("s", "1", "perhaps", True), ("s", "2", "", True)], "suite string, id string, expected_answer string, verifiable boolean")
+    doc = report.metrics(judged, responses, cases)
+    got = doc["length_controlled"]["a_vs_b"]
+    assert (got["win_rate"], got["n"], got["n_discarded"], got["pct_discarded"]) == (0.5, 3, 1, 25.0)
+    assert doc["exact_match"]["a"] == {"n_correct": 1, "n_verifiable": 2, "score": 0.5} and doc["pairwise"]["a_vs_b"]["wins"] == 2
+    shown = ev.regression_gallery(judged.withColumn("rationale_ab", F.lit("why")), cases.selectExpr("suite", "id as case_id", "'p' as prompt", "'i' as intent"), responses, "a", "b", ["case_id"], 5, 3)
+    gallery = [r.asDict() for r in shown.collect()]
+    assert [r["case_id"] for r in gallery] == ["0", "1"] and gallery[0]["winner_response"] == "Yes..."
+    page = report.markdown(doc, gallery=gallery, judge="J")
+    for part in ("## Win rates", "## Exact match", "## Ratings", "## Position bias", "## Suite s", "## Lost cases", "## Method", "The judge was J"):
+        assert part in page
+    swapped = judged.selectExpr("model_b as model_a", "model_a as model_b", "suite", "case_id", "case final_verdict when 'model_a' then 'model_b' when 'model_b' then 'model_a' else final_verdict end as final_verdict", "'why' as rationale_ab")
+    assert ev.regression_gallery(swapped, cases.selectExpr("suite", "id as case_id", "'p' as prompt", "'i' as intent"), responses, "a", "b", ["case_id"]).count() == 2
+
+
+def test_exact_match_leaves_errors_out_and_scores_none_as_zero(spark):
+    df = spark.createDataFrame([("x", "A thing", True, None), ("x", "a thing", True, "failed"), ("x", "b", True, ""), ("x", None, True, None)], "expected string, response string, verifiable boolean, error string").withColumn("expected", F.lit("thing"))
+    assert ev.exact_match(df, "expected", "response").first().asDict() == {"n_correct": 1, "n_verifiable": 2, "score": 0.5}
+    assert ev.exact_match(df.where("false"), "expected", "response").first()["score"] == 0.0
+    assert [r["got_preview"] for r in ev.exact_match_failures(df, "expected", "response").collect()] == ["b"]
+
+
+def test_config_files_and_settings(tmp_path):
+    import pytest
+
+    base, part = tmp_path / "base.yaml", tmp_path / "part.yaml"
+    base.write_text("train: {beta: 0.1, steps: 5}\nname: x\n")
+    part.write_text("train: {beta: 0.2}\n")
+    shape = {"train": {"beta": float, "steps": int}, "name": str}
+    assert report.load_config(str(base), [str(part)], ["train.steps=7"], shape) == {"train": {"beta": 0.2, "steps": 7}, "name": "x"}
+    assert report.load_config(str(tmp_path / "none"), [str(part)]) == {"train": {"beta": 0.2}}
+    for components, settings in (([str(tmp_path / "none")], []), ([], ["train.beta=x"]), ([], ["other=1"]), ([], ["train.steps=true"]), ([], ["name.x=1"]), ([], ["nothing"])):
+        with pytest.raises(report.ConfigError):
+            report.load_config(str(base), components, settings, shape)
+
+
+def test_chat_judge_tries_again():
+    import json
+
+    import pytest
+
+    from millrace.functions.judges import ChatJudge, JudgeError, LocalJudge, retrying
+
+    answers, waits = [], []
+
+    def server(url, headers, body, timeout):
+        got = answers.pop(0)
+        if isinstance(got, Exception):
+            raise got
+        return got
+
+    judge = ChatJudge("m", "http://x/v1/", lambda: "k", post=server, sleep=waits.append, jitter=lambda: 0.0)
+    good = (200, {}, json.dumps({"choices": [{"message": {"content": "A"}}]}).encode())
+    answers[:] = [(429, {"retry-after": "9"}, b""), OSError("no net"), (503, {"retry-after": "Mon"}, b""), good]
+    assert judge(["p"]) == ["A"] and waits == [9.0, 2.0, 4.0]
+    answers[:] = [(401, {}, b"")]
+    with pytest.raises(JudgeError):
+        judge(["p"])
+    answers[:] = [(500, {}, b"")] * 6
+    with pytest.raises(JudgeError):
+        judge(["p"])
+    assert not answers
+    local = LocalJudge("n", lambda: ((lambda t: [*t]), "".join, lambda ids, most: ids[-2:]), longest=3)
+    assert local(["abcdef"]) == ["bc"]
+    said = iter([["?", "A"], ["?"], ["B"]])
+    assert retrying(lambda prompts: next(said), lambda a: a != "?")(["x", "y"]) == ["B", "A"]
+
+
+def test_failed_judge_calls_are_null_verdicts(spark):
+    def judge(prompts):
+        if any("bad" in p for p in prompts):
+            raise RuntimeError("down")
+        return ['{"verdict": "A"}' for _ in prompts]
+
+    pairs = spark.createDataFrame([("bad", "i", "x", "y"), ("good", "i", "x", "y")], "prompt string, intent string, response_a string, response_b string").coalesce(1)
+    assert {r["prompt"]: (r["verdict_ab"], r["final_verdict"]) for r in ev.judge(pairs, judge).collect()} == {"bad": (None, "failed"), "good": ("A", "tie")}
+
+
+def test_registry(spark, tmp_path):
+    import pytest
+
+    from millrace.operators.registry import Registry, list_files, run_folders
+
+    r = Registry(spark, f"file://{tmp_path}/registry")
+    assert r.get_run("x") is None and r.served_models().count() == 0
+    r.create_run("sft-1", "sft", "abc", notes="n")
+    with pytest.raises(ValueError):
+        r.create_run("sft-1", "sft", "abc")
+    r.fail_run("sft-1", "oom")
+    run = r.get_run("sft-1")
+    assert (run["status"], run["notes"], run["config_hash"]) == ("failed", "n | oom", "abc") and run["finished_at"]
+    with pytest.raises(KeyError):
+        r.complete_run("none")
+    r.create_run("dpo-1", "dpo", "abc")
+    r.complete_run("dpo-1", {"loss": 1})
+    assert [x["run_id"] for x in r.list_runs().collect()] == ["dpo-1", "sft-1"] and r.list_runs("sft").count() == 1
+    r.record_artifact("sft-1", "gguf", "p", size_bytes=3)
+    assert r.artifacts("sft-1").first()["size_bytes"] == 3
+    r.record_dataset("d", "n", "sft", "p", "hash", 5)
+    r.record_dataset("d", "n", "sft", "q", "hash", 6)
+    assert r.get_dataset("hash")["n_rows"] == 6 and r.get_dataset("none") is None
+    r.publish_model("m", "M", "local", "w", sort_order=2)
+    r.publish_model("k", "K", "local", "w", sort_order=1)
+    r.unpublish("m")
+    assert [m["model_id"] for m in r.served_models().collect()] == ["k"] and r.served_models(False).count() == 2
+    r.record_vote("p", "a", "b", "x", "y", "a")
+    assert r.votes().first()["winner"] == "a"
+    for f in ("sft-2/adapter/adapter_config.json", "sft-2/checkpoints/checkpoint-9/trainer_state.json", "sft-2/checkpoints/checkpoint-10/trainer_state.json", "sft-2/checkpoints/checkpoint-11/w.bin", "sft-3/log", "dpo-1/log", "stray"):
+        (tmp_path / "runs" / f).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "runs" / f).write_text("x")
+    found = {x["run_id"]: (x["complete"], x["latest_step"]) for x in run_folders(list_files(spark, f"file://{tmp_path}/runs"), "sft").collect()}
+    assert found == {"sft-2": (True, 10), "sft-3": (False, None)}
+
+
+def test_plain_answers_pass_through_and_last_rows_win(spark):
+    df = spark.createDataFrame([("What is it?", "A fine thing", "A bad thing")], "prompt string, chosen string, rejected string")
+    assert ld.adapt(df, ld.CATALOG["ultrafeedback"]).first()["chosen"] == "A fine thing"
+    rows = spark.createDataFrame([("k", 1, 1, "x"), ("k", 2, 1, "y"), ("k", 2, 2, "z"), ("j", 0, 0, None)], "k string, a int, b int, v string")
+    assert {r["k"]: r["v"] for r in ld.latest_per_key(rows, ["k"], [F.col("a"), F.col("b")]).collect()} == {"k": "z", "j": None}
+
+
+def test_manifest_takes_what_the_caller_says(spark, tmp_path):
+    import json
+
+    import pytest
+
+    df = spark.createDataFrame([(i, f"Q{i}") for i in range(10)], "i long, q string")
+    none = spark.createDataFrame([], "raw string")
+    digest = cu.write_dataset(df, none, f"file://{tmp_path}", "d", "i", kind="preference", funnel={"loaded": 10})
+    doc = json.loads((tmp_path / "d" / digest / "manifest.json").read_text())
+    assert doc["kind"] == "preference" and doc["funnel"] == {"loaded": 10} and doc["sources"] == []
+    assert {"name", "content_hash", "n_train", "n_val", "n_total", "val_ratio", "seed", "filter_eval", "token_stats", "decontamination"} <= {*doc}
+    with pytest.raises(TypeError):
+        cu.write_dataset(df, none, f"file://{tmp_path}", "d", "i", other={})
