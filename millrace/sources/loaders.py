@@ -15,7 +15,7 @@ from ..functions.text import strip
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """An adapter: our column <- theirs; optional kept categories; whether chosen and rejected are message lists."""
+    """An adapter: our column <- theirs; optional kept categories; whether chosen and rejected are message lists, and rows are turns of threads."""
 
     name: str
     kind: str
@@ -23,6 +23,7 @@ class SourceSpec:
     categories_keep: tuple = ()
     message_lists: bool = False
     transcript: bool = False
+    threads: bool = False
     revision: str = "main"
     split: str = "train"
 
@@ -35,7 +36,7 @@ CATALOG = {
         SourceSpec("alpaca_cleaned", "sft", _SFT),
         SourceSpec("code_alpaca", "sft", _SFT),
         SourceSpec("dolly_15k", "sft", {"instruction": "instruction", "input": "context", "response": "response"}, ("closed_qa", "information_extraction", "general_qa", "classification", "summarization")),
-        SourceSpec("oasst1", "sft", {"instruction": "parent_text", "response": "text"}),
+        SourceSpec("oasst1", "sft", {"instruction": "parent_text", "response": "text"}, threads=True),
         SourceSpec("ultrafeedback", "preference", _PREF, message_lists=True, split="train_prefs"),
         SourceSpec("py_dpo", "preference", _PREF, message_lists=True),
         SourceSpec("anthropic_hh", "preference", _PREF, transcript=True),
@@ -96,13 +97,21 @@ def route(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def load_source(spark: SparkSession, path: str, spec: SourceSpec, limit: int | None = None) -> DataFrame:
+    """The source's rows by its spec; a limit takes the first rows of its files, in their order, before any is left out."""
     df = spark.read.json(path) if path.endswith((".json", ".jsonl")) else spark.read.parquet(path)
-    return adapt(df.limit(limit) if limit else df, spec)
+    if limit is not None:
+        # a block's rows have growing numbers, whichever task reads it
+        place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+        at = df.select("*", *(c.alias(f"_at{i}") for i, c in enumerate(place)))
+        df = at.orderBy("_at0", "_at1", "_at2").limit(limit).drop("_at0", "_at1", "_at2")
+    return adapt(oasst_rows(df) if spec.threads else df, spec)
 
 
 def load_all(spark: SparkSession, paths: dict[str, str], limit: int | None = None) -> DataFrame:
-    """Sources in order, the limit for each; unknown names are skipped."""
+    """Sources in order, the limit for each; unknown names are skipped, and no known one raises ValueError."""
     parts = [load_source(spark, path, CATALOG[name], limit).withColumn("source_ord", F.lit(k)) for k, (name, path) in enumerate(paths.items()) if name in CATALOG]
+    if not parts:
+        raise ValueError(f"no known source among {sorted(paths)}")
     return reduce(DataFrame.unionByName, parts)
 
 

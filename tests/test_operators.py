@@ -347,3 +347,25 @@ def test_manifest_takes_what_the_caller_says(spark, tmp_path):
     assert {"name", "content_hash", "n_train", "n_val", "n_total", "val_ratio", "seed", "filter_eval", "token_stats", "decontamination"} <= {*doc}
     with pytest.raises(TypeError):
         cu.write_dataset(df, none, f"file://{tmp_path}", "d", "i", other={})
+
+
+def test_loading_by_spec_and_limit(spark, tmp_path):
+    import json
+
+    import pytest
+
+    turns = [("q", None, "prompter", "What is a list?", None), ("a", "q", "assistant", "A sequence of things.", 0), ("b", "q", "assistant", "Another answer.", 1), ("c", None, "assistant", "An orphan's answer.", 0)]
+    (tmp_path / "threads.jsonl").write_text("".join(json.dumps(dict(zip(("message_id", "parent_id", "role", "text", "rank"), t), lang="en")) + "\n" for t in turns))
+    got = ld.load_source(spark, f"file://{tmp_path}/threads.jsonl", ld.CATALOG["oasst1"]).collect()
+    assert [(r["instruction"], r["response"], r["error"]) for r in got] == [("What is a list?", "A sequence of things.", None)]
+    (tmp_path / "plain").mkdir()
+    for k in range(3):
+        (tmp_path / "plain" / f"{k}.json").write_text("".join(json.dumps({"instruction": f"Question {k}{i}", "input": "", "output": "An answer"}) + "\n" for i in range(4)))
+    spec = ld.CATALOG["alpaca_cleaned"]
+    read = lambda n: sorted(r["instruction"] for r in ld.adapt(spark.read.json(f"file://{tmp_path}/plain"), spec).collect())[:n]
+    df = ld.load_all(spark, {"alpaca_cleaned": f"file://{tmp_path}/plain/0.json", "none": "x"}, 3)
+    assert sorted(r["instruction"] for r in df.collect()) == read(3)
+    spark.createDataFrame([(f"Question {i:03d}", "", "An answer") for i in range(300)], "instruction string, input string, output string").coalesce(1).sortWithinPartitions("instruction").write.parquet(f"file://{tmp_path}/p")
+    assert sorted(r["instruction"] for r in ld.load_source(spark, f"file://{tmp_path}/p", spec, 5).collect()) == [f"Question {i:03d}" for i in range(5)]
+    with pytest.raises(ValueError):
+        ld.load_all(spark, {"none": "x"})
