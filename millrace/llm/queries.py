@@ -78,11 +78,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.selectExpr("doc_id", "n_lines", "n_equal", "n_near", "coalesce(text, '') as kept_text")
 
 
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentence_pieces import encode_documents
+
+    return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hard_negatives import mine
+
+    label = "case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label"
+    return mine(table(spark, sf_dir, "embeddings").selectExpr("vec_id as id", "embedding as vector", label, "vec_id % 100 = 0 as anchor"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_license_scan, op3_lm_score, op4_byte_bpe, op5_exact_dedup, op6_best_fit_packing,
-        op7_quality_rules, op8_ngram_join, op9_warc, op10_line_dedup,
+        op7_quality_rules, op8_ngram_join, op9_warc, op10_line_dedup, op11_sentence_pieces, op12_hard_negatives,
     )
 }
 
@@ -95,9 +108,9 @@ from n join g on n.t = g.t
 
 
 def _oracles() -> dict[str, str]:
-    from .line_dedup import ORACLE
+    from . import hard_negatives, line_dedup
 
-    return {"op5_exact_dedup": _EXACT, "op10_line_dedup": ORACLE}
+    return {"op5_exact_dedup": _EXACT, "op10_line_dedup": line_dedup.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
 
 
 ORACLES = _oracles()
