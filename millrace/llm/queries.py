@@ -91,11 +91,17 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(table(spark, sf_dir, "embeddings").selectExpr("vec_id as id", "embedding as vector", label, "vec_id % 100 = 0 as anchor"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversations import damaged, repair
+
+    return repair(table(spark, sf_dir, "conversations"), damaged)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_license_scan, op3_lm_score, op4_byte_bpe, op5_exact_dedup, op6_best_fit_packing,
-        op7_quality_rules, op8_ngram_join, op9_warc, op10_line_dedup, op11_sentence_pieces, op12_hard_negatives,
+        op7_quality_rules, op8_ngram_join, op9_warc, op10_line_dedup, op11_sentence_pieces, op12_hard_negatives, op13_conversation_repair,
     )
 }
 
