@@ -7,60 +7,137 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.grams import GramIndex, Words, gram_strings
 from ..functions.lexicon import is_technical
-from ..functions.text import ngrams, normalise, word_tokens
+from ..functions.text import normalise
+from ..plans.scratch import writer
 
 
 def normalise_fields(df: DataFrame, fields: list[str]) -> DataFrame:
     return df.withColumns({f: normalise(F.col(f)) for f in fields})
 
 
-def exact_dedup(df: DataFrame, text: Column, order: list[str]) -> DataFrame:
+def exact_dedup(df: DataFrame, text: Column, order: list[str], copies: str | None = None) -> DataFrame:
     """The first row of each text, by sha256: earliest places are combined before the shuffle, no window holds a group.
 
-    Rows that also tie in the order columns are told apart by a number of their own, so one row a text stays.
+    Rows that also tie in the order columns are told apart by a number of their own, so one row a text stays.  ``copies``
+    names a column for how many rows had the text.
     """
     keyed = df.withColumn("_key", F.sha2(F.coalesce(text, F.lit("")), 256)).withColumn("_at", F.struct(*order))
     whole = F.struct(*[c for c in df.columns])
-    return keyed.groupBy("_key").agg(F.min_by(whole, "_at").alias("_row")).select("_row.*")
+    first = keyed.groupBy("_key").agg(F.min_by(whole, "_at").alias("_row"), F.count(F.lit(1)).alias("_n"))
+    return first.select("_row.*", *([F.col("_n").alias(copies)] if copies else []))
 
 
-def gram_marks(text: Column, n: int) -> Column:
-    """For each word n-gram, a hash of its length and its first, middle and last word: equal for equal grams."""
-    mark = lambda w, i, m: F.xxhash64(m, F.get(w, i), F.get(w, i + F.floor(m / 2).cast("int")), F.get(w, i + m - 1))
-    grams = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: mark(w, i, F.lit(n)))
-    none = F.array().cast("array<bigint>")
-    # The words are bound as a lambda's argument, so that they are found once and not for each gram.
-    return F.transform(F.array(word_tokens(text)), lambda w: F.when(F.size(w) >= n, grams(w)).when(F.size(w) > 0, F.array(mark(w, F.lit(0), F.size(w)))).otherwise(none))[0]
-
-
-def grams_of(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """Distinct (key, gram) rows."""
-    return df.withColumn("_t", word_tokens(F.col(text))).select(key, F.explode(F.array_distinct(ngrams(F.col("_t"), n))).alias("gram"))
+def dedup_stats(firsts: DataFrame, copies: str = "copies") -> DataFrame:
+    """n_rows, n_kept, exact_removed from the first rows of each text with their numbers of copies."""
+    n = F.col(copies)
+    return firsts.agg(F.coalesce(F.sum(n), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_kept"), F.coalesce(F.sum(n - 1), F.lit(0)).alias("exact_removed"))
 
 
 def gram_index(prompts: DataFrame, text: str, n: int = 13) -> DataFrame:
-    return prompts.withColumn("_t", word_tokens(F.col(text))).select(F.explode(ngrams(F.col("_t"), n)).alias("gram")).distinct()
+    """The distinct word n-grams of all prompts as strings (gram); a shorter prompt is one gram as a whole."""
 
+    def run(iterator):
+        for batch in iterator:
+            yield pa.RecordBatch.from_arrays([pa.array(gram_strings(batch.column(0).to_pylist(), n), pa.string())], names=["gram"])
 
-def contaminated(df: DataFrame, key: str, text: str, index: DataFrame, n: int = 13, min_overlap: int = 1) -> DataFrame:
-    """Keys that share at least ``min_overlap`` distinct grams with the index.
+    return prompts.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "gram string").distinct()
 
-    Grams are looked up by three of their words first, which passes few rows; only those rows' grams are then made as strings
-    and counted.  The indexes are left to the planner: Spark broadcasts them when their size is known to be small, else it
-    shuffles.
-    """
-    marked = index.select(F.explode(gram_marks(F.col("gram"), n)).alias("h")).distinct()
-    maybe = df.select(key, F.explode(gram_marks(F.col(text), n)).alias("h")).join(marked, "h", "left_semi").select(key).distinct()
-    hits = grams_of(df.join(maybe, key, "left_semi"), key, text, n).join(index, "gram", "left_semi")
-    return hits.groupBy(key).agg(F.count(F.lit(1)).alias("overlap")).where(F.col("overlap") >= min_overlap)
 
+def with_overlap(df: DataFrame, text: str, index: DataFrame, n: int = 13, most: int = 64 << 20, block: int = 1 << 20) -> DataFrame:
+    """Adds ``overlap``: how many distinct n-grams of a row's text are in the index.  Rows are judged one by one, whatever their keys.
 
-def decontaminate(df: DataFrame, key: str, text: str, index: DataFrame, n: int = 13, min_overlap: int = 1) -> DataFrame:
-    return df.join(contaminated(df, key, text, index, n, min_overlap).select(key), key, "left_anti")
+    An index of up to ``most`` bytes is broadcast, sorted by hash, and looked up where the rows are, so that no gram is
+    exploded and nothing is shuffled.  A larger one is split by hash into blocks of about ``block`` grams; a row's hashes go to
+    the blocks that may hold them, and only rows with a hit there are looked at as strings.
+    """
+    spark = df.sparkSession
+    grams, size = index.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("gram") + 16), F.lit(0))).first()
+    if size <= most:
+        held = spark.sparkContext.broadcast(GramIndex([r["gram"] for r in index.collect()], n))
+        # not deterministic for the planner's sake alone: a filter on the count must not count again
+        count = F.pandas_udf(lambda texts: held.value.series(texts), "long").asNondeterministic()
+        return df.withColumn("overlap", count(F.col(text).cast("string")))
+    save = writer(spark)
+    row = next(c for c in ("_row", "__row", "___row") if c not in df.columns)
+    rows = save(df.withColumn(row, F.monotonically_increasing_id()), "rows")
+    bits = max(1, -(-grams // block) - 1).bit_length()
+    hit = _block_hits(rows.select(row, F.col(text).cast("string").alias("text")), index, n, bits, row)
+    maybe = save(rows.select(row, F.col(text).cast("string").alias("text")).join(hit, row, "left_semi"), "maybe")
+    counts = _row_grams(maybe, row, n).join(index, "gram", "left_semi").groupBy(row).agg(F.count(F.lit(1)).alias("overlap"))
+    return rows.join(counts, row, "left").drop(row).withColumn("overlap", F.coalesce("overlap", F.lit(0)))
+
+
+def _row_grams(rows: DataFrame, row: str, n: int) -> DataFrame:
+    """(row, gram): the distinct grams of each row's text."""
+
+    def run(iterator):
+        for batch in iterator:
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = gram_strings([text], n)
+                yield pa.RecordBatch.from_arrays([pa.array([k] * len(own), pa.int64()), pa.array(own, pa.string())], names=[row, "gram"])
+
+    return rows.select(row, "text").mapInArrow(run, f"{row} long, gram string")
+
+
+def _block_hits(rows: DataFrame, index: DataFrame, n: int, bits: int, row: str) -> DataFrame:
+    """Rows with a gram whose hash the index has, found block by block: a task reads a block's hashes, then the rows' that go there."""
+    schema, names = f"block long, kind int, {row} long, hashes binary", ["block", "kind", row, "hashes"]
+
+    def dealt(kind: int, key, hashes: np.ndarray):
+        hashes = np.unique(hashes)
+        block = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(block, prepend=-1))
+        for a, b in zip(cuts, [*cuts[1:], len(hashes)]):
+            yield int(block[a]), kind, key, hashes[a:b].tobytes()
+
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        columns = [*zip(*found)] or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=names)
+
+    def of_index(iterator):
+        for batch in iterator:
+            yield batch_of([*dealt(0, None, GramIndex.hash(batch.column(0).to_pylist()))])
+
+    def of_rows(iterator):
+        for batch in iterator:
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield batch_of([*dealt(1, k, Words([text]).grams(n)[0])])
+
+    def merged(iterator):
+        now, parts, held = None, [], None
+        for batch in iterator:
+            found = []
+            for block, kind, k, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if block != now:
+                    now, parts, held = block, [], None
+                hashes = np.frombuffer(data, np.uint64)
+                if kind == 0:
+                    parts.append(hashes)
+                    continue
+                if held is None:
+                    held = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+                if len(held) and (held[np.minimum(np.searchsorted(held, hashes), len(held) - 1)] == hashes).any():
+                    found.append(k)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=[row])
+
+    both = index.select("gram").mapInArrow(of_index, schema).unionByName(rows.select(row, "text").mapInArrow(of_rows, schema))
+    return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(merged, f"{row} long").distinct()
+
+
+def contaminated(df: DataFrame, key: str, text: str, index: DataFrame, n: int = 13, min_overlap: int = 1, **sizes) -> DataFrame:
+    """(key, overlap) of each row that shares at least ``min_overlap`` distinct grams with the index."""
+    return with_overlap(df.select(key, text), text, index, n, **sizes).where(F.col("overlap") >= min_overlap).select(key, "overlap")
+
+
+def decontaminate(df: DataFrame, text: str, index: DataFrame, n: int = 13, min_overlap: int = 1, **sizes) -> DataFrame:
+    """The rows that share fewer; a null or wordless text shares none."""
+    return with_overlap(df, text, index, n, **sizes).where(F.col("overlap") < min_overlap).drop("overlap")
 
 
 def keyword_filter(df: DataFrame, text: str) -> DataFrame:
@@ -175,96 +252,12 @@ def content_hash(df: DataFrame, columns: list[str], key: str) -> DataFrame:
 
 
 def funnel(flagged: DataFrame, stages: list[tuple[str, Column]]) -> DataFrame:
-    """(stage_ord, stage, rows) from per-row conditions, in one pass."""
-    counted = flagged.agg(*[F.count_if(c).alias(f"s{i}") for i, (_, c) in enumerate(stages)])
+    """(stage_ord, stage, rows) from per-row conditions, or numbers of rows that a row stands for, in one pass."""
+    counted = flagged.agg(*[F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(f"s{i}") for i, (_, c) in enumerate(stages)])
     rows = F.array(*[F.struct(F.lit(i).cast("long").alias("stage_ord"), F.lit(n).alias("stage"), F.col(f"s{i}").alias("rows")) for i, (n, _) in enumerate(stages)])
     return counted.select(F.explode(rows).alias("r")).select("r.*")
 
 
-#: Shape of the near-dup signature: 128 minima in 8 bands of 16 rows, for a similarity of 0.85.
-PERMUTATIONS, BANDS, SHINGLE = 128, 8, 5
-_MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
-
-
-def _stirred(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * _MIX[1]
-    return h ^ (h >> np.uint64(29))
-
-
-def _donors() -> np.ndarray:
-    """For each bin, the order in which it asks the others for a value if it has none: fixed, and its own for each."""
-    bins = np.arange(PERMUTATIONS, dtype=np.uint64)
-    return np.argsort(_stirred((bins[:, None] * np.uint64(PERMUTATIONS) + bins + np.uint64(1)) * _MIX[0]), axis=1, kind="stable")
-
-
-def minima(text: str) -> np.ndarray:
-    """The 128 minima of one permutation of the text's character 5-grams: the hash's high bits are a gram's bin.
-
-    An empty bin takes the value of the first bin in its own order that has one, mixed with the asking bin's number only
-    through that order, so equal sets give equal signatures and a bin agrees with the chance of the sets' similarity.
-    """
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    n = len(points) - SHINGLE + 1
-    if n < 1:
-        return np.full(PERMUTATIONS, np.iinfo(np.uint64).max)
-    h = np.zeros(n, np.uint64)
-    for i in range(SHINGLE):
-        h = _stirred(h * _MIX[0] + points[i : i + n] + np.uint64(1))
-    h.sort()
-    width = np.uint64(64 - 7)
-    bins = np.arange(PERMUTATIONS, dtype=np.uint64)
-    first = np.searchsorted(h, bins << width)
-    filled = np.flatnonzero(np.diff(np.append(first, n)) > 0)
-    low = np.zeros(PERMUTATIONS, np.uint64)
-    low[filled] = h[first[filled]]
-    if len(filled) < PERMUTATIONS:
-        has = np.zeros(PERMUTATIONS, bool)
-        has[filled] = True
-        global _DONORS
-        if _DONORS is None:
-            _DONORS = _donors()
-        donor = _DONORS[np.arange(PERMUTATIONS), has[_DONORS].argmax(axis=1)]
-        low = np.where(has, low, low[donor])
-    return low
-
-
-_DONORS = None
-
-
-def band_hashes(texts: pd.Series) -> pd.Series:
-    import xxhash
-
-    out = []
-    for t in texts:
-        rows = minima(t or "").reshape(BANDS, -1)
-        out.append([xxhash.xxh64_intdigest(r.tobytes(), i) - (1 << 63) for i, r in enumerate(rows)])
-    return pd.Series(out)
-
-
-def near_dedup(df: DataFrame, key: str, text: str, scratch: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """Greedy first-wins near dedup: a row goes if it shares a band with an earlier row that stays.
-
-    This is the lexicographically first maximal independent set over bands: a row stays once it is the first undecided
-    one in all its bands and none of them has a row that stays; rows of a band with one that stays go.  Band minima
-    are aggregates, so no pairs of a band are made.  ``scratch`` writes a table and reads it again.
-    """
-    hashed = F.pandas_udf(band_hashes, "array<long>")
-    bands = scratch(df.select(F.col(key).alias("id"), F.posexplode(hashed(F.col(text))).alias("band", "h")), "bands")
-    undecided, kept, turn = bands, None, 0
-    while True:  # each round decides the first undecided row at least
-        turn += 1
-        first = undecided.groupBy("band", "h").agg(F.min("id").alias("first"))
-        at = undecided.join(first, ["band", "h"])
-        new = at.groupBy("id").agg(F.bool_and(F.col("id") == F.col("first")).alias("stays")).where("stays").select("id")
-        new = scratch(new, f"kept-{turn}")
-        kept = new if kept is None else kept.unionByName(new)
-        taken = bands.join(new, "id", "left_semi").select("band", "h").distinct()
-        gone = undecided.join(taken, ["band", "h"], "left_semi").select("id").distinct()
-        undecided = scratch(undecided.join(gone, "id", "left_anti"), f"undecided-{turn}")
-        if undecided.isEmpty():
-            return df.join(kept.withColumnRenamed("id", key), key, "left_semi")
-
-
 #: Keys of a manifest that the caller may give, and their values if not given.
 _ABOUT = {"sources": [], "funnel": {}, "filter_eval": {}, "token_stats": {}, "decontamination": {}}
 

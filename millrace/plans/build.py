@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lexicon import is_technical
 from ..operators import curation as cu
+from ..operators import near_dup as nd
 from ..schemas import PREFERENCE, SFT, preference_error, preference_full_text, prompt_text, sft_error, sft_full_text
 
 
@@ -43,11 +44,11 @@ def build_dataset(df: DataFrame, kind: str, key: str, save, eval_prompts: DataFr
         counts.append(("after_keyword", rows))
     rows = save(cu.exact_dedup(rows, whole, [key]), "distinct")
     if near:
-        rows = save(cu.near_dedup(rows.withColumn("_whole", whole), key, "_whole", save).drop("_whole"), "apart")
+        rows = save(nd.near_dedup(rows.withColumn("_whole", whole), key, "_whole", save).drop("_whole"), "apart")
     counts.append(("after_dedup", rows))
     if eval_prompts is not None:
         marked = save(rows.withColumn("_prompt", prompt), "prompts")
-        rows = save(cu.decontaminate(marked, key, "_prompt", cu.gram_index(eval_prompts, "prompt", n), n).drop("_prompt"), "clean")
+        rows = save(cu.decontaminate(marked, "_prompt", cu.gram_index(eval_prompts, "prompt", n), n).drop("_prompt"), "clean")
         counts.append(("after_decontamination", rows))
     counts.append(("final", rows))
     parts = [part.agg(F.lit(i).cast("long").alias("stage_ord"), F.lit(name).alias("stage"), F.count(F.lit(1)).alias("rows")) for i, (name, part) in enumerate(counts)]

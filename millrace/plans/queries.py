@@ -14,11 +14,13 @@ from ..functions import text as tx
 from ..functions.lexicon import ANY_CONSUMING, is_technical
 from ..operators import curation as cu
 from ..operators import evaluation as ev
+from ..operators import near_dup as nd
 from ..operators import records as rc
 from ..operators import registry as rg
 from ..operators import telemetry as te
 from ..schemas import preference_error, sft_error
 from ..sources import loaders as ld
+from .scratch import writer
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -128,9 +130,8 @@ def decontam_hits(spark, d):
 
 @query(_HITS + " select source, count(*) filter (where doc_id not in (select doc_id from h)) as kept, count(*) filter (where doc_id in (select doc_id from h)) as dropped from documents group by source")
 def decontam_keep_by_source(spark, d):
-    docs = _t(spark, d, "documents")
-    hits = cu.contaminated(docs, "doc_id", "text", _index(spark, d)).select("doc_id", F.lit(True).alias("hit"))
-    return docs.select("doc_id", "source").join(hits, "doc_id", "left").groupBy("source").agg(F.count_if(F.col("hit").isNull()).alias("kept"), F.count_if("hit").alias("dropped"))
+    judged = cu.with_overlap(_t(spark, d, "documents").select("source", "text"), "text", _index(spark, d))
+    return judged.groupBy("source").agg(F.count_if(F.col("overlap") == 0).alias("kept"), F.count_if(F.col("overlap") > 0).alias("dropped"))
 
 
 @query(_HITS + " select doc_id from h where overlap >= 2")
@@ -146,8 +147,7 @@ def exact_dedup_first_wins(spark, d):
 
 @query("select count(*) as n_rows, count(distinct text) as n_kept, count(*) - count(distinct text) as exact_removed from documents")
 def dedup_stats(spark, d):
-    sizes = _t(spark, d, "documents").groupBy(F.sha2("text", 256).alias("h")).agg(F.count(F.lit(1)).alias("c"))
-    return sizes.agg(F.sum("c").alias("n_rows"), F.count(F.lit(1)).alias("n_kept"), F.sum(F.col("c") - 1).alias("exact_removed"))
+    return cu.dedup_stats(cu.exact_dedup(_t(spark, d, "documents").select("doc_id", "text"), F.col("text"), ["doc_id"], "copies"))
 
 
 @query(f"""with p as ({V_PREF}), e as (select case when length(prompt) < 5 then 'prompt: too short' when trim(prompt) = '' then 'prompt: blank' when length(chosen) < 5 then 'chosen: too short' when trim(chosen) = '' then 'chosen: blank'
@@ -213,21 +213,25 @@ def canonical_content_hash(spark, d):
 select 0::bigint as stage_ord, 'loaded' as stage, count(*) as rows from s union all select 1, 'validated', count(*) from s where valid union all select 2, 'quarantined', count(*) from s where not valid
 union all select 3, 'after_dedup', count(*) from s where valid and first union all select 4, 'after_decontamination', count(*) from s where valid and first and not hit""")
 def curation_funnel(spark, d):
-    docs = _t(spark, d, "documents")
-    keyed = docs.select("doc_id", "text", F.sha2("text", 256).alias("h"))
-    first = keyed.groupBy("h").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.lit(True).alias("first"))
-    hits = cu.contaminated(docs, "doc_id", "text", _index(spark, d)).select("doc_id", F.lit(True).alias("hit"))
-    rows = docs.select("doc_id", ((F.length("text") >= 5) & (tx.strip(F.col("text")) != "")).alias("valid")).join(first, "doc_id", "left").join(hits, "doc_id", "left")
-    ok, one, hit = F.coalesce("valid", F.lit(False)), F.coalesce("first", F.lit(False)), F.coalesce("hit", F.lit(False))
-    return cu.funnel(rows.select(ok.alias("v"), one.alias("f"), hit.alias("x")), [("loaded", F.lit(True)), ("validated", F.col("v")), ("quarantined", ~F.col("v")), ("after_dedup", F.col("v") & F.col("f")), ("after_decontamination", F.col("v") & F.col("f") & ~F.col("x"))])
+    """Stages of the documents; rows of one text are alike in all but their place, so a text's first row stands for its copies."""
+    ok = F.coalesce((F.length("text") >= 5) & (tx.strip(F.col("text")) != ""), F.lit(False))
+    firsts = cu.exact_dedup(_t(spark, d, "documents").select("doc_id", "text"), F.col("text"), ["doc_id"], "n")
+    rows = cu.with_overlap(firsts.withColumn("v", ok), "text", _index(spark, d))
+    n, v, clean = F.col("n"), F.col("v"), F.col("overlap") == 0
+    return cu.funnel(rows, [("loaded", n), ("validated", F.when(v, n)), ("quarantined", F.when(~v, n)), ("after_dedup", v), ("after_decontamination", v & clean)])
 
 
 @query()
 def near_dup_first_wins(spark, d):
-    from .scratch import writer
+    docs = _t(spark, d, "documents")
+    return nd.near_dedup(docs.select("doc_id", "text"), "doc_id", "text", writer(spark)).select("doc_id")
 
+
+@query()
+def near_dup_verified(spark, d):
+    """The same with the true similarity of character 5-shingles, at least 0.85."""
     docs = _t(spark, d, "documents")
-    return cu.near_dedup(docs.select("doc_id", "text"), "doc_id", "text", writer(spark)).select("doc_id")
+    return nd.near_dedup(docs.select("doc_id", "text"), "doc_id", "text", writer(spark), verify=0.85).select("doc_id")
 
 
 @query("select a.item_id as a, b.item_id as b from (select item_id, list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) as w from benchmark) a join (select item_id, list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) as w from benchmark) b on a.item_id < b.item_id where 10 * len(list_intersect(a.w, b.w)) >= 1 * (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w)))")
@@ -511,7 +515,6 @@ def seeded_sample(spark, d):
 
 def _built(spark, d):
     from .build import build_dataset
-    from .scratch import writer
 
     rows = v_turns(spark, d).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("prompt").alias("instruction"), F.lit("").alias("input"), F.col("answer").alias("response"), F.lit("chat").alias("source"))
     return build_dataset(rows, "sft", "id", writer(spark), _t(spark, d, "benchmark").select(F.col("text").alias("prompt")), technical_only=True)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text as tx
 from millrace.operators import curation as cu
 from millrace.operators import evaluation as ev
+from millrace.operators import near_dup as nd
 from millrace.operators import telemetry as te
 from millrace.plans import report
 from millrace.plans.scratch import writer
@@ -21,7 +22,7 @@ def test_exact_dedup_keeps_first(spark):
 def test_decontamination_catches_short_copies_only(spark):
     index = cu.gram_index(spark.createDataFrame([("Reverse a list",)], "t string"), "t")
     df = spark.createDataFrame([(0, "reverse A list!"), (1, "how do I reverse a list in place"), (2, None)], "i int, t string")
-    assert sorted(r["i"] for r in cu.decontaminate(df, "i", "t", index).collect()) == [1, 2]
+    assert sorted(r["i"] for r in cu.decontaminate(df, "t", index).collect()) == [1, 2]
 
 
 def test_near_dedup_equals_sequential_greedy(spark):
@@ -33,13 +34,13 @@ def test_near_dedup_equals_sequential_greedy(spark):
     import pandas as pd
 
     taken, kept = set(), []
-    for i, bands in enumerate(cu.band_hashes(pd.Series(texts))):
+    for i, bands in enumerate(nd.band_hashes(pd.Series(texts))):
         keys = {(k, h) for k, h in enumerate(bands)}
         if not keys & taken:
             kept.append(i)
             taken |= keys
     df = spark.createDataFrame([*enumerate(texts)], "i long, t string")
-    assert sorted(r["i"] for r in cu.near_dedup(df, "i", "t", writer(spark)).collect()) == kept
+    assert sorted(r["i"] for r in nd.near_dedup(df, "i", "t", writer(spark)).collect()) == kept
 
 
 def test_win_rate_and_intervals(spark):
@@ -158,9 +159,9 @@ def test_signature_estimates_similarity():
             a, b = " ".join(a), " ".join(b)
             x, y = ({t[i : i + 5] for i in range(len(t) - 4)} for t in (a, b))
             want += len(x & y) / len(x | y) / 60
-            got += float((cu.minima(a) == cu.minima(b)).mean()) / 60
+            got += float((nd.minima(a) == nd.minima(b)).mean()) / 60
         assert abs(got - want) < 0.03
-    assert (cu.minima("abcdef") == cu.minima("abcdef")).all() and (cu.minima("a") == cu.minima("")).all()
+    assert (nd.minima("abcdef") == nd.minima("abcdef")).all() and (nd.minima("a") == nd.minima("")).all()
 
 
 def test_lexicon_forms_agree():
