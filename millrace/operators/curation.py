@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -222,33 +223,61 @@ def hash_order(key: Column, seed: int) -> Column:
     return F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256)
 
 
-def split(df: DataFrame, key: str, val_ratio: float, seed: int = 42) -> DataFrame:
+def split(df: DataFrame, key: str, val_ratio: float, seed: int = 42, edge: int = 10_000) -> DataFrame:
     """Adds ``split``: the first max(1, int(n * ratio)) rows of the seeded order are val.
 
-    The cut is found from counts by the hash's first 16 bits, and exact ranks are needed only inside the one bucket
-    that holds it, so no task sorts all rows.
+    The order is by the hash of the key, rows with one key and rows without by the hash of all their columns, so that no row
+    is lost and no key weighs on one task.  The cut is found from counts by the hash's next 16 bits, as often as it takes until
+    at most ``edge`` rows (or equal ones) share the prefix; only these are ranked.
     """
-    keyed = df.withColumn("_h", hash_order(F.col(key), seed)).withColumn("_b", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
-    counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("n"))  # at most 65,536 rows
-    before = counts.select("_b", "n", F.coalesce(F.sum("n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    total = counts.agg(F.sum("n").alias("total"))
-    cut = before.crossJoin(F.broadcast(total)).withColumn("n_val", F.greatest(F.lit(1), F.floor(F.col("total") * val_ratio))).select("_b", "before", "n", "n_val")
-    placed = keyed.join(F.broadcast(cut), "_b")
-    edge = placed.where("before < n_val and before + n > n_val").withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)) + F.col("before"))
-    whole = placed.where("not (before < n_val and before + n > n_val)").withColumn("_r", F.when(F.col("before") < F.col("n_val"), F.lit(0)).otherwise(F.col("n_val") + 1))
-    both = edge.unionByName(whole)
-    return both.withColumn("split", F.when(F.col("_r") <= F.col("n_val"), "val").otherwise("train")).drop("_h", "_b", "_r", "before", "n", "n_val")
+    encoded = F.sha2(F.concat_ws(",", *map(_encoded, df.columns)), 256)
+    keyed = df.withColumn("_h", F.concat(F.coalesce(hash_order(F.col(key), seed), encoded), encoded))
+    prefix, before, size, n_val = "", 0, None, None
+    while size is None or (size > edge and len(prefix) < 128 and before + size > n_val):
+        counted = keyed.where(F.col("_h").startswith(prefix)).groupBy(F.substring("_h", len(prefix) + 1, 4).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        counts = sorted(counted.collect())  # at most 65,536 rows
+        if n_val is None:
+            n_val = max(1, int(sum(r["n"] for r in counts) * val_ratio))
+        if not counts:
+            return df.withColumn("split", F.lit("train"))
+        for r in counts:
+            size = r["n"]
+            if before + size >= n_val:
+                prefix += r["p"]
+                break
+            before += size
+    at = F.substring("_h", 1, len(prefix))
+    rank = F.row_number().over(Window.orderBy("_h", key)) + before
+    rest = keyed.where(at != prefix).withColumn("split", F.when(at < prefix, "val").otherwise("train"))
+    return rest.unionByName(keyed.where(at == prefix).withColumn("split", F.when(rank <= n_val, "val").otherwise("train"))).drop("_h")
+
+
+def _encoded(column: str) -> Column:
+    """A value as text that tells null from empty and where it ends."""
+    c = F.col(f"`{column}`").cast("string")
+    return F.when(c.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.length(c).cast("string"), F.lit(":"), c))
 
 
 def sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(hash_order(F.col(key), seed), key).limit(n)
 
 
-def content_hash(df: DataFrame, columns: list[str], key: str) -> DataFrame:
-    """A canonical hash of a dataset's rows: row hashes are hashed within 65,536 groups, then those: 12 digits."""
-    row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
-    leaves = df.select(row.alias("h")).groupBy(F.substring("h", 1, 4).alias("g")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("h"))
-    return leaves.agg(F.substring(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("g", "h"))), lambda s: s["h"]), ""), 256), 1, 12).alias("content_hash"))
+def content_lanes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: n, lane0 to lane3: the sums modulo 2^64 of the four 64-bit parts of the rows' SHA-256.
+
+    The state is of constant size and sums are added up in partial aggregates, so any order and any partitioning of the
+    same rows gives the same, and the lanes of two datasets add up to those of their union.
+    """
+    hashed = df.select(F.sha2(F.concat_ws(",", *map(_encoded, columns)), 256).alias("h"))
+    part = lambda i: F.conv(F.substring("h", 16 * i + 1, 16), 16, 10).cast("decimal(28,0)")
+    total = lambda i: F.coalesce(F.sum(part(i)), F.lit(0).cast("decimal(38,0)")) % F.lit(Decimal(1 << 64))
+    return hashed.agg(F.count(F.lit(1)).alias("n"), *(total(i).cast("decimal(38,0)").cast("string").alias(f"lane{i}") for i in range(4)))
+
+
+def content_hash(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The content hash of a dataset's rows, whatever their order: 12 digits of the hash of their lanes."""
+    lanes = F.concat_ws(",", F.col("n").cast("string"), *(F.col(f"lane{i}") for i in range(4)))
+    return content_lanes(df, columns).select(F.substring(F.sha2(lanes, 256), 1, 12).alias("content_hash"))
 
 
 def funnel(flagged: DataFrame, stages: list[tuple[str, Column]]) -> DataFrame:
@@ -271,7 +300,7 @@ def write_dataset(df: DataFrame, quarantine: DataFrame, folder: str, name: str,
         raise TypeError(f"a manifest has no {sorted(unknown)}")
     spark = df.sparkSession
     parts = split(df, key, val_ratio, seed)
-    digest = content_hash(parts, [c for c in df.columns if c != key] + ["split"], key).first()["content_hash"]
+    digest = content_hash(parts, [c for c in df.columns if c != key] + ["split"]).first()["content_hash"]
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     final = fs_path(f"{folder}/{name}/{digest}")
     fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -282,7 +311,7 @@ def write_dataset(df: DataFrame, quarantine: DataFrame, folder: str, name: str,
         if not quarantine.isEmpty():
             quarantine.write.mode("overwrite").json(f"{staged}/quarantine")
         sizes = {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()}
-        manifest = _ABOUT | about | {"name": name, "kind": kind, "content_hash": digest, "n_train": sizes.get("train", 0), "n_val": sizes.get("val", 0), "n_total": sum(sizes.values()), "val_ratio": val_ratio, "seed": seed, "columns": df.columns}
+        manifest = _ABOUT | about | {"name": name, "kind": kind, "content_hash": digest, "n_train": sizes.get("train", 0), "n_val": sizes.get("val", 0), "n_total": sum(sizes.values()), "val_ratio": val_ratio, "seed": seed, "columns": df.columns, "key": key}
         out = fs.create(fs_path(f"{staged}/manifest.json"))
         out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
         out.close()

@@ -201,12 +201,26 @@ def train_val_split(spark, d):
     return cu.split(_t(spark, d, "documents").select("doc_id"), "doc_id", 0.1)
 
 
-_LEAF = "select sha256(concat(doc_id, chr(31), text, chr(31), source)) as h from documents"
+def _enc(c):
+    return f"case when {c} is null then '-' else concat('+', length({c}::varchar), ':', {c}) end"
 
 
-@query(f"select substr(sha256(string_agg(h, '' order by g)), 1, 12) as content_hash from (select substr(h, 1, 4) as g, sha256(string_agg(h, '' order by h)) as h from ({_LEAF}) group by 1)")
+_LANES = f"""with r as (select sha256(concat_ws(',', {_enc('text')}, {_enc('source')}, {_enc('lang')})) as h from (select text, source, nullif(lang, 'fr') as lang from documents)),
+l as (select count(*) as n, {', '.join(f"(coalesce(sum(('0x' || substr(h, {16 * i + 1}, 16))::ubigint), 0) % 18446744073709551616)::varchar as lane{i}" for i in range(4))} from r)"""
+
+
+def _hashed_docs(spark, d):
+    return _t(spark, d, "documents").selectExpr("doc_id", "text", "source", "nullif(lang, 'fr') as lang")
+
+
+@query(_LANES + " select n, lane0, lane1, lane2, lane3 from l")
+def content_lanes(spark, d):
+    return cu.content_lanes(_hashed_docs(spark, d), ["text", "source", "lang"])
+
+
+@query(_LANES + " select substr(sha256(concat_ws(',', n, lane0, lane1, lane2, lane3)), 1, 12) as content_hash from l")
 def canonical_content_hash(spark, d):
-    return cu.content_hash(_t(spark, d, "documents"), ["doc_id", "text", "source"], "doc_id")
+    return cu.content_hash(_hashed_docs(spark, d), ["text", "source", "lang"])
 
 
 @query(_HITS + """, s as (select doc_id, text, length(text) >= 5 and trim(text) <> '' as valid, row_number() over (partition by text order by doc_id) = 1 as first, doc_id in (select doc_id from h) as hit from documents)

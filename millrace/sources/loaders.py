@@ -185,12 +185,25 @@ def new_manifests(now: DataFrame, before: DataFrame) -> DataFrame:
     return now.join(before, ["path", "modified"], "left_anti")
 
 
-def resolve_dataset(spark: SparkSession, folder: str, content_hash: str) -> str:
-    """The folder of a content hash, by its manifests; raises if none has it."""
-    row = manifests(spark, folder).where(F.col("content_hash") == content_hash).orderBy("path").first()
+def resolve_dataset(spark: SparkSession, folder: str, wanted: str, registry: DataFrame | None = None) -> str:
+    """The folder of the dataset with a content hash: the registry's (content_hash, path) if it has one, else by the manifests.
+
+    The rows that are there are hashed again; raises LookupError if no dataset has the hash, ValueError if its rows don't.
+    """
+    from ..operators.curation import content_hash
+
+    row = registry.where(F.col("content_hash") == wanted).orderBy("path").select("path").first() if registry is not None else None
     if row is None:
-        raise LookupError(f"no dataset {content_hash}")
-    return row["path"].rsplit("/", 1)[0]
+        found = manifests(spark, folder).where(F.col("content_hash") == wanted).orderBy("path").first()
+        if found is None:
+            raise LookupError(f"no dataset {wanted}")
+        row = {"path": found["path"].rsplit("/", 1)[0]}
+    manifest = spark.read.format("binaryFile").load(f"{row['path']}/manifest.json").select(F.from_json(F.col("content").cast("string"), "key string, columns array<string>, n_train long, n_val long").alias("m")).first()["m"]
+    parts = [spark.read.parquet(f"{row['path']}/{p}").withColumn("split", F.lit(p)) for p in ("train", "val") if manifest[f"n_{p}"]]
+    there = content_hash(reduce(DataFrame.unionByName, parts), [c for c in manifest["columns"] if c != manifest["key"]] + ["split"]).first()["content_hash"] if parts else wanted
+    if there != wanted:
+        raise ValueError(f"{row['path']} should hold {wanted} but holds {there}")
+    return row["path"]
 
 
 def last_hash_token(text: Column) -> Column:

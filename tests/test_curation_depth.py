@@ -150,3 +150,51 @@ def test_verified_query(spark, sf):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     kept = greedy(rows, 0.85, nd.VERIFIED_BANDS)
     assert sorted(r["doc_id"] for r in near_dup_verified(spark, sf).collect()) == sorted(rows[k][0] for k in kept)
+
+
+# Splits and content hashes.
+
+
+@pytest.mark.parametrize("edge", [10_000, 1])
+def test_split_keeps_every_row(spark, edge):
+    """Null, repeated and clashing keys: no row is lost, the first tenth is val, and the split is the same in any partitioning."""
+    rows = [(None, f"n{k}") for k in range(40)] + [(7, f"r{k}") for k in range(40)] + [(7, "same")] * 30 + [(k, f"u{k}") for k in range(100, 190)]
+    df = spark.createDataFrame(rows, "id long, _t string")
+    got = sorted(map(tuple, cu.split(df, "id", 0.1, edge=edge).collect()), key=str)
+    assert sorted(map(str, (r[:2] for r in got))) == sorted(map(str, rows))
+    assert sum(r[2] == "val" for r in got) == 20
+    assert got == sorted(map(tuple, cu.split(df.repartition(5), "id", 0.1, edge=edge).collect()), key=str)
+    assert [r[2] for r in cu.split(df.where("id = 100"), "id", 0.1).collect()] == ["val"]
+    assert cu.split(df.where("id = 0"), "id", 0.1).collect() == []
+
+
+def test_content_hash_is_of_the_rows_alone(spark):
+    rows = [(k, None if k % 3 == 0 else "" if k % 3 == 1 else f"t{k}", "x" * (k % 4)) for k in range(30)]
+    df = spark.createDataFrame(rows, "i long, t string, u string")
+    digest = lambda d: cu.content_hash(d, ["t", "u"]).first()["content_hash"]
+    assert digest(df) == digest(df.repartition(7)) == digest(df.orderBy("u")) and len(digest(df)) == 12
+    others = [df.withColumn("t", F.coalesce("t", F.lit(""))), df.where("i > 0"), df.union(df.limit(1)), df.withColumn("t", F.when(F.col("i") == 5, "t").otherwise(F.col("t"))), df.select("i", F.concat_ws("", "t", "u").alias("t"), F.lit("").alias("u"))]
+    assert len({digest(df), *map(digest, others)}) == 6
+    lanes = lambda d: [int(x) for x in cu.content_lanes(d, ["t", "u"]).first()]
+    assert lanes(df) == [(a + b) % 2**64 for a, b in zip(lanes(df.where("i < 10")), lanes(df.where("i >= 10")))]
+    assert lanes(df.where("i < 0")) == [0] * 5
+
+
+def test_datasets_are_written_whole_and_checked_when_resolved(spark, tmp_path):
+    from millrace.sources import loaders as ld
+
+    folder = f"file://{tmp_path}"
+    rows = [(None if k % 4 == 0 else k % 9, f"Q{k}", None) for k in range(60)]
+    df = spark.createDataFrame(rows, "i long, q string, a string")
+    digest = cu.write_dataset(df, spark.createDataFrame([("x",)], "raw string"), folder, "d", "i")
+    path = ld.resolve_dataset(spark, folder, digest)
+    back = spark.read.parquet(f"{path}/train").union(spark.read.parquet(f"{path}/val"))
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    assert spark.read.json(f"{path}/quarantine").count() == 1
+    registry = spark.createDataFrame([(digest, path), ("000000000000", "nowhere")], "content_hash string, path string")
+    assert ld.resolve_dataset(spark, f"{folder}/elsewhere", digest, registry) == path
+    with pytest.raises(LookupError):
+        ld.resolve_dataset(spark, folder, "123456789abc", registry)
+    spark.createDataFrame([(1, "other", None)], "i long, q string, a string").write.mode("overwrite").parquet(f"{path}/val")
+    with pytest.raises(ValueError):
+        ld.resolve_dataset(spark, folder, digest)
