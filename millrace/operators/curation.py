@@ -230,7 +230,7 @@ def split(df: DataFrame, key: str, val_ratio: float, seed: int = 42, edge: int =
     is lost and no key weighs on one task.  The cut is found from counts by the hash's next 16 bits, as often as it takes until
     at most ``edge`` rows (or equal ones) share the prefix; only these are ranked.
     """
-    encoded = F.sha2(F.concat_ws(",", *map(_encoded, df.columns)), 256)
+    encoded = F.sha2(encoded_row(df.columns), 256)
     keyed = df.withColumn("_h", F.concat(F.coalesce(hash_order(F.col(key), seed), encoded), encoded))
     prefix, before, size, n_val = "", 0, None, None
     while size is None or (size > edge and len(prefix) < 128 and before + size > n_val):
@@ -252,6 +252,11 @@ def split(df: DataFrame, key: str, val_ratio: float, seed: int = 42, edge: int =
     return rest.unionByName(keyed.where(at == prefix).withColumn("split", F.when(rank <= n_val, "val").otherwise("train"))).drop("_h")
 
 
+def encoded_row(columns: list[str]) -> Column:
+    """The values of some columns as one text, equal only for equal values, nulls among them."""
+    return F.concat_ws(",", *map(_encoded, columns))
+
+
 def _encoded(column: str) -> Column:
     """A value as text that tells null from empty and where it ends."""
     c = F.col(f"`{column}`").cast("string")
@@ -268,7 +273,7 @@ def content_lanes(df: DataFrame, columns: list[str]) -> DataFrame:
     The state is of constant size and sums are added up in partial aggregates, so any order and any partitioning of the
     same rows gives the same, and the lanes of two datasets add up to those of their union.
     """
-    hashed = df.select(F.sha2(F.concat_ws(",", *map(_encoded, columns)), 256).alias("h"))
+    hashed = df.select(F.sha2(encoded_row(columns), 256).alias("h"))
     part = lambda i: F.conv(F.substring("h", 16 * i + 1, 16), 16, 10).cast("decimal(28,0)")
     total = lambda i: F.coalesce(F.sum(part(i)), F.lit(0).cast("decimal(38,0)")) % F.lit(Decimal(1 << 64))
     return hashed.agg(F.count(F.lit(1)).alias("n"), *(total(i).cast("decimal(38,0)").cast("string").alias(f"lane{i}") for i in range(4)))

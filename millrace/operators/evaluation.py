@@ -56,22 +56,20 @@ def align(responses: DataFrame, cases: DataFrame, model_a: str, model_b: str) ->
     return joined.select("suite", "case_id", F.coalesce("prompt", "response_a_prompt").alias("prompt"), F.coalesce("intent", F.lit("No intent recorded.")).alias("intent"), "response_a", "response_b")
 
 
+def ask_each(judge_fn: Callable[[list[str]], list[str]], prompts: list[str]) -> list[str | None]:
+    """A batch's answers; if its call fails, its prompts are asked one by one, so that only those that fail again are lost."""
+    try:
+        return [*judge_fn(prompts)] if prompts else []
+    except Exception:  # a failed call must not fail the job
+        return [None] if len(prompts) == 1 else [ask_each(judge_fn, [p])[0] for p in prompts]
+
+
 def judge(pairs: DataFrame, judge_fn: Callable[[list[str]], list[str]]) -> DataFrame:
     """verdict_ab, verdict_ba by a pluggable judge (prompts to raw answers), both orders; a failed call is a null verdict.
 
-    If a batch's call fails, its prompts are asked one by one, so that only those that fail again are lost.
+    Every action asks once, whatever filters follow; ``judging.judge_once`` asks once for all actions.
     """
-
-    def ask(prompts: list[str]) -> list[str | None]:
-        try:
-            return judge_fn(prompts)
-        except Exception:  # a failed call must not fail the job
-            return [None] if len(prompts) == 1 else [ask([p])[0] for p in prompts]
-
-    @F.pandas_udf("string")
-    def call(prompts: pd.Series) -> pd.Series:
-        return pd.Series(ask([*prompts]) if len(prompts) else [], dtype="object")
-
+    call = F.pandas_udf(lambda prompts: pd.Series(ask_each(judge_fn, [*prompts]), dtype="object"), "string").asNondeterministic()
     c = F.col
     asked = pairs.withColumns({"raw_ab": call(judge_prompt(c("prompt"), c("intent"), c("response_a"), c("response_b"))), "raw_ba": call(judge_prompt(c("prompt"), c("intent"), c("response_b"), c("response_a")))})
     return debias(asked.withColumns({"verdict_ab": strict_verdict("raw_ab"), "verdict_ba": strict_verdict("raw_ba")}))
@@ -95,7 +93,7 @@ def generate(cases: DataFrame, model_id: str, generate_fn: Callable[[str], tuple
                 rows.append(("", 0, str(e)))
         return pd.DataFrame(rows, columns=["response", "n_tokens", "error"])
 
-    return todo.withColumn("r", run("prompt")).select(F.col("id").alias("case_id"), "suite", F.lit(model_id).alias("model_id"), "prompt", "r.*")
+    return todo.withColumn("r", run.asNondeterministic()("prompt")).select(F.col("id").alias("case_id"), "suite", F.lit(model_id).alias("model_id"), "prompt", "r.*")
 
 
 def debias(df: DataFrame, strict: bool = False) -> DataFrame:

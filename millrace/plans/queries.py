@@ -14,13 +14,14 @@ from ..functions import text as tx
 from ..functions.lexicon import ANY_CONSUMING, is_technical
 from ..operators import curation as cu
 from ..operators import evaluation as ev
+from ..operators import judging as jd
 from ..operators import near_dup as nd
 from ..operators import records as rc
 from ..operators import registry as rg
 from ..operators import telemetry as te
 from ..schemas import preference_error, sft_error
 from ..sources import loaders as ld
-from .scratch import writer
+from .scratch import shared_folder, writer
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -508,7 +509,32 @@ def newly_admitted(spark, d):
 
 @query("select o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem where l_returnflag = 'R')")
 def resume_antijoin(spark, d):
-    return _t(spark, d, "orders").join(_t(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti").select("o_orderkey")
+    cases = _t(spark, d, "orders").selectExpr("'all' as suite", "o_orderkey as case_id")
+    done = _t(spark, d, "lineitem").where("l_returnflag = 'R'").selectExpr("'all' as suite", "l_orderkey as case_id")
+    return rc.unjudged(cases, done).select(F.col("case_id").alias("o_orderkey"))
+
+
+def _longer(prompts):
+    """A judge that prefers the longer response."""
+    out = []
+    for p in prompts:
+        a, b = p.split("\n\n## Response A\n\n", 1)[1].rsplit("\n\n## Task", 1)[0].split("\n\n## Response B\n\n", 1)
+        out.append('{"verdict": "%s"}' % ("A" if len(a) > len(b) else "B" if len(a) < len(b) else "tie"))
+    return out
+
+
+@query(f"""select concat(conv_id, '-', turn) as case_id, case when length(chosen) > length(rejected) then 'model_a' when length(chosen) < length(rejected) then 'model_b' else 'tie' end as final_verdict, false as position_bias_observed from ({V_PREF})""")
+def judging_run(spark, d):
+    """Two models' answers to the conversations' turns, judged once each and read from the sink; a first run stops at its limit."""
+    turns = v_pref(spark, d).selectExpr("'chat' as suite", "concat(conv_id, '-', turn) as case_id", "prompt", "chosen", "rejected")
+    side = lambda m, c: turns.select("suite", "case_id", F.lit(m).alias("model_id"), "prompt", F.col(c).alias("response"), F.lit(None).cast("string").alias("error"))
+    responses = side("base", "chosen").unionByName(side("sft", "rejected"))
+    cases = turns.selectExpr("suite", "case_id as id", "prompt", "'which is better' as intent")
+    folder = shared_folder(spark, "judging")
+    calls = jd.Calls(spark, f"{folder}/calls")
+    for limit in (100, None):
+        jd.run_judging(responses, cases, ["base", "sft"], "longer", _longer, calls, f"{folder}/judgements", limit)
+    return jd.KeyedSink(f"{folder}/judgements", jd.JUDGED).rows(spark).select("case_id", "final_verdict", "position_bias_observed")
 
 
 @query("select user_id as stream_id, count(*) as n_tokens, case when epoch(max(ts)) - epoch(min(ts)) >= 0.1 then round(count(*) / (epoch(max(ts)) - epoch(min(ts))), 1) end as tokens_per_s from events group by user_id")

@@ -57,26 +57,6 @@ def votes_sink(folder: str):
     return write
 
 
-def resumable_sink(folder: str, keys: list[str]):
-    """A foreachBatch function that appends only rows whose keys no other batch has written.
-
-    A batch that is run again looks at the other batches' folders alone and writes its own anew, so it loses nothing.
-    """
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        others = [f"{folder}/{f.getPath().getName()}" for f in fs.listStatus(path)] if fs.exists(path) else []
-        others = [f for f in others if f.rsplit("/", 1)[1].startswith("epoch=") and not f.endswith(f"/epoch={epoch}")]
-        rows = batch.dropDuplicates(keys)
-        if others:
-            rows = rows.join(spark.read.schema(batch.schema).parquet(*others).select(*keys), keys, "left_anti")
-        rows.write.mode("overwrite").parquet(f"{folder}/epoch={epoch}")
-
-    return write
-
-
 def fan_in(streams: dict[str, DataFrame]) -> DataFrame:
     """Several columns' token streams as one: stream_id names the column; a failed column sends rows with an error, which stop no other."""
     from functools import reduce

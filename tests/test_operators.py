@@ -134,20 +134,6 @@ def test_streams(spark, tmp_path):
     assert [r["chosen"] for r in spark.read.parquet(f"file://{out}/*").collect()] == ["other answer"]
 
 
-def test_resumable_sink_keeps_its_rows_when_a_batch_is_run_again(spark, tmp_path):
-    folder = f"file://{tmp_path}/sink"
-    sink = streams.resumable_sink(folder, ["k"])
-    batch = lambda *ks: spark.createDataFrame([(k, f"v{k}") for k in ks], "k long, v string")
-    have = lambda: sorted(r["k"] for r in spark.read.parquet(f"{folder}/*").collect())
-    sink(batch(1, 2), 0)
-    sink(batch(1, 2), 0)
-    assert have() == [1, 2]
-    sink(batch(2, 3), 1)
-    sink(batch(2, 3), 1)
-    sink(batch(1, 2), 0)
-    assert have() == [1, 2, 3]
-
-
 def test_signature_estimates_similarity():
     rng = random.Random(5)
     words = [f"w{i}" for i in range(500)]
