@@ -7,11 +7,14 @@ import re
 import unicodedata
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .normal import needing
+
 WORDS = r"[\p{L}\p{N}_]+"
 
 
@@ -42,9 +45,29 @@ def normalise_text(text: str | None) -> str | None:
     return html.unescape(_LINES.sub("\n\n", _BLANKS.sub(" ", unicodedata.normalize("NFC", kept)))).strip()
 
 
+def normalise_texts(texts: list[str | None]) -> list[str | None]:
+    """normalise_text of each; the classes of all signs tell which texts are left as they are and which need white space alone."""
+    filled = [t or "" for t in texts]
+    deep, light = needing(filled)
+    out = [*texts]
+    for k in np.flatnonzero(deep):
+        out[k] = normalise_text(texts[k])
+    for k in np.flatnonzero(light):
+        out[k] = _LINES.sub("\n\n", _BLANKS.sub(" ", filled[k])).strip()
+    return out
+
+
 @F.pandas_udf(StringType())
 def normalise(texts: pd.Series) -> pd.Series:
-    return texts.map(normalise_text, na_action="ignore")
+    values, out, at = [None if t is None else t for t in texts], [], 0
+    while at < len(values):  # in slices of bounded size
+        stop, size = at, 0
+        while stop < len(values) and (stop == at or size + len(values[stop] or "") <= 1 << 20):
+            size += len(values[stop] or "")
+            stop += 1
+        out += normalise_texts(values[at:stop])
+        at = stop
+    return pd.Series(out, dtype="object")
 
 
 def word_tokens(c: Column) -> Column:

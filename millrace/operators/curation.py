@@ -1,4 +1,4 @@
-"""Curation: dedup, decontamination, domain filter, splits, hashes, the funnel and the dataset writer."""
+"""Curation: exact dedup, decontamination, thresholds, splits, hashes, the funnel and the dataset writer."""
 
 from __future__ import annotations
 
@@ -160,31 +160,6 @@ def group_centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
     return flat.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("c")).withColumn("centroid", unit(F.col("c"))).drop("c")
 
 
-def kmeans_centroids(df: DataFrame, vector: str, k: int = 5, seed: int = 42) -> np.ndarray:
-    """k centroids of unit vectors by distributed k-means."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    model = KMeans(k=k, seed=seed, featuresCol="_v").fit(df.select(array_to_vector(unit(F.col(vector))).alias("_v")))
-    centres = np.array(model.clusterCenters())
-    return centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-8)
-
-
-def best_similarity(vector: str, centroids: list[list[float]]) -> Column:
-    """The largest cosine to any of the given (few) unit centroids."""
-    v = unit(F.col(vector))
-    return F.greatest(*[dot(v, F.array(*map(F.lit, c))) for c in centroids]) if len(centroids) > 1 else dot(v, F.array(*map(F.lit, centroids[0])))
-
-
-def best_similarities(df: DataFrame, key: str, vector: str, centroids: DataFrame, few: int = 1000) -> DataFrame:
-    """(key, s): the largest cosine to any of the unit centroids; up to ``few`` go into the expression, more are joined."""
-    rows = centroids.limit(few + 1).collect()
-    if 0 < len(rows) <= few:
-        return df.select(key, best_similarity(vector, [r["centroid"] for r in rows]).alias("s"))
-    each = df.select(key, unit(F.col(vector)).alias("_v")).crossJoin(centroids.select("centroid"))
-    return each.groupBy(key).agg(F.max(dot(F.col("_v"), F.col("centroid"))).alias("s"))
-
-
 def embed(encode: Callable[[list[str]], np.ndarray]):
     """A pluggable embedding model (texts to a matrix) as an Arrow UDF."""
 
@@ -195,12 +170,6 @@ def embed(encode: Callable[[list[str]], np.ndarray]):
     return run
 
 
-def domain_filter(df: DataFrame, text: str, vector: str | None = None, centroids: list[list[float]] | None = None, threshold: float = 0.45) -> DataFrame:
-    """Keywords for recall, then, if centroids are given, similarity for precision."""
-    kept = keyword_filter(df, text)
-    return kept.where(best_similarity(vector, centroids) >= threshold) if vector and centroids else kept
-
-
 def threshold_scores(df: DataFrame, score: str, label: str, thresholds: list[float]) -> DataFrame:
     """threshold, tp, fp, fn, f1 (0 where undefined) over all rows, in one pass without a cross join."""
     hit = lambda t: F.col(score) >= t

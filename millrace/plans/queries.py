@@ -19,6 +19,7 @@ from ..operators import near_dup as nd
 from ..operators import records as rc
 from ..operators import registry as rg
 from ..operators import telemetry as te
+from ..operators import vectors as ve
 from ..schemas import preference_error, sft_error
 from ..sources import loaders as ld
 from .scratch import shared_folder, writer
@@ -270,8 +271,19 @@ c as (select label, list(x / greatest(norm, 1e-8) order by i) as c from m join n
 select vec_id, round(max(list_sum(list_transform(range(1, 65), lambda i: u.v[i] * c.c[i]))), 6) as score from u, c group by vec_id having max(list_sum(list_transform(range(1, 65), lambda i: u.v[i] * c.c[i]))) >= 0.45""")
 def embed_centroid_filter(spark, d):
     e = _t(spark, d, "embeddings")
-    scored = cu.best_similarities(e, "vec_id", "embedding", cu.group_centroids(e, "label", "embedding"))
-    return scored.where("s >= 0.45").select("vec_id", F.round("s", 6).alias("score"))
+    kept = ve.domain_filter(e.select("vec_id", "embedding"), vector="embedding", centroids=cu.group_centroids(e, "label", "embedding"))
+    return kept.select("vec_id", F.round("s", 6).alias("score"))
+
+
+@query()
+def domain_filter_fitted(spark, d):
+    """Vectors near the k-means centroids of those with label 0 to 2, by the threshold that tells these from the others best."""
+    e = _t(spark, d, "embeddings").withColumn("wanted", (F.col("label") < 3).cast("int"))
+    found = ve.kmeans_centroids(e.where("wanted = 1"), "embedding", k=5)
+    centroids = spark.createDataFrame([(c.tolist(),) for c in found], "centroid array<double>")
+    scored = ve.with_similarity(e, "embedding", centroids)
+    threshold = ve.fitted_threshold(scored, "s", "wanted", [t / 100 for t in range(5, 100, 5)])
+    return ve.domain_filter(e, vector="embedding", centroids=centroids, threshold=threshold).select("vec_id", F.round("s", 6).alias("score"))
 
 
 # Chat data.

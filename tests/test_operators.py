@@ -356,3 +356,8 @@ def test_loading_by_spec_and_limit(spark, tmp_path):
     assert sorted(r["instruction"] for r in ld.load_source(spark, f"file://{tmp_path}/p", spec, 5).collect()) == [f"Question {i:03d}" for i in range(5)]
     with pytest.raises(ValueError):
         ld.load_all(spark, {"none": "x"})
+
+
+def test_many_models(spark):
+    models = spark.range(1100).selectExpr("id", "concat('m', id) as name")
+    assert ev.model_pairs(models, "id", "name").count() == 1100 * 1099 // 2
