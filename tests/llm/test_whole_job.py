@@ -6,7 +6,6 @@ import textwrap
 from collections import Counter
 
 from millrace.llm import licenses, line_dedup, lm_score, toxicity
-from millrace.operators import curation, evaluation
 
 
 def test_lm_score_counts_every_word_and_bigram(spark):
@@ -90,18 +89,6 @@ def test_licenses_find_wrapped_texts():
     assert [m[0] for m in licenses.scan_text("Some words\nReleased under the MIT\nLicense. (a) All rights reserved.")] == ["MIT", "proprietary"]
 
 
-def test_many_models_and_centroids(spark):
-    models = spark.range(1100).selectExpr("id", "concat('m', id) as name")
-    assert evaluation.model_pairs(models, "id", "name").count() == 1100 * 1099 // 2
-    turns = spark.range(40).selectExpr("id as label", "array(cos(id / 20d), sin(id / 20d)) as centroid")
-    rows = spark.range(30).selectExpr("id as vec_id", "array(cos(id / 10d + 0.01), sin(id / 10d + 0.01)) as embedding")
-    for few in (1000, 10):
-        got = {r["vec_id"]: r["s"] for r in curation.best_similarities(rows, "vec_id", "embedding", turns, few).collect()}
-        assert len(got) == 30
-        for i, s in got.items():
-            assert abs(s - max(math.cos(i / 10 + 0.01 - k / 20) for k in range(40))) < 1e-9
-
-
 def test_toxicity_reads_whole_clauses():
     """Machines against windows, with clauses far over 2,000 characters: a scope holds to the clause's true end."""
     from .test_pipeline import plain_evidence
