@@ -200,10 +200,16 @@ def join_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     copies = scratch.save(nodes.where("signature is not null and doc_id is not null").groupBy("signature").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"), "copies")
     nodes = scratch.save(nodes.join(maybe_broadcast(copies), "signature", "left").select("doc_id", "n", F.expr("if(doc_id is null, null, coalesce(rep, doc_id))").alias("rep")), "nodes")
     scratch.drop("first")
+    # Rows that share a doc_id are one node: it stays among the tokens if one of its texts is nobody's copy, and is linked to the others' nodes.
+    ids = nodes.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(F.expr("doc_id <> rep")).alias("copies"))
+    ids = scratch.save(ids.where("rows > 1"), "ids")
+    same = nodes.join(maybe_broadcast(ids.select("doc_id")), "doc_id").where("doc_id <> rep").select(F.least("doc_id", "rep").alias("a"), F.greatest("doc_id", "rep").alias("b")).distinct()
+    same = scratch.save(same, "same")
 
     prefix = scratch.save(prefixes(docs, scale, k, percent), "prefix")
     shared = prefix.groupBy("token").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("token")
-    gone = scratch.save(nodes.where("doc_id <> rep").select("doc_id").distinct(), "gone")
+    own = maybe_broadcast(ids.where("not copies").select("doc_id"))
+    gone = scratch.save(nodes.where("doc_id <> rep").select("doc_id").distinct().join(own, "doc_id", "left_anti"), "gone")
     hits = scratch.save(prefix.join(shared, "token").join(maybe_broadcast(gone), "doc_id", "left_anti").select("token", "doc_id", "n", "pos", "class"), "hits")
     scratch.drop("prefix")
 
@@ -212,7 +218,7 @@ def join_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = hits.alias("x").join(near.alias("y"), F.expr(f"x.token = y.token and x.class = y.class and x.doc_id <> y.doc_id and {_passes('x', 'y', percent)}"))
     stars = scratch.save(stars.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct(), "stars")
     links = verified(scratch, docs, stars, k, percent, "star")
-    so_far = components(scratch, links, name="cc1")
+    so_far = components(scratch, links.unionByName(same), name="cc1")
 
     placed = hits.join(so_far, hits["doc_id"] == so_far["node"], "left").select("token", "doc_id", "n", "pos", "class", F.coalesce("component", "doc_id").alias("c"))
     placed = scratch.save(placed, "placed")
@@ -224,6 +230,6 @@ def join_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     rest = shorter.alias("x").join(placed.alias("y"), F.expr(on)).select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
     rest = scratch.save(rest.join(stars, ["a", "b"], "left_anti"), "rest")
     more = verified(scratch, docs, rest, k, percent, "rest")
-    final = components(scratch, links.unionByName(more), name="cc2")
+    final = components(scratch, links.unionByName(same).unionByName(more), name="cc2")
     out = nodes.join(final, nodes["rep"] == final["node"], "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))

@@ -265,3 +265,33 @@ def test_piece_query(spark, sf, library):
         ids = library.encode(r["text"] or "")
         want[r["doc_id"]] = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest())
     assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in op11_sentence_pieces(spark, sf).collect()} == want
+
+
+# Repeated ids of the n-gram join.
+
+
+def test_rows_of_one_id_are_one_node(spark):
+    """Links of any of an id's texts count for the id, whichever of its texts are copies; against plain sets."""
+    from millrace.llm.ngram_join import join_components
+
+    rng = random.Random(21)
+    words = [f"w{k}" for k in range(400)]
+    base = [rng.sample(words, 40) for _ in range(12)]
+    for turn in range(3):
+        rows = [(1, base[0]), (2, base[0]), (2, base[1]), (3, base[1] + ["more"]), (9, base[2]), (9, base[3]), (4, base[2]), (5, base[3]), (None, base[2]), (7, [])]
+        rows += [(rng.randint(10, 25), base[rng.randrange(4, 12)] + rng.sample(words, rng.choice([0, 0, 1]))) for _ in range(25 * turn)]
+        sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for _, w in rows]
+        top = {k: k for k, _ in rows if k is not None}
+
+        def root(k):
+            while top[k] != k:
+                k = top[k]
+            return k
+
+        for (a, _), x in zip(rows, sets):
+            for (b, _), y in zip(rows, sets):
+                if None not in (a, b) and x and 100 * len(x & y) >= 90 * len(x | y) and root(a) != root(b):
+                    top[max(root(a), root(b))] = min(root(a), root(b))
+        df = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string").repartition(3)
+        got = {(r["doc_id"], r["component_id"]) for r in join_components(df, k=3, percent=90).collect()}
+        assert got == {(k, None if k is None else root(k)) for k, _ in rows}
