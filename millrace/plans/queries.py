@@ -22,6 +22,8 @@ from ..operators import telemetry as te
 from ..operators import vectors as ve
 from ..schemas import preference_error, sft_error
 from ..sources import loaders as ld
+from ..sources import log_folder as lf
+from ..streaming import token_streams as ts
 from .scratch import shared_folder, writer
 
 QUERIES: dict = {}
@@ -477,6 +479,27 @@ def log_event_filter(spark, d):
     return ld.log_records(lines.unionByName(bad), event="click", key="k").select(F.col("r")["id"].cast("long").alias("event_id"), F.col("r")["k"].alias("k"))
 
 
+@query("select event_id, 'click' as event, user_id::varchar as run_id from events where event_type = 'click' and user_id % 10 = 3")
+def log_folder_scan(spark, d):
+    """The events written as log files of a run each tenth user, read back by the source; tests on event and run come to it."""
+    folder = shared_folder(spark, "log")
+    lines = _t(spark, d, "events").where("user_id % 10 = 3").select(F.to_json(F.struct(F.col("event_type").alias("event"), F.col("user_id").cast("string").alias("run_id"), F.col("event_id").alias("id"))).alias("value"))
+    lines.write.text(folder)
+    read = lf.read_log(spark, folder, suffix=".txt", block=65536).where("event = 'click'")
+    return read.select(F.get_json_object("value", "$.id").cast("long").alias("event_id"), "event", "run_id")
+
+
+@query("""select stream_id, count(*) as n_tokens, string_agg(content, '' order by seq) as said from (select user_id::varchar as stream_id, event_id as seq, concat(event_type, ' ') as content,
+    min(case when event_id % 7 = 0 then event_id end) over (partition by user_id) as stop from events) where stop is null or seq < stop group by stream_id""")
+def stream_texts(spark, d):
+    """Each user's events as one stream of frames, ended by its own sentinel or error, put together again."""
+    value = F.expr("case when event_id % 7 = 0 and event_id % 2 = 0 then 'data: [DONE]' else concat('data: ', to_json(named_struct('choices', array(named_struct('delta', named_struct('content', concat(event_type, ' '))))))) end")
+    lines = _t(spark, d, "events").select(F.col("user_id").cast("string").alias("stream_id"), F.col("event_id").alias("seq"), value.alias("value"), F.expr("case when event_id % 7 = 0 and event_id % 2 = 1 then 'lost' end").alias("error"))
+    tokens = ts.batch_events(lines).where("kind = 'token'")
+    said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "content"))), lambda t: t["content"]), "")
+    return tokens.groupBy("stream_id").agg(F.count(F.lit(1)).alias("n_tokens"), said.alias("said"))
+
+
 @query("select user_id, max(value) as value, min(event_id) filter (where value = m) as event_id from (select *, max(value) over (partition by user_id) as m from events) group by user_id")
 def peak_per_run(spark, d):
     return te.peak(_t(spark, d, "events"), "user_id", "value", "event_id")

@@ -163,17 +163,19 @@ def log_records(lines: DataFrame, event: str | None = None, key: str | None = No
     return rows
 
 
-def sse_content(lines: DataFrame) -> DataFrame:
-    """Deltas of server-sent event frames (value), by position _ord, up to [DONE]."""
+def sse_content(lines: DataFrame, *streams: str) -> DataFrame:
+    """Deltas of server-sent event frames (value) by position _ord, up to [DONE]; with stream columns each stream's up to its own."""
     data = lines.where(F.col("value").startswith("data: ")).withColumn("value", F.expr("substring(value, 7)"))
-    end = data.where(F.trim("value") == "[DONE]").agg(F.min("_ord").alias("_end"))
-    body = data.crossJoin(F.broadcast(end)).where("(_end is null or _ord < _end)")  # one row on the right
-    return body.select("_ord", F.get_json_object("value", "$.choices[0].delta.content").alias("content")).where("content is not null")
+    end = data.where(F.trim("value") == "[DONE]").groupBy(*streams).agg(F.min("_ord").alias("_end"))  # a row a stream
+    body = data.join(end, [*streams], "left") if streams else data.crossJoin(F.broadcast(end))
+    body = body.where("(_end is null or _ord < _end)")
+    return body.select(*streams, "_ord", F.get_json_object("value", "$.choices[0].delta.content").alias("content")).where("content is not null")
 
 
-def ndjson_content(lines: DataFrame) -> DataFrame:
+def ndjson_content(lines: DataFrame, *streams: str) -> DataFrame:
+    """Texts of JSON lines and whether each says that its stream is done; unreadable lines say nothing."""
     read = F.get_json_object
-    return lines.select("_ord", read("value", "$.message.content").alias("content"), F.coalesce(read("value", "$.done").cast("boolean"), F.lit(False)).alias("done")).where("content is not null or done")
+    return lines.select(*streams, "_ord", read("value", "$.message.content").alias("content"), F.coalesce(read("value", "$.done").cast("boolean"), F.lit(False)).alias("done")).where("content is not null or done")
 
 
 def manifests(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Structured Streaming twins: log tail, running means, the divergence guard, votes, stream telemetry, resumable sinks."""
+"""Structured Streaming twins: log tail, running means, the divergence guard, votes, stream telemetry."""
 
 from __future__ import annotations
 
@@ -57,13 +57,6 @@ def votes_sink(folder: str):
     return write
 
 
-def fan_in(streams: dict[str, DataFrame]) -> DataFrame:
-    """Several columns' token streams as one: stream_id names the column; a failed column sends rows with an error, which stop no other."""
-    from functools import reduce
-
-    return reduce(DataFrame.unionByName, [s.withColumn("stream_id", F.lit(name)) for name, s in streams.items()])
-
-
 def stream_telemetry(chunks: DataFrame, gap: str = "5 minutes") -> DataFrame:
     """Per stream and session: first and last token times, tokens, tokens a second (null below 0.1 s)."""
     out = chunks.withWatermark("ts", gap).groupBy(F.session_window("ts", gap), "stream_id").agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("n_tokens"))
