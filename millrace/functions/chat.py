@@ -13,6 +13,13 @@ def generic(user: Column, assistant: Column) -> Column:
     return F.concat(F.lit("### User:\n"), user, F.lit("\n\n### Assistant:\n"), assistant)
 
 
+def sft_render(df: DataFrame, template=chatml) -> DataFrame:
+    """(text, source) of instruction rows: the instruction with its input as the user's turn, the response as the answer; a missing input or source is empty."""
+    one = lambda c: F.coalesce(F.col(c), F.lit("")) if c in df.columns else F.lit("")
+    user = F.when(one("input") != "", F.concat_ws("\n\n", one("instruction"), one("input"))).otherwise(one("instruction"))
+    return df.select(template(user, one("response")).alias("text"), one("source").alias("source"))
+
+
 def preference_render(df: DataFrame, template=chatml) -> DataFrame:
     """prompt up to where the model goes on, and chosen and rejected as whole conversations; source is kept."""
     p = F.col("prompt")

@@ -236,6 +236,21 @@ def sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(hash_order(F.col(key), seed), key).limit(n)
 
 
+def newly_admitted(df: DataFrame, score: str, low: float, high: float) -> DataFrame:
+    """Rows that a lower threshold lets in and a higher one doesn't."""
+    return df.where((F.col(score) >= low) & ~(F.col(score) >= high))
+
+
+def admitted_sample(df: DataFrame, key: str, score: str, low: float, high: float, n: int = 15, seed: int = 0) -> DataFrame:
+    """A seeded sample of the newly admitted rows, all if they are fewer."""
+    return sample(newly_admitted(df, score, low, high), key, n, seed)
+
+
+def limit_splits(train: DataFrame, val: DataFrame, n: int, *order: str) -> tuple[DataFrame, DataFrame]:
+    """The first n rows of train and the first max(1, n div 10) of val."""
+    return train.orderBy(*order).limit(n), val.orderBy(*order).limit(max(1, n // 10))
+
+
 def content_lanes(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row: n, lane0 to lane3: the sums modulo 2^64 of the four 64-bit parts of the rows' SHA-256.
 

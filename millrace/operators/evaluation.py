@@ -149,17 +149,69 @@ def bootstrap(df: DataFrame, keys: list[str], resamples: int = 10_000, level: fl
     return win_rate(df, *keys).withColumn("b", draw("wins", "ties", "losses")).select(*keys, "b.*")
 
 
-def bootstrap_replay(verdicts: list[str], resamples: int = 10_000, level: float = 0.95, seed: int = 42) -> dict:
-    """The interval by drawing verdicts one by one from a seeded generator, for small ordered lists."""
+#: What a verdict is worth to the first model, in halves.
+_WORTH = {"model_a": 2, "tie": 1, "model_b": 0}
+
+
+def _choices(n: int, seed: int):
+    """Endlessly, in arrays: the places below n that a seeded generator of the standard library chooses one after another.
+
+    It takes as many high bits of each 32-bit number as n has and goes on to the next where they are n or more.
+    """
     import random
 
-    valid = [v for v in verdicts if v in ("model_a", "model_b", "tie")]
-    if not valid:
+    state = random.Random(seed).getstate()[1]
+    bits = np.random.MT19937()
+    bits.state = {"bit_generator": "MT19937", "state": {"key": np.array(state[:-1], np.uint32), "pos": state[-1]}}
+    shift = np.uint64(32 - n.bit_length())
+    while True:
+        got = bits.random_raw(1 << 16) >> shift
+        yield got[got < n].astype(np.int64)
+
+
+def bootstrap_replay(verdicts: list[str], resamples: int = 10_000, level: float = 0.95, seed: int = 42) -> dict:
+    """The interval by drawing verdicts one by one, as ``random.Random(seed).choice`` would, for ordered lists below 2^32."""
+    worth = np.array([_WORTH[v] for v in verdicts if v in _WORTH], np.int64)
+    n = len(worth)
+    if not n:
         return {"win_rate": 0.5, "ci_low": 0.0, "ci_high": 1.0, "n": 0}
-    worth, rng, n = {"model_a": 1.0, "model_b": 0.0, "tie": 0.5}, random.Random(seed), len(valid)
-    rates = sorted(sum(worth[rng.choice(valid)] for _ in range(n)) / n for _ in range(resamples))
+    sums, held, drawn, done = np.empty(resamples, np.int64), [], 0, 0
+    for part in _choices(n, seed):
+        held.append(part)
+        drawn += len(part)
+        whole = min(resamples - done, drawn // n)
+        if whole:
+            flat = np.concatenate(held)
+            sums[done : done + whole] = worth[flat[: whole * n]].reshape(whole, n).sum(axis=1)
+            held, drawn, done = [flat[whole * n :]], drawn - whole * n, done + whole
+        if done == resamples:
+            break
+    rates = np.sort(sums / 2 / n)
     low, high = interval_places(resamples, level)
-    return {"win_rate": round(sum(map(worth.get, valid)) / n, 4), "ci_low": round(rates[low], 4), "ci_high": round(rates[high], 4), "n": n}
+    return {"win_rate": round(float(worth.sum()) / 2 / n, 4), "ci_low": round(float(rates[low]), 4), "ci_high": round(float(rates[high]), 4), "n": n}
+
+
+def replay_by(df: DataFrame, keys: list[str], order: str, resamples: int = 10_000, seed: int = 42) -> DataFrame:
+    """``bootstrap_replay`` for the verdicts of each key in order: one task a key, which holds a number a verdict.  ``bootstrap`` is for groups without bound."""
+
+    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        got = bootstrap_replay([*rows.sort_values(order, kind="stable")["final_verdict"]], resamples, seed=seed)
+        return pd.DataFrame([(*key, *got.values())], columns=[*keys, *got])
+
+    schema = ", ".join(f"`{k}` {t}" for k, t in df.select(*keys).dtypes)
+    return df.select(*keys, order, "final_verdict").groupBy(*keys).applyInPandas(run, f"{schema}, win_rate double, ci_low double, ci_high double, n long")
+
+
+def bootstrap_hashed(df: DataFrame, keys: list[str], order: str, resamples: int = 50) -> DataFrame:
+    """An interval whose draws are an integer hash of (resample, place), so that SQL can repeat them; rows of a key are numbered in order."""
+    worth = F.when(F.col("final_verdict") == "model_a", 2).when(F.col("final_verdict") == "tie", 1).otherwise(0)
+    placed = df.where("final_verdict <> 'failed'").select(*keys, (F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1).cast("long").alias("i"), worth.alias("w"))
+    sized = placed.join(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys)
+    r = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(resamples - 1).cast("long"))).alias("r")
+    draws = sized.select(*keys, "n", "i", r).selectExpr(*keys, "r", "n", "((r * 2654435761 + i * 40503 + 12345) % 4294967296) % n as j")
+    rates = draws.join(sized.select(*keys, F.col("i").alias("j"), "w"), [*keys, "j"]).groupBy(*keys, "r").agg((F.sum("w") / (2.0 * F.max("n"))).alias("rate"))
+    low, high = interval_places(resamples)
+    return rates.groupBy(*keys).agg(F.sort_array(F.collect_list("rate")).alias("s")).select(*keys, F.col("s")[low].alias("ci_low"), F.col("s")[high].alias("ci_high"))
 
 
 def token_lengths(responses: DataFrame) -> DataFrame:
@@ -216,13 +268,13 @@ def exact_match_failures(df: DataFrame, expected: str, response: str, *keys: str
     return _matched(df, expected, response).where("not _hit").select(*keys, F.col(expected).alias("expected"), F.substring(response, 1, 100).alias("got_preview"))
 
 
-def pairwise_matrix(df: DataFrame) -> DataFrame:
-    """(model, other, points): wins with ties as halves, both ways."""
+def pairwise_matrix(df: DataFrame, *keys: str) -> DataFrame:
+    """(keys, model, other, points): wins with ties as halves, both ways."""
     rows = F.explode(F.array(
         F.struct(F.col("model_a").alias("model"), F.col("model_b").alias("other"), F.when(F.col("final_verdict") == "model_a", 1.0).when(F.col("final_verdict") == "tie", 0.5).otherwise(0.0).alias("points")),
         F.struct(F.col("model_b").alias("model"), F.col("model_a").alias("other"), F.when(F.col("final_verdict") == "model_b", 1.0).when(F.col("final_verdict") == "tie", 0.5).otherwise(0.0).alias("points")),
     ))
-    return df.where(F.col("final_verdict").isin("model_a", "model_b", "tie")).select(rows.alias("r")).groupBy("r.model", "r.other").agg(F.sum("r.points").alias("points"))
+    return df.where(F.col("final_verdict").isin("model_a", "model_b", "tie")).select(*keys, rows.alias("r")).groupBy(*keys, "r.model", "r.other").agg(F.sum("r.points").alias("points"))
 
 
 def ratings(matrix: dict[tuple[str, str], float], mode: str = "reference", rounds: int = 200) -> dict[str, float]:
@@ -250,11 +302,67 @@ def ratings(matrix: dict[tuple[str, str], float], mode: str = "reference", round
     return {m: round(float(1000 + 173.7 * (s[i] - s.mean())), 1) for m, i in at.items()}
 
 
+def ratings_by(df: DataFrame, *keys: str, mode: str = "reference", rounds: int = 200) -> DataFrame:
+    """(keys, model, elo): ratings of each key's judgements, fitted where the key's matrix is: a row for each ordered pair of models."""
+
+    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        points = {(a, b): p for a, b, p in zip(rows["model"], rows["other"], rows["points"])}
+        return pd.DataFrame([(*key[: len(keys)], m, e) for m, e in ratings(points, mode, rounds).items()], columns=[*keys, "model", "elo"])
+
+    matrix = pairwise_matrix(df, *keys)
+    schema = "".join(f"`{k}` {t}, " for k, t in df.select(*keys).dtypes)
+    if not keys:
+        matrix = matrix.withColumn("_all", F.lit(0))
+    return matrix.groupBy(*(keys or ["_all"])).applyInPandas(run, f"{schema}model string, elo double")
+
+
 def ratings_frame(df: DataFrame, mode: str = "reference") -> DataFrame:
-    """Ratings from judgements; the matrix has a row for each ordered pair of models."""
-    rows = pairwise_matrix(df).collect()
-    got = ratings({(r["model"], r["other"]): r["points"] for r in rows}, mode)
-    return df.sparkSession.createDataFrame([*got.items()], "model string, elo double")
+    """Ratings from all judgements."""
+    return ratings_by(df, mode=mode)
+
+
+def metrics_table(judged: DataFrame, responses: DataFrame | None = None, cases: DataFrame | None = None, resamples: int = 2000, seed: int = 42) -> DataFrame:
+    """All metrics as one table (section, suite, model_a, model_b, name, value), rates to four places.
+
+    Sections: pairwise (counts and, unless ``resamples`` is 0, the interval), per_suite, position_bias_rate, elo (by model_a); with responses
+    (suite, case_id, model_id, response, n_tokens; one a key) length_controlled, and with cases (suite, id, expected_answer, verifiable) exact_match (by model_a).
+    """
+    pair, none = ["model_a", "model_b"], F.lit(None).cast("string")
+
+    def section(df: DataFrame, name: str, places: dict) -> DataFrame:
+        value = lambda c, k: F.col(c).cast("double") if k is None else F.round(c, k)
+        rows = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), value(c, k).alias("value")) for c, k in places.items())))
+        at = [F.col(c).cast("string").alias(c) if c in df.columns else none.alias(c) for c in ("suite", *pair)]
+        return df.select(F.lit(name).alias("section"), *at, rows.alias("r")).select("section", "suite", *pair, "r.*")
+
+    counts = dict.fromkeys(("wins", "losses", "ties", "failed"))
+    n = F.col("wins") + F.col("losses") + F.col("ties")
+    parts = [
+        section(win_rate(judged, *pair).withColumn("n", n), "pairwise", {**counts, "n": None, "win_rate": 4}),
+        section(win_rate(judged, *pair, "suite").withColumn("n", n), "per_suite", {**counts, "n": None, "win_rate": 4}),
+        section(bias_rate(judged, *pair), "position_bias_rate", {"bias_rate": 4}),
+        section(ratings_by(judged).withColumnRenamed("model", "model_a"), "elo", {"elo": 1}),
+    ]
+    if resamples:
+        parts.append(section(bootstrap(judged, pair, resamples, seed=seed), "pairwise", {"ci_low": 4, "ci_high": 4}))
+    if responses is not None:
+        lengths, both = token_lengths(responses), judged
+        for side in ("a", "b"):
+            said = lengths.select("suite", "case_id", F.col("model_id").alias(f"model_{side}"), F.col("length").alias(f"length_{side}"))
+            both = both.join(said, ["suite", "case_id", f"model_{side}"], "left")
+        if resamples:
+            controlled = length_controlled_interval(both, "length_a", "length_b", pair, resamples=resamples, seed=seed)
+            parts.append(section(controlled, "length_controlled", {"win_rate": 4, "ci_low": 4, "ci_high": 4, "n": None, "n_discarded": None, "pct_discarded": 4}))
+        else:
+            parts.append(section(length_controlled(both, "length_a", "length_b", *pair), "length_controlled", {"win_rate": 4, "n_discarded": None, "pct_discarded": 4}))
+        if cases is not None:
+            known = cases.select("suite", F.col("id").alias("case_id"), "expected_answer", "verifiable")
+            found = exact_match(responses.join(known, ["suite", "case_id"]), "expected_answer", "response", "model_id")
+            parts.append(section(found.withColumnRenamed("model_id", "model_a"), "exact_match", {"n_correct": None, "n_verifiable": None, "score": 4}))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def regression_gallery(judged: DataFrame, cases: DataFrame, responses: DataFrame, older: str, newer: str, order: list, n: int = 10, cut: int = 300) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.lexicon import is_technical
 from .curation import hash_order
 
 
@@ -56,9 +57,48 @@ def label_counts(df: DataFrame, label: str = "label") -> DataFrame:
     return df.agg(F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) == 0).alias("negatives"))
 
 
-def label_sample(df: DataFrame, key: str, text: str, n: int, seed: int = 42) -> DataFrame:
-    """A seeded sample to be labelled by hand, texts cut to 500 characters."""
-    return df.orderBy(hash_order(F.col(key), seed), key).limit(n).select(key, F.substring(text, 1, 500).alias("text"))
+def label_sample(df: DataFrame, key: str, text: str, n: int, seed: int = 42, technical_only: bool = False) -> DataFrame:
+    """A seeded sample to be labelled by hand, texts cut to 500 characters; of rows that pass the keyword filter only, if so wished."""
+    rows = df.where(is_technical(F.col(text))) if technical_only else df
+    return rows.orderBy(hash_order(F.col(key), seed), key).limit(n).select(key, F.substring(text, 1, 500).alias("text"))
+
+
+def hand_labels(spark: SparkSession, path: str) -> DataFrame:
+    """(text, label) of a JSON array of objects with text and in_domain; objects without one of them are left out."""
+    rows = spark.read.schema("text string, in_domain boolean").json(path, multiLine=True)
+    return rows.where("text is not null and in_domain is not null").select("text", F.col("in_domain").cast("int").alias("label"))
+
+
+#: Categories of the multi-turn suite that are kept, and what its cases have in common.
+TURN_CATEGORIES, TURN_SUITE = ("coding", "reasoning", "extraction"), {"difficulty": 2, "verifiable": False, "suite": "mtbench_sub"}
+
+
+def turn_subset(df: DataFrame, n: int = 30, categories: tuple[str, ...] = TURN_CATEGORIES, least: int = 20, seed: int = 42) -> DataFrame:
+    """Cases from (question_id, category, turns): the first turn of questions of the kept categories if it is long enough; a seeded sample of n, all if they are fewer."""
+    first = df.where(F.col("category").isin(*categories) & (F.size("turns") > 0)).withColumn("prompt", F.get("turns", F.lit(0)))
+    picked = first.where(F.length("prompt") >= least).orderBy(hash_order(F.col("question_id"), seed), "question_id").limit(n)
+    number = F.col("question_id").cast("string")
+    intent = F.concat(F.lit("Category "), F.col("category"), F.lit(", question "), number, F.lit("."))
+    return picked.select(F.concat(F.lit("mt_"), number).alias("id"), "prompt", intent.alias("intent"), *(F.lit(v).alias(k) for k, v in TURN_SUITE.items()), "category")
+
+
+def probe_prompts(cases: DataFrame, order: str, n: int = 5, default: str = "What does a Python decorator do?") -> DataFrame:
+    """The first n prompts, missing ones empty; without a case one default prompt."""
+    first = cases.orderBy(order).limit(n).select(F.coalesce("prompt", F.lit("")).alias("prompt"))
+    spare = cases.sparkSession.createDataFrame([(default,)], "prompt string")
+    none = first.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit(True).alias("none"))
+    return first.unionByName(spare.join(F.broadcast(none)).select("prompt"))  # one row, or none
+
+
+#: The logged fields that a run's frame shows.
+LOGGED = ("step", "rewards_margin", "rewards_accuracy", "implicit_kl")
+
+
+def log_frame(records: DataFrame, n: int = 20) -> DataFrame:
+    """The last n rows of a log (maps r) in order of step, with the logged fields as numbers and the mean divergence of the whole log."""
+    rows = records.select(*(F.try_element_at("r", F.lit(c)).try_cast("double").alias(c) for c in LOGGED)).where("step is not null")
+    mean = rows.agg(F.avg("implicit_kl").alias("mean_kl"))
+    return rows.orderBy(F.desc("step")).limit(n).join(F.broadcast(mean)).orderBy("step")  # one row on the right
 
 
 def suite_subset(df: DataFrame, key: str, prompt: str, n: int, least: int, form: str, seed: int = 42) -> DataFrame:

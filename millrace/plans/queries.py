@@ -366,23 +366,13 @@ def length_controlled(spark, d):
     return ev.length_controlled(rows, "ta", "tb", "pair")
 
 
-_DRAW = "((r * 2654435761 + i * 40503 + 12345) % 4294967296) % n"
-
-
 @query(f"""with v as (select pair, row_number() over (partition by pair order by case_id) - 1 as i, count(*) over (partition by pair) as n, case final_verdict when 'model_a' then 2 when 'tie' then 1 else 0 end as w
     from ({V_FINAL}) where final_verdict <> 'failed'),
 m as (select pair, i, w, n from v), b as (select d.pair, r, sum(x.w) / (2.0::double * max(d.n)) as rate from m d cross join (select unnest(range(50)) as r) join m x on x.pair = d.pair and x.i = ((r * 2654435761 + d.i * 40503 + 12345) % 4294967296) % d.n group by d.pair, r)
 select pair, list_sort(list(rate))[2] as ci_low, list_sort(list(rate))[49] as ci_high from b group by pair""")
 def bootstrap_ci_sql(spark, d):
     """The interval with 50 resamples drawn by an integer hash, as SQL can repeat them; bootstrap_ci_fast is the one for large groups."""
-    over = Window.partitionBy("pair").orderBy("case_id")
-    w = F.when(F.col("final_verdict") == "model_a", 2).when(F.col("final_verdict") == "tie", 1).otherwise(0)
-    v = v_final(spark, d).where("final_verdict <> 'failed'").select("pair", (F.row_number().over(over) - 1).cast("long").alias("i"), w.alias("w"))
-    m = v.join(v.groupBy("pair").agg(F.count(F.lit(1)).alias("n")), "pair")
-    draws = m.select("pair", "n", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(49).cast("long"))).alias("r")).selectExpr("pair", "r", "n", f"{_DRAW} as j")
-    rates = draws.join(m.select("pair", F.col("i").alias("j"), "w"), ["pair", "j"]).groupBy("pair", "r").agg((F.sum("w") / (2.0 * F.max("n"))).alias("rate"))
-    low, high = ev.interval_places(50)
-    return rates.groupBy("pair").agg(F.sort_array(F.collect_list("rate")).alias("s")).select("pair", F.col("s")[low].alias("ci_low"), F.col("s")[high].alias("ci_high"))
+    return ev.bootstrap_hashed(v_final(spark, d), ["pair"], "case_id")
 
 
 @query()
@@ -390,16 +380,55 @@ def bootstrap_ci_fast(spark, d):
     return ev.bootstrap(v_final(spark, d), ["pair"])
 
 
-@query()
+_FIT = f"""with recursive f as (select {{key}} as suite, * exclude (suite) from ({V_FINAL}) where final_verdict <> 'failed'),
+m as (select suite, model, other, sum(points) as points from (select suite, model_a as model, model_b as other, case final_verdict when 'model_a' then 1.0::double when 'tie' then 0.5 else 0 end as points from f
+    union all select suite, model_b, model_a, case final_verdict when 'model_b' then 1.0::double when 'tie' then 0.5 else 0 end from f) group by all),
+k as (select suite, model, row_number() over (partition by suite order by model) as i from (select distinct suite, model from m)),
+w as (select x.suite, x.i, list(coalesce(p.points, 0.0) order by y.i) as won, list(coalesce(p.points, 0.0) + coalesce(q.points, 0.0) order by y.i) as games from k x join k y on x.suite = y.suite
+    left join m p on p.suite = x.suite and p.model = x.model and p.other = y.model left join m q on q.suite = x.suite and q.model = y.model and q.other = x.model group by x.suite, x.i),
+g as (select suite, list(list_sum(won) order by i) as won, list(games order by i) as games, list_transform(range(count(*)), lambda x: 0.0::double) as zero, range(1, count(*) + 1) as ix from w group by suite),
+r as (select suite, 0 as step, zero as a, zero as b from g union all select r.suite, step + 1,
+    list_transform(ix, lambda i: case when list_sum(list_transform(ix, lambda j: games[i][j] / (exp(a[i]) + exp(a[j])))) * exp(a[i]) > 0 then case when won[i] > 0 then ln(won[i] / (list_sum(list_transform(ix, lambda j: games[i][j] / (exp(a[i]) + exp(a[j])))) * exp(a[i]))) else -10.0 end else a[i] end),
+    list_transform(list_transform(ix, lambda i: case when list_sum(list_transform(ix, lambda j: games[i][j] / (exp(b[i]) + exp(b[j])))) > 0 then case when won[i] > 0 then ln(won[i] / list_sum(list_transform(ix, lambda j: games[i][j] / (exp(b[i]) + exp(b[j]))))) else -10.0 end else b[i] end),
+        lambda x: greatest(x - list_avg(list_transform(ix, lambda i: case when list_sum(list_transform(ix, lambda j: games[i][j] / (exp(b[i]) + exp(b[j])))) > 0 then case when won[i] > 0 then ln(won[i] / list_sum(list_transform(ix, lambda j: games[i][j] / (exp(b[i]) + exp(b[j]))))) else -10.0 end else b[i] end)), -10.0))
+    from r join g using (suite) where step < 200)
+select {{out}} model, round(1000 + 173.7 * (a[i] - list_avg(a)), 1) as elo_reference, round(1000 + 173.7 * (b[i] - list_avg(b)), 1) as elo_mle from r join k using (suite) where step = 200"""
+
+
+@query(_FIT.format(key="'all'", out=""))
 def bradley_terry(spark, d):
     judged = v_final(spark, d)
     a = ev.ratings_frame(judged, "reference").withColumnRenamed("elo", "elo_reference")
     return a.join(ev.ratings_frame(judged, "mle").withColumnRenamed("elo", "elo_mle"), "model")
 
 
-@query()
+@query(_FIT.format(key="suite", out="suite,"))
+def bradley_terry_by_suite(spark, d):
+    judged = v_final(spark, d)
+    a = ev.ratings_by(judged, "suite").withColumnRenamed("elo", "elo_reference")
+    return a.join(ev.ratings_by(judged, "suite", mode="mle").withColumnRenamed("elo", "elo_mle"), ["suite", "model"])
+
+
+@query(f"""select *, case when abs(delta) < 0.03 then 'no measurable change' when delta < 0 then 'worse than parity' else 'better than parity' end as reading from
+(select win_rate, wins + losses + ties as n, win_rate - 0.5 as delta from (select *, {_RATE} from (select {_COUNTS} from ({V_FINAL}))))""")
 def deployment_delta(spark, d):
-    return ev.deployment_delta(v_final(spark, d))
+    return ev.deployment_delta(v_final(spark, d)).select("win_rate", "n", "delta", "reading")
+
+
+@query()
+def bootstrap_replay(spark, d):
+    """Intervals of each pair and suite by the draws of a seeded generator, one after another."""
+    return ev.replay_by(v_final(spark, d), ["pair", "suite"], "case_id", resamples=200)
+
+
+_PAIRS = f"select *, {_RATE}, wins + losses + ties as n from (select {{keys}}, {_COUNTS} from ({V_FINAL}) group by all)"
+
+
+@query(f"""with p as ({_PAIRS.format(keys="model_a, model_b, null::varchar as suite, 'pairwise' as section")} union all by name {_PAIRS.format(keys="model_a, model_b, suite, 'per_suite' as section")})
+select section, suite, model_a, model_b, name, value from (select section, suite, model_a, model_b, unnest([{{{{'name': 'wins', 'value': wins::double}}}}, {{{{'name': 'losses', 'value': losses::double}}}}, {{{{'name': 'ties', 'value': ties::double}}}}, {{{{'name': 'failed', 'value': failed::double}}}}, {{{{'name': 'n', 'value': n::double}}}}, {{{{'name': 'win_rate', 'value': round(win_rate, 4)}}}}], recursive := true) from p)
+union all select 'position_bias_rate', null, model_a, model_b, 'bias_rate', round(avg(position_bias_observed::int), 4) from ({V_FINAL}) group by model_a, model_b""".replace("{{", "{").replace("}}", "}"))
+def metrics_table(spark, d):
+    return ev.metrics_table(v_final(spark, d), resamples=0).where("section <> 'elo'")
 
 
 @query(f"""with f as (select * from ({V_FINAL}) where final_verdict <> 'failed'), m as (
@@ -538,8 +567,12 @@ def suite_completeness(spark, d):
 
 @query("select doc_id from (select doc_id, (doc_id * 37 % 100) / 100.0::double as score from labels join documents using (doc_id)) where score >= 0.25 and not score >= 0.45")
 def newly_admitted(spark, d):
-    scored = v_labels(spark, d)
-    return scored.where("score >= 0.25D").join(scored.where("score >= 0.45D").select("doc_id"), "doc_id", "left_anti").select("doc_id")
+    return cu.newly_admitted(v_labels(spark, d), "score", 0.25, 0.45).select("doc_id")
+
+
+@query("select doc_id from (select doc_id, (doc_id * 37 % 100) / 100.0::double as score from labels join documents using (doc_id)) where score >= 0.25 and not score >= 0.45 order by sha256(concat('0:', doc_id)), doc_id limit 15")
+def admitted_sample(spark, d):
+    return cu.admitted_sample(v_labels(spark, d), "doc_id", "score", 0.25, 0.45).select("doc_id")
 
 
 @query("select o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem where l_returnflag = 'R')")

@@ -98,36 +98,20 @@ def run_id(kind: str, digest: str, now: datetime | None = None) -> str:
 
 
 def metrics(judged: DataFrame, responses: DataFrame | None = None, cases: DataFrame | None = None, resamples: int = 2000) -> dict:
-    """Win rates with counts and intervals by pair, per suite, bias and ratings; each part is an aggregate of a few rows.
-
-    With responses (suite, case_id, model_id, response, n_tokens; one a key) also the length-controlled rates, and with
-    cases (suite, id, expected_answer, verifiable) the share of exact matches by model.
-    """
-    keys = ["model_a", "model_b"]
-    row = lambda r, *gone: {k: v for k, v in r.asDict().items() if k not in gone}
-    name = lambda r: f"{r['model_a']}_vs_{r['model_b']}"
-    counts = {name(r): row(r, *keys, "win_rate") for r in ev.win_rate(judged, *keys).collect()}
-    suites: dict = {}
-    for r in ev.win_rate(judged, *keys, "suite").collect():
-        suites.setdefault(r["suite"], {})[name(r)] = row(r, *keys, "suite") | {"n": r["wins"] + r["losses"] + r["ties"]}
-    ratings = {r["model"]: r["elo"] for r in ev.ratings_frame(judged).collect()}
-    out = {
-        "models": sorted({m for r in judged.select(*keys).distinct().collect() for m in r}), "suites": sorted(suites),
-        "pairwise": {name(r): counts[name(r)] | row(r, *keys) for r in ev.bootstrap(judged, keys, resamples).collect()},
-        "per_suite": suites, "position_bias_rate": {name(r): r["bias_rate"] for r in ev.bias_rate(judged, *keys).collect()}, "elo": ratings,
-        "length_controlled": {}, "exact_match": {},
-    }
-    if responses is not None:
-        lengths = ev.token_lengths(responses)
-        both = judged
-        for side in ("a", "b"):
-            said = lengths.select("suite", "case_id", F.col("model_id").alias(f"model_{side}"), F.col("length").alias(f"length_{side}"))
-            both = both.join(said, ["suite", "case_id", f"model_{side}"], "left")
-        out["length_controlled"] = {name(r): row(r, *keys) for r in ev.length_controlled_interval(both, "length_a", "length_b", keys, resamples=resamples).collect()}
-        if cases is not None:
-            known = cases.select("suite", F.col("id").alias("case_id"), "expected_answer", "verifiable")
-            out["exact_match"] = {r["model_id"]: row(r, "model_id") for r in ev.exact_match(responses.join(known, ["suite", "case_id"]), "expected_answer", "response", "model_id").collect()}
-    return out
+    """``metrics_table`` as a document: a few rows for each pair, suite and model, collected at once."""
+    out: dict = {"models": set(), "suites": set(), "pairwise": {}, "per_suite": {}, "position_bias_rate": {}, "elo": {}, "length_controlled": {}, "exact_match": {}}
+    for section, suite, a, b, name, value in ev.metrics_table(judged, responses, cases, resamples).collect():
+        out["models"] |= {a, b} - {None}
+        value = value if value is None or name in ("win_rate", "ci_low", "ci_high", "bias_rate", "elo", "score", "pct_discarded") else int(value)
+        key, into = a if b is None else f"{a}_vs_{b}", out[section]
+        if section == "per_suite":
+            out["suites"].add(suite)
+            into = into.setdefault(suite, {})
+        if section in ("position_bias_rate", "elo"):
+            into[key] = value
+        else:
+            into.setdefault(key, {})[name] = value
+    return out | {"models": sorted(out["models"]), "suites": sorted(out["suites"])}
 
 
 def write_json(doc: dict, path: str) -> None:

@@ -28,6 +28,7 @@ class SourceSpec:
     split: str = "train"
 
 
+#: The sources' names, field names, splits and kept categories.
 _SFT = {"instruction": "instruction", "input": "input", "response": "output"}
 _PREF = {c: c for c in ("prompt", "chosen", "rejected")}
 CATALOG = {
@@ -96,8 +97,14 @@ def route(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where("error is null").drop("error"), bad
 
 
+def source_path(path: str, spec: SourceSpec) -> str:
+    """Where a source's rows are: the path with its revision and split put in where it names them."""
+    return path.replace("{revision}", spec.revision).replace("{split}", spec.split)
+
+
 def load_source(spark: SparkSession, path: str, spec: SourceSpec, limit: int | None = None) -> DataFrame:
     """The source's rows by its spec; a limit takes the first rows of its files, in their order, before any is left out."""
+    path = source_path(path, spec)
     df = spark.read.json(path) if path.endswith((".json", ".jsonl")) else spark.read.parquet(path)
     if limit is not None:
         # a block's rows have growing numbers, whichever task reads it
@@ -107,12 +114,22 @@ def load_source(spark: SparkSession, path: str, spec: SourceSpec, limit: int | N
     return adapt(oasst_rows(df) if spec.threads else df, spec)
 
 
-def load_all(spark: SparkSession, paths: dict[str, str], limit: int | None = None) -> DataFrame:
-    """Sources in order, the limit for each; unknown names are skipped, and no known one raises ValueError."""
-    parts = [load_source(spark, path, CATALOG[name], limit).withColumn("source_ord", F.lit(k)) for k, (name, path) in enumerate(paths.items()) if name in CATALOG]
-    if not parts:
+def load_all(spark: SparkSession, paths: dict[str, str], limit: int | None = None, catalog: dict[str, SourceSpec] = CATALOG) -> DataFrame:
+    """Sources of either kind in order, the limit for each; ``kind`` tells which columns a row has, the other kind's are null.
+
+    Unknown names are skipped, and no known one raises ValueError.  ``of_kind`` gives one kind's rows with its own columns.
+    """
+    known = [(name, path) for name, path in paths.items() if name in catalog]
+    if not known:
         raise ValueError(f"no known source among {sorted(paths)}")
-    return reduce(DataFrame.unionByName, parts)
+    parts = [load_source(spark, path, catalog[name], limit).withColumns({"kind": F.lit(catalog[name].kind), "source_ord": F.lit(k)}) for k, (name, path) in enumerate(known)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def of_kind(df: DataFrame, kind: str) -> DataFrame:
+    """The rows of a kind, without the other kind's columns."""
+    other = ("prompt", "chosen", "rejected") if kind == "sft" else ("instruction", "input", "response")
+    return df.where(F.col("kind") == kind).drop("kind", *other)
 
 
 #: The least numbers of cases of the suites.
@@ -132,7 +149,8 @@ def load_suite(spark: SparkSession, name: str, folder: str, limit: int | None =
 
 
 def load_suites(spark: SparkSession, names: list[str], folder: str, limit: int | None = None) -> DataFrame:
-    return reduce(DataFrame.unionByName, [load_suite(spark, n, folder, limit) for n in names])
+    """The cases of several suites, the limit for each; no names, no rows."""
+    return reduce(DataFrame.unionByName, [load_suite(spark, n, folder, limit) for n in names], spark.createDataFrame([], EVAL_CASE))
 
 
 def incomplete_suites(cases: DataFrame, minimums: dict[str, int] = SUITE_MINIMUMS) -> DataFrame:
@@ -209,5 +227,5 @@ def resolve_dataset(spark: SparkSession, folder: str, wanted: str, registry: Dat
 
 
 def last_hash_token(text: Column) -> Column:
-    """The last hexadecimal token of 8 to 64 digits."""
-    return F.element_at(F.regexp_extract_all(text, F.lit(r"\b[0-9a-f]{8,64}\b"), F.lit(0)), -1)
+    """The last hexadecimal token of 8 to 64 digits, null without one."""
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(r"\b[0-9a-f]{8,64}\b"), F.lit(0)), F.lit(-1))
