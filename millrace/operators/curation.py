@@ -280,10 +280,10 @@ def funnel(flagged: DataFrame, stages: list[tuple[str, Column]]) -> DataFrame:
 _ABOUT = {"sources": [], "funnel": {}, "filter_eval": {}, "token_stats": {}, "decontamination": {}}
 
 
-def write_dataset(df: DataFrame, quarantine: DataFrame, folder: str, name: str, key: str, val_ratio: float = 0.1, seed: int = 42, kind: str = "sft", **about) -> str:
+def write_dataset(df: DataFrame, quarantine: DataFrame, folder: str, name: str, key: str, val_ratio: float = 0.1, seed: int = 42, kind: str = "sft", keep_key: bool = True, **about) -> str:
     """Write train, val, quarantine and manifest under <folder>/<name>/<content hash>; an identical dataset is kept as it is.
 
-    ``about`` may give the manifest's sources (a list), funnel, filter_eval, token_stats and decontamination (dicts).
+    Without ``keep_key`` the key decides the split alone.  ``about`` may give the manifest's sources (a list), funnel, filter_eval, token_stats and decontamination (dicts).
     """
     if unknown := set(about) - {*_ABOUT}:
         raise TypeError(f"a manifest has no {sorted(unknown)}")
@@ -296,11 +296,11 @@ def write_dataset(df: DataFrame, quarantine: DataFrame, folder: str, name: str,
     if not fs.exists(final):
         staged = f"{folder}/{name}/.staged-{digest}"
         for part in ("train", "val"):
-            parts.where(F.col("split") == part).drop("split").write.mode("overwrite").parquet(f"{staged}/{part}")
+            parts.where(F.col("split") == part).drop("split", *([] if keep_key else [key])).write.mode("overwrite").parquet(f"{staged}/{part}")
         if not quarantine.isEmpty():
             quarantine.write.mode("overwrite").json(f"{staged}/quarantine")
         sizes = {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()}
-        manifest = _ABOUT | about | {"name": name, "kind": kind, "content_hash": digest, "n_train": sizes.get("train", 0), "n_val": sizes.get("val", 0), "n_total": sum(sizes.values()), "val_ratio": val_ratio, "seed": seed, "columns": df.columns, "key": key}
+        manifest = _ABOUT | about | {"name": name, "kind": kind, "content_hash": digest, "n_train": sizes.get("train", 0), "n_val": sizes.get("val", 0), "n_total": sum(sizes.values()), "val_ratio": val_ratio, "seed": seed, "columns": [c for c in df.columns if keep_key or c != key], "key": key}
         out = fs.create(fs_path(f"{staged}/manifest.json"))
         out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
         out.close()

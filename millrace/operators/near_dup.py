@@ -186,25 +186,24 @@ def _similar_pairs(members: DataFrame, first: DataFrame, grams: DataFrame, least
     parts = F.greatest(F.lit(1), F.ceil(F.col("size") / part)).cast("long")
     own = members.withColumns({"kind": F.lit(1), "part": F.pmod(F.xxhash64("id"), parts)})
     pivot = members.join(first.select("band", "h", "id"), ["band", "h", "id"]).withColumns({"kind": F.lit(0), "part": F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))})
-    columns = ["band", "h", "part", "kind", "at", "id"]
-    stream = own.select(columns).unionByName(pivot.select(columns)).join(grams, "id")
-    order = ["band", "h", "part", "kind", "at"]
-    ordered = stream.repartition("band", "h", "part").sortWithinPartitions(*order)
+    columns = ["band", "h", "part", "kind", "id"]
+    stream = own.select(*columns, "at").unionByName(pivot.select(*columns, "at")).join(grams, "id")
+    # in one order, so that the pivots read so far are the earlier ones
+    ordered = stream.repartition("band", "h", "part").sortWithinPartitions("band", "h", "part", "at", "kind")
 
     def run(iterator):
         now, held = None, []
         for batch in iterator:
             u, v = [], []
-            ats = [(a["lost"], a["key"] if a["key"] is not None else 0, a["row"]) for a in batch.column("at").to_pylist()]
-            for band, h, p, kind, at, ident, data in zip(*(batch.column(c).to_pylist() for c in ("band", "h", "part", "kind")), ats, batch.column("id").to_pylist(), batch.column("grams").to_pylist()):
+            for band, h, p, kind, ident, data in zip(*(batch.column(c).to_pylist() for c in (*columns, "grams"))):
                 if (band, h, p) != now:
                     now, held = (band, h, p), []
                 own = np.frombuffer(data, np.uint64)
                 if kind == 0:
-                    held.append((at, ident, own))
+                    held.append((ident, own))
                     continue
-                for before, other, theirs in held:
-                    if before < at and similar(theirs, own, least):
+                for other, theirs in held:
+                    if other != ident and similar(theirs, own, least):
                         u.append(other)
                         v.append(ident)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])

@@ -649,6 +649,26 @@ def dataset_build_funnel(spark, d):
     return _built(spark, d).funnel
 
 
+_ENC = "concat('+', length({c}), ':', {c})"
+_KEYED = f"""{_BUILD}, d as (select instruction, '' as input, response, 'alpaca_cleaned' as source from f),
+e as (select *, sha256(concat_ws(',', {', '.join(_ENC.format(c=c) for c in ('instruction', 'input', 'response', 'source'))})) as k from d)"""
+
+
+@query(_KEYED + " select instruction, input, response, source, case when row_number() over (order by sha256(concat('42:', k)), k) <= greatest(1, floor((select count(*) from e) * 0.1)) then 'val' else 'train' end as split from e")
+def dataset_artifact(spark, d):
+    """The conversations' turns written as a source, built from there to a written dataset, resolved by its hash and read back."""
+    from .build import build_from_sources
+
+    folder = shared_folder(spark, "artifact")
+    turns = v_turns(spark, d).select(F.col("prompt").alias("instruction"), F.lit("").alias("input"), F.col("answer").alias("output"))
+    turns.write.json(f"{folder}/source.json")
+    prompts = _t(spark, d, "benchmark").select(F.col("text").alias("prompt"))
+    digest, _ = build_from_sources(spark, {"alpaca_cleaned": f"{folder}/source.json"}, "sft", f"{folder}/out", "turns", technical_only=True, eval_prompts=prompts)
+    path = ld.resolve_dataset(spark, f"{folder}/out", digest)
+    train, val = (spark.read.parquet(f"{path}/{p}").withColumn("split", F.lit(p)) for p in ("train", "val"))
+    return train.unionByName(val)
+
+
 _RESPONSES = "select l_orderkey as case_id, case l_linenumber % 2 when 1 then 'a' else 'b' end as model_id, l_linenumber::bigint * 100000000 + l_partkey * 100 + l_quantity::bigint as ord, l_quantity as n_tokens, case when l_partkey % 5 = 0 then '' when l_partkey % 7 = 0 then 'timeout' end as error from lineitem"
 
 
