@@ -55,7 +55,7 @@ def test_line_dedup_drops_short_repeats(spark):
 def test_licenses_find_every_notice_alone():
     alone = {sequence[0]: licence for licence, _, sequence in licenses.RULES if len(sequence) == 1}
     for identifier, licence in alone.items():
-        for sentence in licenses.SENTENCES[identifier]:
+        for sentence in [*licenses.SENTENCES.get(identifier, []), *(f"Licensed under the {name}" for name in licenses.NAMES.get(identifier, []))]:
             assert [m[0] for m in licenses.scan_text(f"Prose.\n{sentence}.")] == [licence], sentence
     assert [m[0] for m in licenses.scan_text("All  rights\u00a0reserved.")] == ["proprietary"]
 
@@ -86,7 +86,7 @@ def test_licenses_find_wrapped_texts():
     assert [m[0] for m in licenses.scan_text("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.")] == ["MPL-1.1"]
     assert licenses.scan_text("This Source Code Form is subject to the terms of the Mozilla Public License, v. 3.0.") == []
     assert licenses.scan_text("We think this program is free software; it costs nothing. This program is free software.") == []
-    assert [m[0] for m in licenses.scan_text("Some words\nReleased under the MIT\nLicense. (a) All rights reserved.")] == ["MIT", "proprietary"]
+    assert [m[0] for m in licenses.scan_text("Some words\nReleased under the MIT\nLicense. (a) All rights reserved.")] == ["MIT"]
 
 
 def test_toxicity_reads_whole_clauses():
@@ -121,9 +121,62 @@ def test_toxicity_learns_long_forms(spark):
     assert got == 0
 
 
+BSD = """Copyright (c) 2015, Some Body
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+{third}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.
+"""
+ENDORSE = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+ZLIB = """Copyright (c) 2020 Some Body. All rights reserved.
+
+This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented.
+"""
+ISC = """ISC License
+
+Copyright (c) 2020, Some Body. All rights reserved.
+
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+"""
+
+
+def test_whole_files_and_notices_by_hand():
+    """Licence files and notices with what each is, written out by hand, plain, wrapped and as comments."""
+    cases = [
+        (BSD.format(third=ENDORSE), ["BSD-3-Clause"]), (BSD.format(third=""), ["BSD-2-Clause"]), (ZLIB, ["Zlib"]), (ISC, ["ISC"]),
+        ("This project is licensed under the MIT License - see the LICENSE file for details", ["MIT"]),
+        ("This project is licensed under the MIT License. See the file.", ["MIT"]),
+        ("Licensed under the Apache License, Version 2.0, available at https://x.org", ["Apache-2.0"]),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0", ["MIT", "Apache-2.0"]), ("SPDX-License-Identifier: (MIT AND BSD-3-Clause)", ["MIT", "BSD-3-Clause"]),
+        ("SPDX-License-Identifier: GPL-2.0", ["GPL-2.0-only"]), ("SPDX-License-Identifier: GPL-2.0+", ["GPL-2.0-or-later"]), ("SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0", ["GPL-2.0-or-later"]),
+        ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", ["Apache-2.0 OR MIT"]),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["CC-BY-4.0"]), ("Licensed under CC BY-NC 2.0", ["CC-BY-NC-2.0"]),
+        ("Released under the Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License", ["CC-BY-NC-SA-3.0"]),
+        ("Copyright 2020 Some Body. All rights reserved. Do not copy.", ["proprietary"]), ("We talked about the MIT License and licensed under nothing.", []), ("SPDX-License-Identifier: Nothing-1.0", []),
+        ("Licensed under the GNU General Public License, version 4", []), ("", []),
+    ]
+    for text, want in cases:
+        for form in (text, "\n".join(" * " + x for x in text.split("\n")), "\n\n".join(textwrap.fill(x, 60) for x in text.split("\n\n"))):
+            if "SPDX" not in text or form.count("\n") == text.count("\n"):
+                assert [m[0] for m in licenses.scan_text(form)] == want, form
+    restricted = {r[0]: r[1] not in ("permissive", "public-domain") for r in licenses.RULES}
+    assert not restricted["BSD-3-Clause"] and restricted["GPL-2.0-or-later"] and restricted["CC-BY-NC-2.0"] and not restricted["Apache-2.0 OR MIT"]
+
+
 def plain_licences(text, gap=3):
     """Sentences word by word against every known one, and every rule against the places, without a tree."""
     known = [(licenses.normalise(x).split(), k) for k, xs in licenses.SENTENCES.items() for x in xs]
+    leads = {tuple(licenses.normalise(x).split()) for x in licenses.LEADS}
+    names = {tuple(licenses.normalise(x).split()): k for k, xs in licenses.NAMES.items() for x in xs}
+    longest = max(map(len, leads)) + max(map(len, names))
     pieces = licenses.pieces_of(text)
     words = [licenses.normalise(text[a:b]).split() for a, b, _, _ in pieces]
     marked = [licenses.normalise(licenses.LIST_MARK.sub("", text[a:b])).split() for a, b, _, _ in pieces]
@@ -137,6 +190,11 @@ def plain_licences(text, gap=3):
                 end += 1
             if have == sentence:
                 fits.append((end, k))
+        end, have = at, []
+        while end < len(pieces) and (end == at or not pieces[end][3]) and len(have) < longest:
+            have = have + (marked if end == at else words)[end]
+            end += 1
+            fits += [(end, names[tuple(have[i:])]) for i in range(len(have)) if tuple(have[:i]) in leads and tuple(have[i:]) in names]
         if fits:
             end = max(e for e, _ in fits)
             units.append([k for e, k in fits if e == end][-1])
@@ -156,16 +214,18 @@ def plain_licences(text, gap=3):
                     break
                 places.append(near[0])
             if places:
-                out.append(licence)
+                out.append((licence, places))
                 at = places[-1]
                 break
         at += 1
-    return out
+    near = [x for licence, places in out if licence != "proprietary" for x in places]
+    return [licence for licence, places in out if licence != "proprietary" or all(abs(x - places[0]) > gap + 1 for x in near)]
 
 
 def test_licenses_against_brute_force(spark, sf):
     rng = random.Random(8)
     said = [x for xs in licenses.SENTENCES.values() for x in xs]
+    said += [f"{rng.choice(licenses.LEADS)} {name}" for names in licenses.NAMES.values() for name in names]
     texts = [r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
     for _ in range(400):
         parts = rng.choices(said, k=rng.randrange(1, 7)) + rng.choices(["Some prose here.", "More of it", "1.", "(a)", "and", "Version 2.0"], k=rng.randrange(0, 5))
