@@ -11,7 +11,8 @@ Words and bigrams are known by 63-bit hashes, of which two of a billion are equa
 Texts are dealt into chunks and hashes into blocks, as many of each as the corpus' counted size asks for.  A chunk sends
 each block its distinct hashes, sorted, with their counts; the block adds up those of all chunks and answers in the same
 order; the chunk's texts, read again, are scored with the answers.  So a task holds a chunk or a block, a hash appears
-once a chunk whatever its count, and only three totals reach the driver.
+once a chunk whatever its count, a chunk sends no more rows than it has hashes and takes no turn for a block that it has nothing for, so
+that the work is in proportion to the text however many blocks there are, and only three totals reach the driver.
 
 Defined results: a null or empty text has no tokens, and null losses and score; target rows are those whose id is in the
 target table, so a row without an id is none; without any the models differ only by smoothing; repeated rows are counted and
@@ -99,9 +100,10 @@ def requests(docs: DataFrame, blocks: int) -> DataFrame:
 
     def sent(chunk, waiting, earlier):
         keys, counts = merged(waiting, earlier)
-        ends = np.searchsorted(block_of(keys, blocks), np.arange(blocks + 1))
-        at = [b for b in range(blocks) if ends[b] < ends[b + 1]]
-        parts = [slice(ends[b], ends[b + 1]) for b in at]
+        of = block_of(keys, blocks)
+        first = np.flatnonzero(np.diff(of, prepend=np.uint64(blocks)))  # the blocks that have a key, however many there are
+        at = of[first].tolist()
+        parts = [slice(a, b) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)])]
         columns = [pa.array([chunk] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array([planes(np.diff(keys[p], prepend=np.uint64(0))) for p in parts], pa.binary()), pa.array([planes(counts[:, p].ravel()) for p in parts], pa.binary())]
         return pa.RecordBatch.from_arrays(columns, names=["chunk", "block", "keys", "counts"])
 

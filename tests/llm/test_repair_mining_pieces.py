@@ -295,3 +295,25 @@ def test_rows_of_one_id_are_one_node(spark):
         df = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string").repartition(3)
         got = {(r["doc_id"], r["component_id"]) for r in join_components(df, k=3, percent=90).collect()}
         assert got == {(k, None if k is None else root(k)) for k, _ in rows}
+
+
+# Rows that language-model scoring sends.
+
+
+def test_rows_sent_grow_as_the_text_does(spark):
+    """However many blocks there are, a chunk sends a row for each that it has a key for: never more than keys, in proportion to the text."""
+    from millrace.llm import lm_score
+
+    rng = random.Random(31)
+
+    def sent(n, blocks):
+        rows = [(k // 8, False, " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))) for k in range(n)]
+        docs = spark.createDataFrame(rows, "chunk int, is_target boolean, text string").coalesce(1).sortWithinPartitions("chunk")
+        asked = lm_score.requests(lm_score.packed(docs, "chunk int, is_target boolean, text binary"), blocks).collect()
+        keys = sum(len(lm_score.unplanes(r["keys"])) for r in asked)
+        assert len({(r["chunk"], r["block"]) for r in asked}) == len(asked) <= keys <= n * 62
+        return len(asked)
+
+    few, many = sent(16, 2**31 - 1), sent(64, 2**31 - 1)
+    assert 3.5 * few < many < 4.5 * few
+    assert sent(16, 3) == 2 * 3
