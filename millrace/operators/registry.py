@@ -1,21 +1,21 @@
-"""The registry as append-only tables: each write is a row with a version, the latest row of a key is its state.
+"""The registry as append-only tables: rows of changes, many in a write; a column's latest change is its state.
 
-A table lies in one folder of Parquet files, so writers never overwrite one another and a lost write leaves the rest whole.
+A change says something of some columns only, so two writers that change different columns of one row lose nothing.  Rows come
+and go as DataFrames, their keys given by the caller.  A table lies in one folder of Parquet files: writers never overwrite one
+another, and a lost write leaves the rest whole.
 """
 
 from __future__ import annotations
 
-import json
 import time
 import uuid
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .telemetry import newest, upsert_view
+from .telemetry import fail_runs
 
-#: Each table's key and columns (all text but for the sizes).
+#: Each table's key and columns (all text but for the sizes).
 TABLES = {
     "runs": ("run_id", "run_id string, kind string, status string, config_hash string, dataset_hash string, git_sha string, hardware_json string, started_at string, finished_at string, metrics_json string, notes string"),
     "artifacts": ("artifact_id", "artifact_id string, run_id string, kind string, path string, sha256 string, size_bytes long, created_at string, meta_json string"),
@@ -23,118 +23,88 @@ TABLES = {
     "served_models": ("model_id", "model_id string, display_name string, backend string, weights_ref string, run_id string, enabled int, sort_order int"),
     "human_votes": ("vote_id", "vote_id string, session_id string, prompt string, response_a string, response_b string, model_a string, model_b string, winner string, created_at string"),
 }
+#: What every change has besides: the columns it is of, when it was written, and its number among those of one write.
+_CHANGE = "said array<string>, version long, writer string, number long"
 
 
-def _now() -> str:
-    return datetime.now(timezone.utc).isoformat()
-
-
-def _json(value) -> str | None:
-    return json.dumps(value) if value else None
+def changed(log: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """A row a key: of each column the latest change that is of it, null if none is."""
+    at = F.struct("version", "writer", "number")
+    return log.groupBy(key).agg(*(F.max_by(c, F.when(F.array_contains("said", c), at)).alias(c) for c in columns if c != key))
 
 
 class Registry:
-    """Reads and writes; a run that isn't there raises KeyError where it would be changed."""
+    """Rows without a key raise ValueError; so do keys that are there already where rows begin, and KeyError those that aren't where they are changed."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _append(self, table: str, row: dict) -> None:
-        schema = f"{TABLES[table][1]}, version long, tie string"
-        names = [c.split()[0] for c in schema.split(", ")]
-        if unknown := {*row} - {*names}:
-            raise ValueError(f"{table} has no {sorted(unknown)}")
-        row = row | {"version": time.time_ns(), "tie": uuid.uuid4().hex}
-        self.spark.createDataFrame([tuple(row.get(n) for n in names)], schema).coalesce(1).write.mode("append").parquet(f"{self.folder}/{table}")
-
-    def log(self, table: str) -> DataFrame:
-        """All rows ever written."""
-        schema = f"{TABLES[table][1]}, version long, tie string"
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{table}")
+    def log(self, name: str) -> DataFrame:
+        """All changes ever written."""
+        schema = f"{TABLES[name][1]}, {_CHANGE}"
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
         if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{table}")
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
 
     def table(self, name: str) -> DataFrame:
-        """The latest row of each key."""
-        return upsert_view(self.log(name).withColumn("at", F.struct("version", "tie")).drop("version", "tie"), TABLES[name][0], "at").drop("at")
-
-    def _one(self, table: str, column: str, value: str) -> dict | None:
-        row = self.table(table).where(F.col(column) == value).orderBy(TABLES[table][0]).first()
-        return row.asDict() if row else None
-
-    # Runs.
-
-    def create_run(self, run_id: str, kind: str, config_hash: str, dataset_hash=None, git_sha=None, hardware=None, notes=None) -> str:
-        if self.get_run(run_id):
-            raise ValueError(f"run {run_id} is there already")
-        self._append("runs", {"run_id": run_id, "kind": kind, "status": "running", "config_hash": config_hash, "dataset_hash": dataset_hash, "git_sha": git_sha, "hardware_json": _json(hardware), "started_at": _now(), "notes": notes})
-        return run_id
-
-    def _change_run(self, run_id: str, **changes) -> None:
-        run = self.get_run(run_id)
-        if run is None:
-            raise KeyError(run_id)
-        self._append("runs", run | {"finished_at": _now()} | changes)
-
-    def complete_run(self, run_id: str, metrics: dict | None = None) -> None:
-        self._change_run(run_id, status="completed", metrics_json=_json(metrics))
-
-    def fail_run(self, run_id: str, error: str | None = None) -> None:
-        """The error goes behind earlier notes."""
-        before = (self.get_run(run_id) or {}).get("notes")
-        self._change_run(run_id, status="failed", notes=" | ".join([*([] if before is None else [before]), error or "unknown error"]))
-
-    def get_run(self, run_id: str) -> dict | None:
-        return self._one("runs", "run_id", run_id)
-
-    def list_runs(self, kind: str | None = None, limit: int = 50) -> DataFrame:
-        runs = self.table("runs")
-        return newest(runs.where(F.col("kind") == kind) if kind else runs, limit, F.desc("started_at"), "run_id")
-
-    # Artifacts and datasets.
-
-    def record_artifact(self, run_id: str, kind: str, path: str, sha256=None, size_bytes=None, meta=None) -> str:
-        artifact_id = f"art-{uuid.uuid4().hex[:8]}"
-        self._append("artifacts", {"artifact_id": artifact_id, "run_id": run_id, "kind": kind, "path": path, "sha256": sha256, "size_bytes": size_bytes, "created_at": _now(), "meta_json": _json(meta)})
-        return artifact_id
-
-    def artifacts(self, run_id: str) -> DataFrame:
-        return self.table("artifacts").where(F.col("run_id") == run_id).orderBy("created_at", "artifact_id")
-
-    def record_dataset(self, dataset_id: str, name: str, kind: str, path: str, sha256: str, n_rows: int, split=None, sources=None, filter_stats=None) -> str:
-        self._append("datasets", {"dataset_id": dataset_id, "name": name, "kind": kind, "split": split, "path": path, "sha256": sha256, "n_rows": n_rows, "source_json": _json(sources), "filter_stats_json": _json(filter_stats), "created_at": _now()})
-        return dataset_id
-
-    def get_dataset(self, sha256: str) -> dict | None:
-        return self._one("datasets", "sha256", sha256)
-
-    # Served models and votes.
-
-    def publish_model(self, model_id: str, display_name: str, backend: str, weights_ref: str, run_id=None, sort_order: int = 0) -> None:
-        self._append("served_models", {"model_id": model_id, "display_name": display_name, "backend": backend, "weights_ref": weights_ref, "run_id": run_id, "enabled": 1, "sort_order": sort_order})
-
-    def unpublish(self, model_id: str) -> None:
-        model = self.get_served_model(model_id)
-        if model is None:
-            raise KeyError(model_id)
-        self._append("served_models", model | {"enabled": 0})
-
-    def get_served_model(self, model_id: str) -> dict | None:
-        return self._one("served_models", "model_id", model_id)
-
-    def served_models(self, enabled_only: bool = True) -> DataFrame:
+        key, schema = TABLES[name]
+        return changed(self.log(name), key, [c.split()[0] for c in schema.split(", ")])
+
+    def put(self, name: str, rows: DataFrame) -> None:
+        """Writes rows, whose columns are the key and some of the table's, in one job; of a write's rows with one key the last counts."""
+        key, schema = TABLES[name]
+        kinds = dict(c.split() for c in schema.split(", "))
+        if unknown := {*rows.columns} - {*kinds}:
+            raise ValueError(f"{name} has no {sorted(unknown)}")
+        if key not in rows.columns or not rows.where(F.col(key).isNull()).isEmpty():
+            raise ValueError(f"rows of {name} need a {key}")
+        said = F.array(*map(F.lit, rows.columns))
+        values = [(F.col(c) if c in rows.columns else F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()]
+        change = [said.alias("said"), F.lit(time.time_ns()).alias("version"), F.lit(uuid.uuid4().hex).alias("writer"), F.monotonically_increasing_id().alias("number")]
+        rows.select(*values, *change).write.mode("append").parquet(f"{self.folder}/{name}")
+
+    def begin(self, name: str, rows: DataFrame) -> None:
+        """Puts rows whose keys are new."""
+        key = TABLES[name][0]
+        there = rows.join(self.log(name).select(key), key, "left_semi").select(key).limit(3).collect()
+        if there:
+            raise ValueError(f"{name} has {[r[0] for r in there]} already")
+        self.put(name, rows)
+
+    def change(self, name: str, rows: DataFrame) -> None:
+        """Puts rows whose keys are there."""
+        key = TABLES[name][0]
+        lost = rows.join(self.log(name).select(key), key, "left_anti").select(key).limit(3).collect()
+        if lost:
+            raise KeyError(f"{name} has no {[r[0] for r in lost]}")
+        self.put(name, rows)
+
+    def start_runs(self, rows: DataFrame) -> None:
+        self.begin("runs", rows.withColumn("status", F.lit("running")))
+
+    def complete_runs(self, rows: DataFrame) -> None:
+        """Rows of run_id, finished_at and perhaps metrics_json."""
+        self.change("runs", rows.withColumn("status", F.lit("completed")))
+
+    def fail(self, errors: DataFrame) -> None:
+        """Rows of run_id, finished_at and error; the error goes behind earlier notes."""
+        named = errors.select("run_id", F.coalesce("error", F.lit("unknown error")).alias("error"))
+        self.change("runs", errors.select("run_id", "finished_at").withColumn("status", F.lit("failed")))
+        before = self.table("runs").join(named, "run_id", "left_semi").select("run_id", "status", "notes")
+        self.put("runs", fail_runs(before, named).select("run_id", "notes"))
+
+    def publish(self, models: DataFrame) -> None:
+        self.put("served_models", models.withColumn("enabled", F.lit(1)))
+
+    def unpublish(self, models: DataFrame) -> None:
+        """Rows of model_id; models that aren't served any more stay as rows."""
+        self.change("served_models", models.select("model_id").withColumn("enabled", F.lit(0)))
+
+    def served(self, enabled_only: bool = True) -> DataFrame:
         models = self.table("served_models")
         return (models.where("enabled = 1") if enabled_only else models).orderBy("sort_order", "model_id")
 
-    def record_vote(self, prompt: str, response_a: str, response_b: str, model_a: str, model_b: str, winner: str, session_id=None) -> str:
-        vote_id = f"vote-{uuid.uuid4().hex[:8]}"
-        self._append("human_votes", {"vote_id": vote_id, "session_id": session_id, "prompt": prompt, "response_a": response_a, "response_b": response_b, "model_a": model_a, "model_b": model_b, "winner": winner, "created_at": _now()})
-        return vote_id
-
-    def votes(self, limit: int = 100) -> DataFrame:
-        return newest(self.table("human_votes"), limit, F.desc("created_at"), "vote_id")
-
 
 def run_folders(files: DataFrame, kind: str) -> DataFrame:
     """Runs of a kind from a listing (path below the runs' folder, modified): whether the adapter was written, the newest whole checkpoint.

@@ -784,6 +784,18 @@ def exact_match_failures(spark, d):
     return ev.exact_match_failures(e, "expected", "response", "source", "doc_id")
 
 
+@query("select o_orderkey::varchar as run_id, o_orderpriority as kind, case when o_orderkey % 3 = 0 then 'failed' when o_orderkey % 3 = 1 then 'completed' else 'running' end as status, case when o_orderkey % 3 = 0 then concat('note ', o_custkey, ' | lost') else concat('note ', o_custkey) end as notes, case when o_orderkey % 5 = 0 then 'abc' end as git_sha from orders")
+def registry_state(spark, d):
+    """Runs that are started, completed, failed and changed in part, each in one write, and their state."""
+    runs = _t(spark, d, "orders").selectExpr("cast(o_orderkey as string) as run_id", "o_orderkey as n", "o_orderpriority as kind", "concat('note ', o_custkey) as notes")
+    registry = rg.Registry(spark, shared_folder(spark, "registry"))
+    registry.start_runs(runs.select("run_id", "kind", "notes"))
+    registry.put("runs", runs.where("n % 5 = 0").selectExpr("run_id", "'abc' as git_sha"))
+    registry.complete_runs(runs.where("n % 3 = 1").selectExpr("run_id", "'now' as finished_at"))
+    registry.fail(runs.where("n % 3 = 0").selectExpr("run_id", "'now' as finished_at", "'lost' as error"))
+    return registry.table("runs").select("run_id", "kind", "status", "notes", "git_sha")
+
+
 @query("""select 'sft-' || user_id as run_id, bool_or(event_type = 'click') as complete, max(event_id) filter (where event_type = 'view') as latest_step, max(ts) as modified from events where user_id % 2 = 0 group by user_id""")
 def run_folders(spark, d):
     """Runs of a kind from a listing of their files."""

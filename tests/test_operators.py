@@ -284,29 +284,31 @@ def test_registry(spark, tmp_path):
     from millrace.operators.registry import Registry, list_files, run_folders
 
     r = Registry(spark, f"file://{tmp_path}/registry")
-    assert r.get_run("x") is None and r.served_models().count() == 0
-    r.create_run("sft-1", "sft", "abc", notes="n")
+    rows = lambda schema, *values: spark.createDataFrame([*values], schema)
+    state = lambda name, *columns: sorted(map(tuple, r.table(name).select(*columns).collect()), key=str)
+    assert r.table("runs").count() == 0 and r.served().count() == 0
+    r.start_runs(rows("run_id string, kind string, started_at string, notes string", ("sft-1", "sft", "t1", "n"), ("dpo-1", "dpo", "t2", None), ("sft-2", "sft", "t3", None)))
     with pytest.raises(ValueError):
-        r.create_run("sft-1", "sft", "abc")
-    r.fail_run("sft-1", "oom")
-    run = r.get_run("sft-1")
-    assert (run["status"], run["notes"], run["config_hash"]) == ("failed", "n | oom", "abc") and run["finished_at"]
+        r.start_runs(rows("run_id string, kind string", ("x", "sft"), ("sft-1", "sft")))
+    with pytest.raises(ValueError):
+        r.put("runs", rows("run_id string, kind string", (None, "sft")))
+    with pytest.raises(ValueError):
+        r.put("runs", rows("run_id string, colour string", ("x", "red")))
     with pytest.raises(KeyError):
-        r.complete_run("none")
-    r.create_run("dpo-1", "dpo", "abc")
-    r.complete_run("dpo-1", {"loss": 1})
-    assert [x["run_id"] for x in r.list_runs().collect()] == ["dpo-1", "sft-1"] and r.list_runs("sft").count() == 1
-    r.record_artifact("sft-1", "gguf", "p", size_bytes=3)
-    assert r.artifacts("sft-1").first()["size_bytes"] == 3
-    r.record_dataset("d", "n", "sft", "p", "hash", 5)
-    r.record_dataset("d", "n", "sft", "q", "hash", 6)
-    assert r.get_dataset("hash")["n_rows"] == 6 and r.get_dataset("none") is None
-    r.publish_model("m", "M", "local", "w", sort_order=2)
-    r.publish_model("k", "K", "local", "w", sort_order=1)
-    r.unpublish("m")
-    assert [m["model_id"] for m in r.served_models().collect()] == ["k"] and r.served_models(False).count() == 2
-    r.record_vote("p", "a", "b", "x", "y", "a")
-    assert r.votes().first()["winner"] == "a"
+        r.complete_runs(rows("run_id string, finished_at string", ("none", "t")))
+    r.fail(rows("run_id string, finished_at string, error string", ("sft-1", "t4", "oom"), ("sft-2", "t4", None)))
+    r.complete_runs(rows("run_id string, finished_at string, metrics_json string", ("dpo-1", "t5", "{}")))
+    assert state("runs", "run_id", "kind", "status", "notes", "finished_at") == [("dpo-1", "dpo", "completed", None, "t5"), ("sft-1", "sft", "failed", "n | oom", "t4"), ("sft-2", "sft", "failed", "unknown error", "t4")]
+    # two writers that saw the same row and change different columns of it, and one that clears a column
+    r.put("runs", rows("run_id string, git_sha string", ("sft-1", "abc")))
+    r.put("runs", rows("run_id string, config_hash string, finished_at string", ("sft-1", "def", None)))
+    assert state("runs", "run_id", "git_sha", "config_hash", "finished_at")[1] == ("sft-1", "abc", "def", None)
+    r.put("datasets", rows("dataset_id string, sha256 string, n_rows long", ("d", "hash", 5), ("e", "other", 1)))
+    r.put("datasets", rows("dataset_id string, n_rows long", ("d", 6)))
+    assert state("datasets", "dataset_id", "sha256", "n_rows") == [("d", "hash", 6), ("e", "other", 1)]
+    r.publish(rows("model_id string, backend string, sort_order int", ("m", "local", 2), ("k", "local", 1)))
+    r.unpublish(rows("model_id string", ("m",)))
+    assert [m["model_id"] for m in r.served().collect()] == ["k"] and [m["backend"] for m in r.served(False).collect()] == ["local"] * 2
     for f in ("sft-2/adapter/adapter_config.json", "sft-2/checkpoints/checkpoint-9/trainer_state.json", "sft-2/checkpoints/checkpoint-10/trainer_state.json", "sft-2/checkpoints/checkpoint-11/w.bin", "sft-3/log", "dpo-1/log", "stray"):
         (tmp_path / "runs" / f).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / "runs" / f).write_text("x")
