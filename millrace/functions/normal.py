@@ -42,7 +42,7 @@ def needing(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(texts that have to be stripped, composed or unescaped; of the others, those whose white space has to change)."""
     n = len(texts)
     lengths = np.fromiter(map(len, texts), np.int64, n)
-    # A line feed behind each text is a text's own white space for no test below.
+    # The line feed behind each text parts it from the next and belongs to neither.
     points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
     kinds = classes()[points]
     stops = np.cumsum(lengths + 1) - 1

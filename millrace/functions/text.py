@@ -136,6 +136,16 @@ def telemetry_line(ttft_ms: Column, tokens_per_s: Column, n_tokens: Column) -> C
     )
 
 
+def strip_ansi(c: Column) -> Column:
+    """Without the escapes that colour a terminal's text."""
+    return F.regexp_replace(c, r"\x1b\[[0-9;]*m", "")
+
+
+def run_id_of(output: Column) -> Column:
+    """The last run id that a command's output tells, null without one."""
+    return F.try_element_at(F.regexp_extract_all(strip_ansi(output), F.lit(r"Run ID:\s*(\S+)"), F.lit(1)), F.lit(-1))
+
+
 def tokens_per_second(n_tokens: Column, elapsed: Column) -> Column:
     return F.when((elapsed >= 0.1) & (n_tokens != 0), F.round(n_tokens / elapsed, 1))
 

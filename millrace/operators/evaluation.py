@@ -96,6 +96,31 @@ def generate(cases: DataFrame, model_id: str, generate_fn: Callable[[str], tuple
     return todo.withColumn("r", run.asNondeterministic()("prompt")).select(F.col("id").alias("case_id"), "suite", F.lit(model_id).alias("model_id"), "prompt", "r.*")
 
 
+def compare(requests: DataFrame, engines: dict[str, Callable[[str], str]]) -> DataFrame:
+    """(request_id, model_id, response, time_ms, error) of requests (request_id, prompt): every engine answers every one, partition by partition.
+
+    A failing engine gives an empty response and its error, which stops no other.
+    """
+    import time
+
+    def run(batches):
+        for rows in batches:
+            out = []
+            for request, model, prompt in zip(rows["request_id"], rows["model_id"], rows["prompt"]):
+                began, response, error = time.perf_counter(), "", None
+                try:
+                    response = engines[model](prompt)
+                except Exception as e:  # a failed call must not fail the job
+                    error = str(e)
+                out.append((request, model, response, round((time.perf_counter() - began) * 1000, 1), error))
+            yield pd.DataFrame(out, columns=["request_id", "model_id", "response", "time_ms", "error"])
+
+    each = requests.select("request_id", F.explode(F.array(*map(F.lit, engines))).alias("model_id"), "prompt")
+    dealt = each.repartition(requests.sparkSession.sparkContext.defaultParallelism, "request_id", "model_id")
+    kind = dict(requests.dtypes)["request_id"]
+    return dealt.mapInPandas(run, f"request_id {kind}, model_id string, response string, time_ms double, error string")
+
+
 def debias(df: DataFrame, strict: bool = False) -> DataFrame:
     """final_verdict and position_bias_observed from both orders' verdicts.
 
@@ -120,6 +145,14 @@ def bias_rate(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.coalesce(F.avg(F.coalesce("position_bias_observed", F.lit(False)).cast("double")), F.lit(0.0)).alias("bias_rate"))
 
 
+#: Fixed value: the rate of verdicts that depend on the order above which a judge is said to be biased.
+BIASED = 0.3
+
+
+def biased(rate: Column) -> Column:
+    return F.coalesce(rate > BIASED, F.lit(False))
+
+
 def interval_places(resamples: int, level: float = 0.95) -> tuple[int, int]:
     alpha = 1 - level
     return math.floor(alpha / 2 * resamples), min(math.ceil((1 - alpha / 2) * resamples) - 1, resamples - 1)
@@ -247,6 +280,12 @@ def length_controlled_interval(df: DataFrame, tokens_a: str, tokens_b: str, keys
     return rates.join(sizes, keys) if keys else rates.crossJoin(F.broadcast(sizes))  # without keys, one row on either side
 
 
+def cases_with_responses(cases: DataFrame, responses: DataFrame) -> DataFrame:
+    """Responses (suite, case_id, ...) with their case's expected answer and whether it is verifiable; those of no case are left out."""
+    known = cases.select("suite", F.col("id").alias("case_id"), "expected_answer", "verifiable")
+    return responses.join(known, ["suite", "case_id"])
+
+
 def _matched(df: DataFrame, expected: str, response: str) -> DataFrame:
     """Verifiable rows with an expected answer, a response and no error, and whether it is in there."""
     parts = F.split(F.lower(F.trim(F.col(expected))), r"\|")
@@ -356,8 +395,7 @@ def metrics_table(judged: DataFrame, responses: DataFrame | None = None, cases:
         else:
             parts.append(section(length_controlled(both, "length_a", "length_b", *pair), "length_controlled", {"win_rate": 4, "n_discarded": None, "pct_discarded": 4}))
         if cases is not None:
-            known = cases.select("suite", F.col("id").alias("case_id"), "expected_answer", "verifiable")
-            found = exact_match(responses.join(known, ["suite", "case_id"]), "expected_answer", "response", "model_id")
+            found = exact_match(cases_with_responses(cases, responses), "expected_answer", "response", "model_id")
             parts.append(section(found.withColumnRenamed("model_id", "model_a"), "exact_match", {"n_correct": None, "n_verifiable": None, "score": 4}))
     out = parts[0]
     for p in parts[1:]:

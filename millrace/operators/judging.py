@@ -37,9 +37,11 @@ class Calls:
 
     def table(self) -> DataFrame:
         """(call, who, raw, answered), one row a call: the answer if one was given, null where all tries failed."""
-        if not Files(self.spark, self.folder).names("answers"):
+        waves = Files(self.spark, self.folder).names("answers")
+        if not waves:
             return self.spark.createDataFrame([], CALLS)
-        all_ = self.spark.read.schema(CALLS).option("recursiveFileLookup", "true").parquet(f"{self.folder}/answers")
+        # Each wave is named: Spark takes two reads of one folder in a plan for the same, whatever was written between them.
+        all_ = self.spark.read.schema(CALLS).parquet(*(f"{self.folder}/answers/{w}" for w in waves))
         best = all_.groupBy("call").agg(F.max(F.struct("answered", "who", "raw")).alias("a"))
         return best.select("call", "a.who", "a.raw", "a.answered")
 
@@ -80,6 +82,25 @@ def judge_once(pairs: DataFrame, who: str, judge_fn: Callable[[list[str]], list[
     return debias(read.withColumns({"verdict_ab": strict_verdict("raw_ab"), "verdict_ba": strict_verdict("raw_ba")}))
 
 
+def ask_until_readable(df: DataFrame, prompt: str, who: str, fn: Callable[[list[str]], list[str | None]], calls: Calls, simpler: Callable[[str, int], str], retries: int = 2) -> DataFrame:
+    """Adds raw, verdict and tries: answers without a readable verdict are asked again, each time by a simpler prompt.
+
+    Retries are calls like others: asked once a prompt, and read from the table by a run after a loss.
+    """
+    import pandas as pd
+
+    calls.ask(df, prompt, who, fn)
+    read = calls.answers(df, prompt, who, "raw").withColumns({"verdict": strict_verdict("raw"), "tries": F.lit(1)})
+    for k in range(1, retries + 1):
+        made = F.pandas_udf(lambda ps, k=k: pd.Series([None if p is None else simpler(p, k) for p in ps], dtype="object"), "string")
+        asked = read.withColumn("_again", F.when(F.col("verdict").isNull(), made(F.col(prompt))))
+        calls.ask(asked, "_again", who, fn)
+        new = calls.answers(asked, "_again", who, "_raw").withColumn("_verdict", strict_verdict("_raw"))
+        tried = F.col("_again").isNotNull()
+        read = new.withColumns({"raw": F.when(tried, F.col("_raw")).otherwise(F.col("raw")), "verdict": F.coalesce("verdict", "_verdict"), "tries": F.when(tried, F.lit(k + 1)).otherwise(F.col("tries"))}).drop("_again", "_raw", "_verdict")
+    return read
+
+
 def generate_once(cases: DataFrame, model_id: str, generate_fn: Callable[[str], tuple[str, int]], calls: Calls) -> DataFrame:
     """Responses (case_id, suite, model_id, prompt, response, n_tokens, error) by the table of calls; an exception is an error text."""
 

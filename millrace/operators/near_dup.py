@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .curation import exact_dedup
+
 #: Shape of the signature: 128 minima in 8 bands of 16 rows, for a similarity of 0.85; twice the bands where pairs are verified.
 PERMUTATIONS, BANDS, VERIFIED_BANDS, SHINGLE = 128, 8, 16, 5
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
@@ -108,6 +110,17 @@ def near_dedup(df: DataFrame, key: str, text: str, scratch: Callable[[DataFrame,
     return rows.join(kept.withColumnRenamed("id", row), row, "left_semi").drop(row)
 
 
+def deduplicate(df: DataFrame, key: str, text: str, scratch: Callable[[DataFrame, str], DataFrame], verify: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """Exact, then near dedup: the rows that stay, and one row of exact_removed, near_removed, total_removed."""
+    names = df.columns
+    firsts = scratch(exact_dedup(df, F.col(text), [key], "_copies"), "exact")
+    kept = scratch(near_dedup(firsts, key, text, scratch, verify), "near")
+    seen = firsts.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("texts"))
+    left = kept.agg(F.count(F.lit(1)).alias("kept"))
+    stats = seen.join(F.broadcast(left))  # one row on either side
+    return kept.select(names), stats.select((F.col("n") - F.col("texts")).alias("exact_removed"), (F.col("texts") - F.col("kept")).alias("near_removed"), (F.col("n") - F.col("kept")).alias("total_removed"))
+
+
 def _independent(bands: DataFrame, scratch) -> DataFrame:
     """The lexicographically first maximal independent set over bands, which is greedy first-wins.
 

@@ -239,6 +239,13 @@ def curation_funnel(spark, d):
     return cu.funnel(rows, [("loaded", n), ("validated", F.when(v, n)), ("quarantined", F.when(~v, n)), ("after_dedup", v), ("after_decontamination", v & clean)])
 
 
+@query("select exact_removed + near_removed = total_removed as adds_up, exact_removed from (select count(*) - count(distinct text) as exact_removed, 0 as near_removed, count(*) - count(distinct text) as total_removed from documents)")
+def dedup_removed(spark, d):
+    """How many rows exact and then near dedup take out; SQL knows the first number and that they add up."""
+    _, stats = nd.deduplicate(_t(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", writer(spark))
+    return stats.select(F.expr("exact_removed + near_removed = total_removed and near_removed >= 0").alias("adds_up"), "exact_removed")
+
+
 @query()
 def near_dup_first_wins(spark, d):
     docs = _t(spark, d, "documents")

@@ -213,3 +213,46 @@ def test_all_metrics_are_one_table(spark):
     assert doc["exact_match"]["base"]["score"] == 1.0 and doc["exact_match"]["sft"]["score"] == 0.0
     assert doc["length_controlled"]["base_vs_sft"]["n_discarded"] == 0 and set(doc["elo"]) == {"base", "dpo", "sft"}
     assert "base_vs_sft" in report.markdown(doc)
+
+
+# Comparisons, retries, both dedups, outputs.
+
+
+def test_compare_isolates_a_failing_engine(spark):
+    def broken(p):
+        raise ValueError(f"no {p}")
+
+    got = ev.compare(spark.createDataFrame([(1, "a"), (2, "b")], "request_id long, prompt string"), {"up": str.upper, "broken": broken})
+    rows = sorted((r["request_id"], r["model_id"], r["response"], r["error"]) for r in got.collect())
+    assert rows == [(1, "broken", "", "no a"), (1, "up", "A", None), (2, "broken", "", "no b"), (2, "up", "B", None)]
+    assert all(r["time_ms"] >= 0 for r in got.collect()) and ev.compare(spark.createDataFrame([], "request_id long, prompt string"), {"up": str.upper}).count() == 0
+
+
+def test_unreadable_answers_are_asked_again(spark, tmp_path):
+    from millrace.operators.judging import Calls, ask_until_readable
+
+    def fn(prompts):
+        return ['{"verdict": "A"}' if p in ("good", "late#2") else None if p == "gone" else "mumble" for p in prompts]
+
+    df = spark.createDataFrame([("good",), ("late",), ("never",), ("gone",), (None,)], "p string")
+    got = ask_until_readable(df, "p", "j", fn, Calls(spark, f"file://{tmp_path}"), lambda p, k: f"{p}#{k}")
+    assert {r["p"]: (r["verdict"], r["tries"]) for r in got.collect()} == {"good": ("A", 1), "late": ("A", 3), "never": (None, 3), "gone": (None, 3), None: (None, 1)}
+
+
+def test_both_dedups_and_what_they_take(spark):
+    from millrace.operators import near_dup as nd
+    from millrace.plans.scratch import writer
+
+    long = " ".join(f"w{k}" for k in range(80))
+    df = spark.createDataFrame([(0, long), (1, long), (2, long + " x"), (3, "another text"), (None, long)], "id long, t string")
+    for verify in (None, 0.85):
+        rows, stats = nd.deduplicate(df, "id", "t", writer(spark), verify)
+        assert tuple(stats.first()) == (2, 1, 3) and rows.columns == ["id", "t"] and rows.count() == 2
+    rows, stats = nd.deduplicate(df.limit(0), "id", "t", writer(spark))
+    assert rows.collect() == [] and tuple(stats.first()) == (0, 0, 0)
+
+
+def test_outputs_and_flags(spark):
+    said = F.lit("\x1b[32mRun ID: sft-1\x1b[0m\nRun ID:  \x1b[1;31mdpo-2\x1b[0m done")
+    assert one(spark, tx.strip_ansi(F.lit("\x1b[1;31mred\x1b[0m")), tx.run_id_of(said), tx.run_id_of(F.lit("nothing"))) == ("red", "dpo-2", None)
+    assert one(spark, ev.biased(F.lit(0.31)), ev.biased(F.lit(0.3)), ev.biased(F.lit(None).cast("double"))) == (True, False, False)
