@@ -101,11 +101,13 @@ def near_dedup(df: DataFrame, key: str, text: str, scratch: Callable[[DataFrame,
     rows = scratch(df.withColumn(row, F.monotonically_increasing_id()), "rows")
     at = F.struct(F.col(key).isNull().alias("lost"), F.col(key).alias("key"), F.col(row).alias("row"))
     firsts = rows.groupBy(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)).agg(F.min(at).alias("at"))
-    firsts = scratch(firsts.select(F.col("at.row").alias("id"), "at"), "firsts")
-    hashed = F.pandas_udf(lambda texts: band_hashes(texts, n), "array<long>")
+    firsts = scratch(firsts.select(F.col("at.row").alias("id")), "firsts")
     n = bands or (BANDS if verify is None else VERIFIED_BANDS)
-    texts = rows.select(F.col(row).alias("id"), F.col(text).cast("string").alias("text")).join(firsts, "id")
-    found = scratch(texts.select("id", "at", F.posexplode(hashed("text")).alias("band", "h")), "bands")
+    hashed = F.pandas_udf(lambda texts: band_hashes(texts, n), "array<long>")
+    # hashed where the texts are, so that no text is shuffled
+    every = rows.select(F.col(row).alias("id"), at.alias("at"), F.posexplode(hashed(F.col(text).cast("string"))).alias("band", "h"))
+    found = scratch(every.join(firsts, "id", "left_semi"), "bands")
+    texts = rows.select(F.col(row).alias("id"), F.col(text).cast("string").alias("text"))
     kept = _independent(found, scratch) if verify is None else _verified(found, texts, scratch, verify, pivots)
     return rows.join(kept.withColumnRenamed("id", row), row, "left_semi").drop(row)
 

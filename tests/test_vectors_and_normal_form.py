@@ -121,7 +121,7 @@ def test_every_sign_alone_and_behind_others():
     singles = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     assert tx.normalise_texts(singles) == [*map(tx.normalise_text, singles)]
     for lead in ("a", "ᄀ", "가", "ে"):
-        texts = [lead + chr(c) + "z" for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+        texts = [lead + chr(c) + "z" for c in (*range(0x3100), *range(0xA000, 0xD7A4), *range(0xF900, 0x11000), *range(0x11000, 0x12000)) if not 0xD800 <= c < 0xE000]
         assert tx.normalise_texts(texts) == [*map(tx.normalise_text, texts)]
 
 
