@@ -136,8 +136,12 @@ def artifacts_of(artifacts: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def publish_refs(models: DataFrame, artifacts: DataFrame, kinds: DataFrame) -> DataFrame:
-    """For each model to publish (model_id, run_id, backend), the first artifact of the kind that fits its backend; null if none does."""
-    fit = models.join(kinds, "backend").join(artifacts, ["run_id", "kind"]).groupBy("model_id").agg(F.min_by("path", F.struct("created_at", "artifact_id")).alias("ref"))
+    """For each model to publish (model_id, run_id, backend), the first artifact of the kind that fits its backend; null if none does.
+
+    Artifacts without a time come last; ``artifact_id`` decides between those of one time and must tell them apart.
+    """
+    order = F.struct(F.col("created_at").isNull().alias("lost"), "created_at", "artifact_id")
+    fit = models.join(kinds, "backend").join(artifacts, ["run_id", "kind"]).groupBy("model_id").agg(F.min_by("path", order).alias("ref"))
     return models.join(fit, "model_id", "left").select("model_id", "backend", "ref")
 
 

@@ -761,7 +761,9 @@ def artifact_join(spark, d):
 on a.l_orderkey = o_orderkey and a.l_returnflag = case when o_orderkey % 2 = 0 then 'R' else 'N' end""")
 def publish_refs(spark, d):
     models = _t(spark, d, "orders").selectExpr("o_orderkey as model_id", "o_orderkey as run_id", "case when o_orderkey % 2 = 0 then 'ollama' else 'local' end as backend")
-    artifacts = _t(spark, d, "lineitem").selectExpr("l_orderkey as run_id", "l_returnflag as kind", "concat('p/', l_partkey) as path", "l_shipdate as created_at", "l_linenumber as artifact_id")
+    # Lines of an order aren't told apart by their number: of those alike in date and number the first in the files is taken.
+    place = "struct(l_linenumber is null as lost, l_linenumber as n, _metadata.file_path as file, _metadata.row_index as row) as artifact_id"
+    artifacts = _t(spark, d, "lineitem").selectExpr("l_orderkey as run_id", "l_returnflag as kind", "concat('p/', coalesce(cast(l_partkey as string), '')) as path", "l_shipdate as created_at", place)
     return rc.publish_refs(models, artifacts, spark.createDataFrame([("ollama", "R"), ("local", "N")], "backend string, kind string"))
 
 

@@ -363,3 +363,27 @@ def test_loading_by_spec_and_limit(spark, tmp_path):
 def test_many_models(spark):
     models = spark.range(1100).selectExpr("id", "concat('m', id) as name")
     assert ev.model_pairs(models, "id", "name").count() == 1100 * 1099 // 2
+
+
+def test_publish_refs_takes_the_first_of_lines_alike(spark, tmp_path):
+    """Lines of one date and number go by their place in the files, whatever file Spark reads first; missing dates and numbers last."""
+    import duckdb
+
+    from millrace.plans.queries import ORACLES, publish_refs
+
+    con = duckdb.connect()
+    con.sql("set threads = 1")
+    (tmp_path / "lineitem.parquet").mkdir()
+    line = "select o::bigint as l_orderkey, p::bigint as l_partkey, case when o % 2 = 0 then 'R' else 'N' end as l_returnflag, t::timestamp as l_shipdate, n::int as l_linenumber"
+    files = (("0", 1, 0, 40), ("1", 2, 0, 4000), ("2", 3, 20, 60))  # file 1 is the largest, so Spark reads it first
+    for name, part, a, b in files:
+        con.sql(f"copy ({line} from (select i // 2 as o, {part} * 100000 + i as p, timestamp '2020-01-01' as t, 1 as n from range({a}, {b}) r(i))) to '{tmp_path}/lineitem.parquet/{name}.parquet'")
+    odd = "(-2, 7, null, 1), (-2, 8, timestamp '2020-01-02', null), (-2, 9, timestamp '2020-01-02', 3), (-3, null, timestamp '2020-01-01', 1), (-3, 5, timestamp '2020-01-01', 1)"
+    con.sql(f"copy ({line} from (values {odd}) v(o, p, t, n)) to '{tmp_path}/lineitem.parquet/3.parquet'")
+    con.sql(f"copy (select i::bigint as o_orderkey from range(-3, 2010) r(i) union all select null) to '{tmp_path}/orders.parquet'")
+    con.sql(f"create view lineitem as select * from read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    con.sql(f"create view orders as select * from '{tmp_path}/orders.parquet'")
+    got = sorted(map(tuple, publish_refs(spark, str(tmp_path)).select("model_id", "backend", "ref").collect()), key=str)
+    refs = {r[0]: r[2] for r in got}
+    assert [refs[k] for k in (0, 19, 20, -2, -3, 2005)] == ["p/100000", "p/100038", "p/200040", "p/9", "p/", None]
+    assert got == sorted(con.sql(ORACLES["publish_refs"]).project("model_id, backend, ref").fetchall(), key=str)
