@@ -30,10 +30,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, batches, maybe_broadcast, mix
+from .common import Scratch, WordHashes, batches, give_back, maybe_broadcast, mix
 
 #: Bytes of text a chunk, and a block.
 CHUNK, BLOCK = 4 << 20, 4 << 20
+#: Keys, or words, whose sums or losses are held at a time.
+PIECE = 1 << 17
 #: Weight of the bigram estimate, and what is added to every word's count.
 WEIGHT, ADDED = 0.6, 0.5
 #: The start of a text.  Words have even keys, bigrams odd ones.
@@ -132,18 +134,50 @@ def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
 
 
+def ordered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of keys in sorted order, where each distinct one starts in it, and whether that is a word."""
+    order = np.argsort(keys).astype(np.uint32 if len(keys) < 1 << 32 else np.int64)
+    starts = np.ones(len(keys), bool)
+    for at in range(0, len(keys), PIECE):
+        part = keys[order[max(at - 1, 0) : at + PIECE]]
+        starts[max(at, 1) : at + PIECE] = part[1:] != part[:-1]
+    starts = np.flatnonzero(starts)
+    distinct = keys[order[starts]]
+    return order, starts, (distinct & ONE == 0) & (distinct != START)
+
+
 def answers(asked: DataFrame) -> DataFrame:
     """(chunk, block, counts) in the order of the keys asked for; and a block's words and kinds, in its first row alone."""
 
     def run(rows):
-        parts = [np.cumsum(unplanes(k), dtype=np.uint64) for k in rows["keys"].to_pylist()]
-        counts = np.concatenate([unplanes(c).reshape(2, -1) for c in rows["counts"].to_pylist()], axis=1)
-        keys, sums, place = summed(np.concatenate(parts), counts)
-        words = (keys & ONE == 0) & (keys != START)
+        give_back()
+        parts = [unplanes(k.as_buffer()) for k in rows["keys"]]
         ends = np.cumsum([0, *map(len, parts)])
-        back = [planes(sums[:, place[a:b]].ravel()) for a, b in zip(ends, ends[1:])]
-        totals = [[int(v)] + [0] * (len(parts) - 1) for v in (sums[0, words].sum(), sums[1, words].sum(), words.sum())]
-        return pa.table([rows["chunk"], rows["block"], pa.array(back, pa.binary()), *(pa.array(v, pa.int64()) for v in totals)], names=["chunk", "block", "counts", "n", "n_target", "kinds"])
+        keys = np.concatenate(parts)
+        del parts
+        for at, end in zip(ends.tolist(), ends[1:].tolist()):
+            np.cumsum(keys[at:end], out=keys[at:end])
+        order, starts, word = ordered(keys)
+        del keys
+        counts = np.empty((2, len(order)), np.uint64)
+        for c, at, end in zip(rows["counts"], ends.tolist(), ends[1:].tolist()):
+            counts[:, at:end] = unplanes(c.as_buffer()).reshape(2, -1)
+        totals = [0, 0, int(word.sum())]
+        cuts = np.unique([*np.searchsorted(starts, np.arange(0, len(order), PIECE)), len(starts)]).tolist()
+        for x, y in zip(cuts, cuts[1:]):  # each count becomes its key's sum, some keys at a time
+            first, last = starts[x], starts[y] if y < len(starts) else len(order)
+            of, sizes = order[first:last], np.diff(starts[x:y], append=last)
+            for model in (0, 1):
+                sums = np.add.reduceat(counts[model, of], starts[x:y] - first)
+                totals[model] += int(sums[word[x:y]].sum())
+                counts[model, of] = np.repeat(sums, sizes)
+        del order, starts
+        back = np.empty(16 * int(ends[-1]), np.uint8)
+        for at, end in zip(ends.tolist(), ends[1:].tolist()):
+            back[16 * at : 16 * end].reshape(8, -1)[:] = np.ascontiguousarray(counts[:, at:end]).astype("<u8", copy=False).reshape(-1, 1).view(np.uint8).T
+        back = pa.Array.from_buffers(pa.large_binary(), rows.num_rows, [None, pa.py_buffer(16 * ends), pa.py_buffer(back)]).cast(pa.binary())
+        totals = [[v] + [0] * (rows.num_rows - 1) for v in totals]
+        return pa.table([rows["chunk"], rows["block"], back, *(pa.array(v, pa.int64()) for v in totals)], names=["chunk", "block", "counts", "n", "n_target", "kinds"])
 
     return asked.groupBy("block").applyInArrow(run, "chunk int, block int, counts binary, n long, n_target long, kinds long")
 
@@ -179,31 +213,43 @@ def scores(docs: DataFrame, targets: DataFrame, chunk: int = CHUNK, block: int =
     found = scratch.save(answers(requests(flagged.repartitionById(chunks, F.col("chunk")).sortWithinPartitions("chunk"), blocks)), "answers")
     total = [v or 0 for v in found.agg(F.sum("n_target"), F.sum("n"), F.sum("kinds")).first()]
 
+    def text_losses(single, pair, sizes, target, counts):
+        """Mean losses under both models, and of their difference, of texts of so many words, by the places of their keys among the counts."""
+        first = np.cumsum(sizes + 1) - sizes - 1
+        last, starts = first + sizes, np.cumsum(sizes) - sizes
+        # What a text has of its own: its words and the start, and its bigrams.
+        own_single, own_pair = own_counts(single, sizes + 1), own_counts(pair, sizes)
+        before, word = np.delete(single, last), np.delete(single, first)
+        own_before, own_word = np.delete(own_single, last), np.delete(own_single, first)
+        target = np.repeat(target, sizes)
+        length, found = np.repeat(sizes, sizes), []
+        for c, n, out in ((counts[1], total[0], target), (counts[0], total[1], 1)):
+            found.append(losses((c[before] - out * own_before).astype(float), c[word] - out * own_word, c[pair] - out * own_pair, n - out * length, total[2]))
+        return [np.add.reduceat(v, starts) / sizes for v in (*found, found[0] - found[1])]
+
     def scored(rows, held, back):
-        """A batch of a chunk's rows (doc_id, (is target, text's digest)) by the keys of its distinct texts and the answered counts."""
+        """A batch of a chunk's rows (doc_id, (is target, text's digest)) by the keys of its distinct texts and the answered counts; empties both."""
         per_text = {}
         full = [d for d, (_, pairs) in held.items() if len(pairs)]
         if full:
             sizes = np.array([len(held[d][1]) for d in full])
             keys = np.concatenate([*(held[d][0] for d in full), *(held[d][1] for d in full)])
+            held.clear()
             distinct, place = np.unique(keys, return_inverse=True)
+            kinds = len(distinct)
+            del keys, distinct
+            place = place.astype(np.uint32 if kinds < 1 << 32 else np.int64)
             counts = np.concatenate(back, axis=1) if back else np.zeros((2, 0), np.int64)
-            if counts.shape[1] != len(distinct):
+            back.clear()
+            if counts.shape[1] != kinds:
                 raise RuntimeError("the texts read to be scored aren't those that were counted")
             single, pair = place[: sizes.sum() + len(sizes)], place[sizes.sum() + len(sizes) :]
-            first = np.cumsum(sizes + 1) - sizes - 1
-            last, starts = first + sizes, np.cumsum(sizes) - sizes
-            # What a text has of its own: its words and the start, and its bigrams.
-            own_single, own_pair = own_counts(single, sizes + 1), own_counts(pair, sizes)
-            before, word = np.delete(single, last), np.delete(single, first)
-            own_before, own_word = np.delete(own_single, last), np.delete(own_single, first)
-            del keys, distinct, place, single, own_single
-            target = np.repeat(np.array([t for t, _ in full], np.int32), sizes)
-            length, found = np.repeat(sizes, sizes), []
-            for c, n, out in ((counts[1], total[0], target), (counts[0], total[1], 1)):
-                found.append(losses((c[before] - out * own_before).astype(float), c[word] - out * own_word, c[pair] - out * own_pair, n - out * length, total[2]))
-            sums = [np.add.reduceat(v, starts) / sizes for v in (*found, found[0] - found[1])]
-            per_text = {d: (int(n), *map(float, v)) for d, n, *v in zip(full, sizes, *sums)}
+            ends = np.cumsum(sizes)
+            cuts = np.unique([0, *np.searchsorted(ends, np.arange(PIECE, ends[-1], PIECE)), len(sizes)]).tolist()
+            for a, b in zip(cuts, cuts[1:]):
+                at = int(ends[a - 1]) if a else 0
+                sums = text_losses(single[at + a : ends[b - 1] + b], pair[at : ends[b - 1]], sizes[a:b], np.array([t for t, _ in full[a:b]], np.int32), counts)
+                per_text |= {d: (int(n), *map(float, v)) for d, n, *v in zip(full[a:b], sizes[a:b], *sums)}
         columns = [*zip(*(per_text.get(d, (0, None, None, None)) for _, d in rows))]
         kinds_of = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
         ids = pa.array([i for i, _ in rows], pa.int64())
@@ -219,7 +265,7 @@ def scores(docs: DataFrame, targets: DataFrame, chunk: int = CHUNK, block: int =
                     rows, held, back = [], {}, []
                 now = at
                 if which >= 0:
-                    back.append(unplanes(counts).reshape(2, -1).astype(np.int64))
+                    back.append(unplanes(counts).reshape(2, -1).view(np.int64))
                     continue
                 t = zlib.decompress(t)
                 known = (which == -2, xxhash.xxh3_128_digest(t))

@@ -317,3 +317,40 @@ def test_rows_sent_grow_as_the_text_does(spark):
     few, many = sent(16, 2**31 - 1), sent(64, 2**31 - 1)
     assert 3.5 * few < many < 4.5 * few
     assert sent(16, 3) == 2 * 3
+
+
+def test_a_block_is_answered_in_little_memory():
+    """Sums of what all chunks count, in each chunk's order; at the peak under 56 bytes a key beside the batch that Spark hands over."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from millrace.llm import lm_score
+
+    class Asked:
+        def groupBy(self, *_):
+            return self
+
+        def applyInArrow(self, run, _):
+            return run
+
+    rng = np.random.default_rng(5)
+    pool = np.unique(np.append(rng.integers(0, 1 << 62, 400_000).astype(np.uint64), lm_score.START))
+    parts = [np.sort(rng.choice(pool, n, replace=False)) for n in (1, 50_000, 7, *[100_000] * 8)]
+    parts[1] = np.unique(np.append(parts[1], lm_score.START))
+    counts = [rng.integers(0, 1 << 40, (2, len(p))).astype(np.uint64) for p in parts]
+    batch = pa.table({"chunk": pa.array(range(len(parts)), pa.int32()), "block": pa.array([0] * len(parts), pa.int32()), "keys": [lm_score.planes(np.diff(p, prepend=np.uint64(0))) for p in parts], "counts": [lm_score.planes(c.ravel()) for c in counts]})
+    run = lm_score.answers(Asked())
+    tracemalloc.start()
+    got = run(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    keys, place = np.unique(np.concatenate(parts), return_inverse=True)
+    sums = np.zeros((2, len(keys)), np.uint64)
+    for model in (0, 1):
+        np.add.at(sums[model], place, np.concatenate(counts, axis=1)[model])
+    word = (keys % 2 == 0) & (keys != lm_score.START)
+    assert [got[c].to_pylist() for c in ("n", "n_target", "kinds")] == [[int(v)] + [0] * (len(parts) - 1) for v in (sums[0, word].sum(), sums[1, word].sum(), word.sum())]
+    for p, back in zip(parts, got["counts"].to_pylist()):
+        assert (lm_score.unplanes(back).reshape(2, -1) == sums[:, np.searchsorted(keys, p)]).all()
+    assert peak < 56 * len(place), peak / len(place)
