@@ -6,6 +6,7 @@ all bands, so only the first of each text takes part, and the others go.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -153,13 +154,14 @@ def _verified(bands: DataFrame, texts: DataFrame, scratch, least: float, pivots:
     shared = bands.groupBy("band", "h").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = scratch(bands.join(shared, ["band", "h"]), "shared")
     kept = scratch(bands.join(shared.select("id").distinct(), "id", "left_anti").select("id").distinct(), "alone")
-    grams = scratch(_gram_table(texts.join(shared.select("id").distinct(), "id", "left_semi")), "grams")
+    packed = scratch(_packed(texts.join(shared.select("id").distinct(), "id", "left_semi")), "packed")
     undecided, edges, turn = shared, None, 0
     while not undecided.isEmpty():
         turn += 1
         place = F.row_number().over(Window.partitionBy("band", "h").orderBy("at"))  # limited before its shuffle
         first = scratch(undecided.withColumn("rank", place).where(F.col("rank") <= pivots + 1).select("band", "h", "id", "rank"), f"first-{turn}")
-        new = scratch(_similar_pairs(undecided, first.where(F.col("rank") <= pivots), grams, least), f"edges-{turn}")
+        meetings = scratch(_meetings(undecided, first, pivots), f"meetings-{turn}")
+        new = scratch(_similar_pairs(meetings, packed, least), f"edges-{turn}")
         edges = new if edges is None else edges.unionByName(new)
         waiting = undecided.join(first, ["band", "h", "id"], "left_anti").select("id").distinct()  # has an earlier mate yet to be compared with
         ready = scratch(undecided.select("id").distinct().join(waiting, "id", "left_anti"), f"ready-{turn}")
@@ -183,44 +185,60 @@ def _verified(bands: DataFrame, texts: DataFrame, scratch, least: float, pivots:
     return kept.distinct()
 
 
-def _gram_table(texts: DataFrame) -> DataFrame:
+def _packed(texts: DataFrame) -> DataFrame:
     def run(iterator):
         for batch in iterator:
-            data = [np.unique(shingles(t or "")).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["id", "grams"])
+            data = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["id", "packed"])
 
-    return texts.select("id", "text").mapInArrow(run, "id long, grams binary")
+    return texts.select("id", "text").mapInArrow(run, "id long, packed binary")
 
 
-def _similar_pairs(members: DataFrame, first: DataFrame, grams: DataFrame, least: float, part: int = 512) -> DataFrame:
-    """(u, v): pivots u and later members v of their bands with a similarity of at least ``least``.
+def _meetings(members: DataFrame, first: DataFrame, pivots: int, part: int = 512) -> DataFrame:
+    """(band, h, part, id, others): where a row meets which earlier pivots of its bands; each of these once, and in as few bands as it takes.
 
-    The members of a large band are dealt out into parts, each of which gets the band's pivots: a task reads some parts as
-    a sorted stream and holds one band's pivots.
+    Alike rows share many bands, most of which have no pivot that the row doesn't meet in another.  The members of a large band
+    are dealt out into parts.
     """
+    lists = first.where(F.col("rank") <= pivots).groupBy("band", "h").agg(F.expr("transform(array_sort(collect_list(struct(rank, id))), x -> x.id)").alias("pivots"))  # so many at most
+    own = members.select("band", "h", "id", "size").join(first, ["band", "h", "id"], "left").join(lists, ["band", "h"])
+    earlier = own.withColumn("others", F.expr("slice(pivots, 1, int(coalesce(rank - 1, size(pivots))))")).where(F.size("others") > 0)
+    bands = earlier.groupBy("id").agg(F.array_sort(F.collect_list(F.struct((-F.size("others")).alias("few"), "band", "h", "size", "others"))).alias("bands"))  # one a band at most
+    kept = F.expr("""aggregate(bands, struct(cast(array() as array<bigint>) as seen, cast(array() as array<struct<band: int, h: bigint, size: bigint, others: array<bigint>>>) as kept),
+        (done, b) -> if(size(array_except(b.others, done.seen)) = 0, done, struct(array_union(done.seen, b.others) as seen, concat(done.kept, array(struct(b.band as band, b.h as h, b.size as size, array_except(b.others, done.seen) as others))) as kept)),
+        done -> done.kept)""")
     parts = F.greatest(F.lit(1), F.ceil(F.col("size") / part)).cast("long")
-    own = members.withColumns({"kind": F.lit(1), "part": F.pmod(F.xxhash64("id"), parts)})
-    pivot = members.join(first.select("band", "h", "id"), ["band", "h", "id"]).withColumns({"kind": F.lit(0), "part": F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))})
-    columns = ["band", "h", "part", "kind", "id"]
-    stream = own.select(*columns, "at").unionByName(pivot.select(*columns, "at")).join(grams, "id")
-    # in one order, so that the pivots read so far are the earlier ones
-    ordered = stream.repartition("band", "h", "part").sortWithinPartitions("band", "h", "part", "at", "kind")
+    return bands.select("id", F.explode(kept).alias("b")).select("b.*", "id").select("band", "h", F.pmod(F.xxhash64("id"), parts).alias("part"), "id", "others")
+
+
+def _similar_pairs(meetings: DataFrame, packed: DataFrame, least: float) -> DataFrame:
+    """(u, v): pivots u and the rows v that meet them, with a similarity of at least ``least``.
+
+    Texts are sent compressed, a row's to the bands where it meets some pivot and a pivot's to the parts where some row meets it:
+    a task reads some parts as a sorted stream and holds one part's pivots.
+    """
+    columns = ["band", "h", "part", "kind", "id", "others"]
+    own = meetings.withColumn("kind", F.lit(1)).select(columns)
+    pivot = meetings.select("band", "h", "part", F.explode("others").alias("id")).distinct()
+    pivot = pivot.withColumns({"kind": F.lit(0), "others": F.lit(None).cast("array<long>")}).select(columns)
+    stream = own.unionByName(pivot).join(packed, "id")
+    ordered = stream.repartition("band", "h", "part").sortWithinPartitions("band", "h", "part", "kind")
 
     def run(iterator):
-        now, held = None, []
+        now, held = None, {}
         for batch in iterator:
             u, v = [], []
-            for band, h, p, kind, ident, data in zip(*(batch.column(c).to_pylist() for c in (*columns, "grams"))):
+            for band, h, p, kind, ident, others, data in zip(*(batch.column(c).to_pylist() for c in (*columns, "packed"))):
                 if (band, h, p) != now:
-                    now, held = (band, h, p), []
-                own = np.frombuffer(data, np.uint64)
+                    now, held = (band, h, p), {}
+                own = np.unique(shingles(zlib.decompress(data).decode("utf-8", "surrogatepass")))
                 if kind == 0:
-                    held.append((ident, own))
+                    held[ident] = own
                     continue
-                for other, theirs in held:
-                    if other != ident and similar(theirs, own, least):
+                for other in others:
+                    if similar(held[other], own, least):
                         u.append(other)
                         v.append(ident)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return ordered.select(*columns, "grams").mapInArrow(run, "u long, v long").distinct()
+    return ordered.select(*columns, "packed").mapInArrow(run, "u long, v long")

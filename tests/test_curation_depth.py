@@ -198,3 +198,27 @@ def test_datasets_are_written_whole_and_checked_when_resolved(spark, tmp_path):
     spark.createDataFrame([(1, "other", None)], "i long, q string, a string").write.mode("overwrite").parquet(f"{path}/val")
     with pytest.raises(ValueError):
         ld.resolve_dataset(spark, folder, digest)
+
+
+def test_verified_texts_travel_once(spark):
+    """Rows of one group meet each earlier pivot once: what is sent grows with the rows and not with their bands, and no pair is left out."""
+    rng = random.Random(12)
+    base = [rng.choices([f"w{i}" for i in range(300)], k=400) for _ in range(4)]
+    rows = [(b * 100 + k, " ".join([*base[b], f"x{k}"])) for b in range(4) for k in range(12)]
+    names, sent = [], {}
+
+    def keep(df, name, save=writer(spark)):
+        names.append(name)
+        return sent.setdefault(name, save(df, name))
+
+    df = spark.createDataFrame(rows, "id long, t string").coalesce(1)
+    assert sorted(r["id"] for r in nd.near_dedup(df, "id", "t", keep, verify=0.85).collect()) == [0, 100, 200, 300]
+    bands = {}
+    for r in sent["bands"].collect():
+        bands.setdefault((r["band"], r["h"]), []).append((r["at"]["key"], r["id"]))
+    pairs = {(u, v) for m in bands.values() for i, (_, v) in enumerate(sorted(m)) for _, u in sorted(m)[:i]}
+    met = [(u, r["id"]) for r in sent["meetings-1"].collect() for u in r["others"]]
+    assert len(met) == len(set(met)) and set(met) == pairs
+    assert sent["meetings-1"].count() <= 1.5 * len(rows) < sum(map(len, bands.values()))
+    largest = max(sum(len(x or b"") for r in t.collect() for x in r if isinstance(x, (bytes, bytearray))) for t in sent.values())
+    assert largest < sum(len(t) for _, t in rows)
